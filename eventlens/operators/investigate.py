@@ -92,21 +92,26 @@ def symptom_search(df: DataFrame, text: str, exception: str | None = None) -> Da
     return sweep(df, symptom=symptom(text, exception), broad=is_error())
 
 
-# Kinds of identifiers worth quoting in a report.
+# Kinds of identifiers worth quoting in a report; group 1 is the identifier.
 IDENTIFIERS = {
-    "request": r"\breq-[0-9a-f]{6,}\b",
-    "source_line": r"\b[A-Za-z_]\w*\.(?:cs|py|ts|js|java|go):\d+\b",
-    "ip": r"\b(?:\d{1,3}\.){3}\d{1,3}\b",
+    "request": r"(?i:request[-_ ]?id)[:=] ?([0-9A-Za-z-]+)",
+    "transaction": r"(?i:transaction[-_ ]?id)[:=] ?([0-9A-Za-z-]+)",
+    "workspace": r"(?i:workspace[-_ ]?id)[:=] ?([0-9A-Za-z-]+)",
+    "function": r"(?i:lambda|function)[:=] ?([0-9A-Za-z_-]+)",
+    "source_line": r"([A-Za-z_][A-Za-z0-9_]*\.(?:cs|py|ts|js|java|go):[0-9]+)",
 }
 
 
 def identifiers(df: DataFrame, column: str, patterns: dict[str, str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
-    """Identifiers found in a text column, with the number of times each occurs."""
+    """Identifiers found in a text column, with the number of times each occurs.
+
+    The text is dropped before the counting, so only identifiers are shuffled.
+    """
     found = F.array(
         *[
             F.struct(
                 F.lit(kind).alias("kind"),
-                F.regexp_extract_all(F.col(column), F.lit(pattern), 0).alias("values"),
+                F.regexp_extract_all(F.col(column), F.lit(pattern), 1).alias("values"),
             )
             for kind, pattern in (patterns or IDENTIFIERS).items()
         ]

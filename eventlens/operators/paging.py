@@ -12,13 +12,19 @@ from eventlens.functions.jsonsize import INDENT, cells_length, json_length
 from eventlens.functions.pii import Redactor
 from eventlens.operators.redact import redact
 
-# Page and payload limits.
+# Page and payload limits, and the notes on a cut result (their
+# length counts towards the payload).
 MAX_PAGE = 50
 DEFAULT_PAGE = 20
 CHARACTER_LIMIT = 25_000
-
-EVENTS_NOTE = "Result is over {limit} characters; ask for fewer events, a shorter range or a narrower filter."
-ROWSET_NOTE = "Result is over {limit} characters; add a limit, shorten the range or group more coarsely."
+EVENTS_NOTE = (
+    "Response exceeded {limit} characters. Reduce 'count', narrow the time 'range', "
+    "or add a 'filter' expression to get more targeted results."
+)
+ROWSET_NOTE = (
+    "Response exceeded {limit} characters and rows were truncated. Add a 'limit' clause, "
+    "narrow the time range, or group at a coarser level."
+)
 
 
 def event_page(
@@ -63,6 +69,7 @@ def budget(
     layout: str = "events",
     pretty: bool = True,
     redactor: Redactor | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Halve the rows until the JSON payload fits into ``limit`` characters.
 
@@ -70,12 +77,15 @@ def budget(
     ``events`` (an array of objects) or ``rowset`` (column names and row
     arrays).  A row takes two characters at least, so rows past ``limit / 2``
     can never fit: a top-k brings the rest into one small task, where the
-    running size is taken.  Redaction, if any, runs on those rows only.
+    running size is taken.  Redaction, if any, runs on those rows only.  ``columns``
+    names the payload where ``order`` needs columns beyond it.
     """
     total = df.select(F.count("*").alias("n")).scalar()
     top = df.orderBy(*order).limit(limit // 2 + 1)
     # The position is fixed before redaction can change a sort column.
     top = top.withColumn("_k", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    if columns is not None:
+        top = top.select(*columns, "_k")
     if redactor is not None:
         top = redact(top, redactor, exclude=["_k"])
     names = [c for c in top.columns if c != "_k"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Streaming state lives on disk, outside the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -29,6 +34,11 @@ def build_session(app: str = "eventlens", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="eventlens-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
@@ -39,8 +49,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="eventlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return os.path.join(root, f"eventlens-{uuid.uuid4().hex}")
 
 
