@@ -42,6 +42,7 @@ SLICE_UNITS = {
 }
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+MICROSECOND = timedelta(microseconds=1)
 
 
 @dataclass(frozen=True)
@@ -134,7 +135,7 @@ def slice_length(token: str) -> timedelta:
 
 def interval(length: timedelta) -> str:
     """A fixed-length Spark interval string."""
-    return f"{length // timedelta(microseconds=1)} microseconds"
+    return f"{length // MICROSECOND} microseconds"
 
 
 def slice_start(token: str, column: str = "ts") -> Column:
@@ -142,5 +143,10 @@ def slice_start(token: str, column: str = "ts") -> Column:
     return F.window(F.col(column), interval(slice_length(token)))["start"]
 
 
+def slice_number(column: str, length: timedelta) -> Column:
+    """Epoch-aligned number of the stretch of ``length`` a timestamp falls into."""
+    return F.floor(F.unix_micros(F.col(column).cast("timestamp")) / F.lit(length // MICROSECOND))
+
+
 def align_down(at: datetime, length: timedelta) -> datetime:
     return at - (instant(at) - EPOCH) % length

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.functions.timerange import TimeWindow, align_down, interval, slice_length, slice_start, ts_literal
+from eventlens.functions.timerange import MICROSECOND, TimeWindow, align_down, slice_length, slice_start, ts_literal
 from eventlens.session import materialize
 
 
@@ -41,6 +41,10 @@ def by_slice(df: DataFrame, slice: str, by: Sequence[str] = (), aggs: Sequence[C
     return df.groupBy(start.alias("slice_start"), *by).agg(*aggs)
 
 
+# Slots generated from one row at a time.
+SLOT_BLOCK = 10_000
+
+
 def dense_slices(
     series: DataFrame,
     window: TimeWindow,
@@ -50,19 +54,27 @@ def dense_slices(
 ) -> DataFrame:
     """Add the empty slices of ``window`` to a sliced series, with zeros.
 
-    The slices of each key are generated next to the key, so there is no join
-    of keys with slices.
+    The slots of each key are generated next to the key, in blocks, so there is
+    no join of keys with slots and no long array.  A keyed series is needed
+    twice, for its keys and for its values: it is written to the scratch folder
+    first, so that the events behind it are scanned once.
     """
+    spark = series.sparkSession
     step = slice_length(slice)
-    first = ts_literal(series, align_down(window.start, step), "slice_start")
-    last = ts_literal(series, window.end, "slice_start") - F.expr("INTERVAL 1 MICROSECOND")
-    slots = F.sequence(first, last, F.expr(f"INTERVAL '{step.total_seconds():.6f}' SECOND"))
+    first = align_down(window.start, step)
+    count = max(0, -((first - window.end) // step))
+    origin = ts_literal(series, first, "slice_start")
+    start = F.timestamp_add("MICROSECOND", F.col("_slot") * (step // MICROSECOND), origin)
     if by:
-        keys = series.select(*by).distinct()
+        series = materialize(series)
+        blocks = F.sequence(F.lit(0).cast("bigint"), F.lit(max(count - 1, 0)).cast("bigint"), F.lit(SLOT_BLOCK).cast("bigint"))
+        keys = series.select(*by).distinct().select(*by, F.explode(blocks).alias("_block"))
+        last = F.least(F.col("_block") + SLOT_BLOCK, F.lit(count)) - 1
+        slots = keys.select(*by, F.explode(F.sequence("_block", last)).alias("_slot"))
+        slots = slots.filter(F.col("_slot") < count)
     else:
-        keys = series.sparkSession.range(1).select()
-    grid = keys.select(*by, F.explode(slots).alias("slice_start"))
-    left, right = grid.alias("l"), series.alias("r")
+        slots = spark.range(count).select(F.col("id").alias("_slot"))
+    grid = slots.select(*by, start.alias("slice_start"))
     same = F.col("l.slice_start") == F.col("r.slice_start")
     for k in by:
         same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
@@ -71,7 +83,8 @@ def dense_slices(
         for c in series.columns
         if c not in by and c != "slice_start"
     ]
-    return left.join(right, same, "left").select("l.slice_start", *[F.col(f"l.{k}") for k in by], *values)
+    joined = grid.alias("l").join(series.alias("r"), same, "left")
+    return joined.select("l.slice_start", *[F.col(f"l.{k}") for k in by], *values)
 
 
 # Inputs up to this size (Catalyst's own estimate) go through the built-in

@@ -8,9 +8,18 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.functions.timerange import TimeWindow, instant, slice_length, ts_literal, within
+from eventlens.functions.timerange import (
+    MICROSECOND,
+    TimeWindow,
+    instant,
+    slice_length,
+    slice_number,
+    ts_literal,
+    within,
+)
 from eventlens.operators.aggregates import by_slice, dense_slices
 from eventlens.operators.filters import is_error
+from eventlens.session import materialize
 
 
 def first_occurrence(df: DataFrame, *by: str) -> DataFrame:
@@ -41,9 +50,11 @@ def asof_deployment(
     A deployment is current from its time to the next one.  Each such interval
     is listed once per day it touches (up to ``until``, the end of the event
     window), which turns the range condition into an equi-join on application
-    and day: no broadcast is forced, no pairs of all deployments and events
-    arise, and a hot application is spread over its days.  Among deployments at
-    the same instant the greatest version wins.
+    and day: no pairs of all deployments and events arise, and a hot application
+    is spread over its days (and split further by AQE).  The intervals are
+    written to the scratch folder, so that Catalyst broadcasts them only if the
+    table really is small.  Among deployments at the same instant the greatest
+    version wins.
     """
     kind = df.schema["ts"].dataType
     last = ts_literal(df, instant(until))
@@ -51,7 +62,7 @@ def asof_deployment(
         F.max("version").alias("version")
     )
     following = F.lead("_from").over(Window.partitionBy("application").orderBy("_from"))
-    spans = (
+    spans = materialize(
         unique.withColumn("_to", F.coalesce(following, F.greatest(last, F.col("_from"))))
         .withColumn("_open", following.isNull())
         .withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date("_to"))))
@@ -101,7 +112,7 @@ def baseline_deviation(
     at = instant(now)
     length = slice_length(window)
     scoped = within(df.filter(is_error()), TimeWindow(at - length * (periods + 1), at))
-    micros = length // timedelta(microseconds=1)
+    micros = length // MICROSECOND
     age = F.timestamp_diff("MICROSECOND", F.col("ts"), ts_literal(df, at))
     # Period 0 is the latest window; an event exactly one window old belongs to it.
     period = F.floor((age - 1) / micros)
@@ -125,21 +136,47 @@ def baseline_deviation(
 
 
 def rank_in_slice(df: DataFrame, by: str, slice: str) -> DataFrame:
-    """Keys ranked by event count inside each slice (runs on the counts only)."""
+    """Keys ranked by event count inside each slice.
+
+    The rank follows from how many keys have which count: only the distinct
+    counts of a slice are put in order, never all its keys.
+    """
     counts = by_slice(df, slice, [by])
-    order = Window.partitionBy("slice_start").orderBy(F.desc("n"))
-    return counts.withColumn("rank", F.rank().over(order))
+    larger = Window.partitionBy("slice_start").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (
+        counts.groupBy("slice_start", "n")
+        .agg(F.count("*").alias("_keys"))
+        .select("slice_start", "n", (F.coalesce(F.sum("_keys").over(larger), F.lit(0)) + 1).alias("rank"))
+    )
+    return counts.join(ranks, ["slice_start", "n"]).select(*counts.columns, "rank")
+
+
+# Slices of one key that are put in order by one task.
+DELTA_BLOCK = 50_000
 
 
-def slice_deltas(series: DataFrame, k: int, by: Sequence[str] = (), measure: str = "n") -> DataFrame:
+def slice_deltas(series: DataFrame, slice: str, k: int, by: Sequence[str] = (), measure: str = "n") -> DataFrame:
     """Change to the previous slice and mean of the ``k`` slices before.
 
-    ``series`` is a dense slice series, so its length per key is bounded by
-    range / slice however many events there are.
+    ``series`` is a dense slice series.  It is cut into blocks of slices, and
+    the last ``k`` slices of a block are handed to the next one as well, so a
+    long series of a single key is spread over tasks.
     """
-    order = Window.partitionBy(*by).orderBy("slice_start")
-    return series.withColumn("delta", F.col(measure) - F.lag(measure).over(order)).withColumn(
-        "trailing_mean", F.avg(measure).over(order.rowsBetween(-k, -1))
+    size = max(DELTA_BLOCK, 10 * k)
+    number = slice_number("slice_start", slice_length(slice))
+    block = F.floor(F.col("_number") / size)
+    handed_on = F.when(F.col("_number") % size >= size - max(k, 1), block + 1)
+    spread = (
+        series.withColumn("_number", number)
+        .withColumn("_home", block)
+        .withColumn("_block", F.explode(F.array_compact(F.array(block, handed_on))))
+    )
+    order = Window.partitionBy(*by, "_block").orderBy("slice_start")
+    return (
+        spread.withColumn("delta", F.col(measure) - F.lag(measure).over(order))
+        .withColumn("trailing_mean", F.avg(measure).over(order.rowsBetween(-k, -1)))
+        .filter(F.col("_block") == F.col("_home"))
+        .select(*series.columns, "delta", "trailing_mean")
     )
 
 
@@ -160,7 +197,7 @@ def trend_class(
     """
     errors = within(df.filter(is_error()), window)
     dense = dense_slices(by_slice(errors, slice, by), window, slice, by)
-    moved = slice_deltas(dense, k, by)
+    moved = slice_deltas(dense, slice, k, by)
     # The slice that holds the last instant of the window.
     length = F.expr(f"INTERVAL '{slice_length(slice).total_seconds():.6f}' SECOND")
     end = ts_literal(moved, window.end, "slice_start")
@@ -175,26 +212,36 @@ def trend_class(
 def cascade_order(df: DataFrame, gap: str = "10m") -> DataFrame:
     """Services in the order of their first error inside each incident.
 
-    An incident ends when no service has an error for ``gap``.  Errors are
-    first reduced to one row per service and minute, so what is put in time
-    order has at most one row per minute of the range, however many errors
-    there are.
+    An incident ends when no service has an error for ``gap``.  Errors are first
+    reduced to one row per service and minute.  Whether a minute opens an
+    incident shows in the ``gap`` before it, and which incident a minute belongs
+    to is found inside its day, given the last incident opened on earlier days:
+    nothing longer than one row per day is put in order as a whole.
     """
     quiet = slice_length(gap)
     if quiet < timedelta(minutes=1):
         raise ValueError("gap must be one minute or more")
-    minutes = (
+    kind = df.schema["ts"].dataType
+    minutes = materialize(
         df.filter(is_error())
-        .groupBy("application", F.date_trunc("minute", "ts").cast(df.schema["ts"].dataType).alias("_minute"))
+        .groupBy("application", F.date_trunc("minute", "ts").cast(kind).alias("_minute"))
         .agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"), F.count("*").alias("_n"))
     )
     timeline = minutes.groupBy("_minute").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
-    order = Window.orderBy("_minute")
+    # Each stretch of time also gets the minutes of the stretch before that end within ``gap`` of it.
+    stretch = max(timedelta(days=1), 4 * quiet)
+    home = slice_number("_minute", stretch)
+    reached = F.floor((F.unix_micros(F.col("_last").cast("timestamp")) + quiet // MICROSECOND) / (stretch // MICROSECOND))
+    spread = timeline.withColumn("_home", home).withColumn("_day", F.explode(F.array_distinct(F.array(home, reached))))
+    order = Window.partitionBy("_day").orderBy("_minute")
     silence = F.timestamp_diff("MICROSECOND", F.lag("_last").over(order), F.col("_first"))
-    starts = F.coalesce(silence > quiet // timedelta(microseconds=1), F.lit(True))
-    incidents = timeline.withColumn("_start", F.when(starts, F.col("_first"))).select(
-        "_minute", F.last("_start", ignorenulls=True).over(order).alias("incident_start")
-    )
+    opens = F.coalesce(silence > quiet // MICROSECOND, F.lit(True))
+    marked = spread.withColumn("_start", F.when(opens, F.col("_first"))).filter(F.col("_day") == F.col("_home"))
+    days = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marked.groupBy("_day").agg(F.max("_start").alias("_opened"))
+    carried = carried.select("_day", F.max("_opened").over(days).alias("_carried"))
+    latest = F.coalesce(F.last("_start", ignorenulls=True).over(order), F.col("_carried"))
+    incidents = marked.join(carried, "_day").select("_minute", latest.alias("incident_start"))
     services = (
         minutes.join(incidents, "_minute")
         .groupBy("incident_start", "application")

@@ -12,6 +12,7 @@ from eventlens.functions.timerange import TimeWindow, instant, slice_length, wit
 from eventlens.operators.aggregates import percentiles
 from eventlens.operators.changes import baseline_deviation, before_after, trend_class
 from eventlens.operators.filters import is_error
+from eventlens.session import materialize
 
 # The sections of a report, in order.
 SECTIONS = ("IMMEDIATE ACTIONS REQUIRED", "TRENDING CONCERNS", "SYSTEM HEALTH", "RECOMMENDATIONS")
@@ -38,10 +39,12 @@ def service_metrics(df: DataFrame, by: str = "application", elapsed: str = "elap
 def classify_severity(metrics: DataFrame, thresholds: Thresholds = Thresholds(), by: str = "application") -> DataFrame:
     """P0 several services down, P1 one critical service down, P2 degraded, P3 some errors.
 
-    The number of services down is a scalar subquery over the metrics, so no
-    window over all services is needed.
+    The metrics are written to the scratch folder once: the number of services
+    down is a scalar subquery over that small table, not a second scan of the
+    events.
     """
     t = thresholds
+    metrics = materialize(metrics)
     down = (F.col("events") >= t.min_events) & (F.col("error_rate") >= t.down_rate)
     critical = F.lit(True) if t.critical is None else F.col(by).isin(*t.critical)
     many = metrics.select(F.count_if(down).alias("n")).scalar()
@@ -71,8 +74,8 @@ def health_report(
 ) -> DataFrame:
     """Findings as rows: section, position of the section, subject, finding, value.
 
-    Every part is a small aggregate over the events; the report itself has a
-    few rows per service.
+    Metrics, trend, baseline and deployment comparison are one aggregation of
+    the events each; the report has a few rows per service.
     """
     at = instant(now)
     length = slice_length(window)

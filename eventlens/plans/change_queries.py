@@ -33,8 +33,7 @@ def first_occurrence(spark, sf_dir):
     FROM (SELECT {bucket('1 hour')} AS slice_start, application, count(*) AS n FROM log_events WHERE {ERRORS} GROUP BY 1, 2)"""
 )
 def rank_in_slice(spark, sf_dir):
-    ranked = changes.rank_in_slice(log_events(spark, sf_dir).filter(is_error()), "application", "1h")
-    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    return changes.rank_in_slice(log_events(spark, sf_dir).filter(is_error()), "application", "1h")
 
 
 DENSE_WEEK = f"""dense AS (SELECT application, slice_start, coalesce(n, 0) AS n
@@ -51,7 +50,7 @@ def slice_deltas(spark, sf_dir):
     week = query_window(NOW, "7d")
     errors = within(log_events(spark, sf_dir).filter(is_error()), week)
     dense = dense_slices(by_slice(errors, "3h", ["application"]), week, "3h", ["application"])
-    return rounded(changes.slice_deltas(dense, 4, ["application"]), "trailing_mean")
+    return rounded(changes.slice_deltas(dense, "3h", 4, ["application"]), "trailing_mean")
 
 
 @query(

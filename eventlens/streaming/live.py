@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,7 +114,7 @@ def live_alerts(
         (
             versioned.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "slice_date")
+            .partitionBy("slice_date", "batch_id")
             .parquet(path)
         )
 
@@ -131,10 +132,8 @@ def current_alerts(spark: SparkSession, path: str, rules: DataFrame, now: str |
     at = instant(now)
     loaded = load_rules(rules)
     longest = max(r.window for r in loaded)
-    counts = spark.read.schema(COUNTS).parquet(path)
-    scoped = within(counts, TimeWindow(at - longest, at), "slice_start").filter(
-        F.col("slice_date") >= F.lit((at - longest).date())
-    )
+    counts = _read_days(spark, path, (at - longest).date(), at.date())
+    scoped = within(counts, TimeWindow(at - longest, at), "slice_start")
     latest = scoped.groupBy("rule_id", "slice_start").agg(F.max_by("n", "batch_id").alias("n"))
     as_of = ts_literal(counts, at, "slice_start")
     windows = F.create_map(
@@ -151,3 +150,15 @@ def current_alerts(spark: SparkSession, path: str, rules: DataFrame, now: str |
         "threshold",
         as_of.alias("as_of"),
     )
+
+
+def _read_days(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
+    """The counts of some days; older folders are not even listed."""
+    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    folders = path + "/slice_date={" + ",".join(d.isoformat() for d in days) + "}"
+    try:
+        return spark.read.schema(COUNTS).option("basePath", path).parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COUNTS)
