@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventlens.functions.splice import bind, matches, placeholder, splice
+from eventlens.functions.splice import bind, placeholder, splice
 
 # ---------------------------------------------------------------- fixed values
 # Common Norwegian first names.
@@ -80,6 +80,9 @@ PHONE = (
     + ")"
 )
 
+# What the first character of a match can be.
+FIRST_CHARACTERS = {"EMAIL": "A-Za-z0-9_", "FNR": r"\d", "PHONE": r"+\d", "NAME": "A-ZÆØÅ"}
+
 
 def name_pattern(names: Collection[str], ambiguous: Collection[str]) -> str:
     """One regex for all names to mask.
@@ -116,17 +119,18 @@ def valid_identity(digits: Column) -> Column:
 
     def check(d: Column) -> Column:
         def control(weights: tuple[int, ...]) -> Column:
-            total = sum((d[i] * w for i, w in enumerate(weights)), F.lit(0))
-            return (11 - total % 11) % 11
+            products = F.zip_with(
+                F.expr(f"array{weights}"), d, lambda w, digit: F.coalesce(w * digit, F.lit(0))
+            )
+            return (11 - F.aggregate(products, F.lit(0), lambda a, b: a + b) % 11) % 11
 
-        def shifted(tens: Column, ones: Column) -> Column:
-            two = tens * 10 + ones
+        def shifted(i: int) -> Column:
+            two = d[i] * 10 + d[i + 1]
             return F.when(two > 40, two - 40).otherwise(two)
 
-        day = shifted(d[0], d[1])
-        month = shifted(d[2], d[3])
-        longest = F.get(F.array(*[F.lit(n) for n in MONTH_DAYS]), month - 1)
-        dated = (d[0] >= 8) | ((day >= 1) & F.coalesce(day <= longest, F.lit(False)))
+        # An array index before the start or past the end gives NULL.
+        longest = F.get(F.expr(f"array{MONTH_DAYS}"), shifted(2) - 1)
+        dated = (d[0] >= 8) | F.coalesce(shifted(0).between(1, longest), F.lit(False))
         # A control value of 10 equals no digit, so it is rejected as well.
         return dated & (control(CONTROL_1) == d[9]) & (control(CONTROL_2) == d[10])
 
@@ -170,33 +174,85 @@ class Redactor:
             return valid_identity(F.regexp_replace(match, BLANK, ""))
         if kind == "PHONE":
             return valid_phone(match)
-        return F.lit(True)
+        return match.isNotNull()
+
+    def step(self, kind: str, text: Column) -> Column:
+        """Struct of the text with one kind masked and the number of its values."""
+        return splice(
+            text,
+            self.pattern(kind),
+            lambda m: placeholder(kind, m),
+            None if kind == "NAME" else lambda m: self.accepts(kind, m),
+            self.needs(kind),
+        )
 
     def mask(self, kind: str, text: Column) -> Column:
         """Mask one kind of personal data in ``text``."""
-
-        def replace(m: Column) -> Column:
-            return F.when(self.accepts(kind, m), placeholder(kind, m)).otherwise(m)
-
-        return splice(text, self.pattern(kind), replace, self.needs(kind))
+        return self.step(kind, text)["text"]
 
     def hits(self, kind: str, text: Column) -> Column:
         """Number of values of one kind in ``text``."""
-        pattern = self.pattern(kind)
+        return self.step(kind, text)["hits"]
+
+    def _split_kinds(self) -> tuple[list[str], list[str]]:
+        """Leading kinds that a plain substring rules out, and the rest."""
+        kinds = list(self.kinds)
+        first = next((i for i, k in enumerate(kinds) if self.needs(k) is None), len(kinds))
+        return kinds[:first], kinds[first:]
 
-        def count(t: Column) -> Column:
-            found = F.regexp_extract_all(t, F.lit(pattern), 0)
-            some = matches(t, pattern, self.needs(kind))
-            return F.when(some, F.size(F.filter(found, lambda m: self.accepts(kind, m)))).otherwise(0)
+    def _any_of(self, kinds: list[str]) -> str:
+        """One regex that matches wherever one of ``kinds`` might.
 
-        return bind(text, count)
+        Its leading lookahead rules out most positions by their first character.
+        """
+        starts = "".join(FIRST_CHARACTERS[k] for k in kinds)
+        return f"(?=[{starts}])(?:" + "|".join(f"(?:{self.pattern(k)})" for k in kinds) + ")"
 
     def text(self, text: Column) -> Column:
-        """Mask every kind; later kinds see the text left by earlier ones."""
-        if self.enabled:
-            for kind in self.kinds:
-                text = self.mask(kind, text)
-        return text
+        """Mask every kind; later kinds see the text left by earlier ones.
+
+        A text in which no pattern matches is found out by a single search for
+        all of them.
+        """
+        if not self.enabled:
+            return text
+        cheap, rest = self._split_kinds()
+        for kind in cheap:
+            text = self.mask(kind, text)
+        if not rest:
+            return text
+
+        def masked(t: Column) -> Column:
+            left = t
+            for kind in rest:
+                left = self.mask(kind, left)
+            return F.when(t.rlike(self._any_of(rest)), left).otherwise(t)
+
+        return bind(text, masked)
+
+    def findings(self, text: Column) -> Column:
+        """Number of values of each kind as an array in the order of ``kinds``.
+
+        Each kind is counted on the text that the earlier kinds left over.
+        """
+        cheap, rest = self._split_kinds()
+
+        def count(kinds: list[str], t: Column, counts: list[Column], after) -> Column:
+            if not kinds:
+                return after(t, counts)
+            kind, *others = kinds
+            return bind(
+                self.step(kind, t), lambda s: count(others, s["text"], [*counts, s["hits"]], after)
+            )
+
+        def guarded(t: Column, counts: list[Column]) -> Column:
+            if not rest:
+                return F.array(*counts)
+            all_counted = count(rest, t, counts, lambda _, c: F.array(*c))
+            nothing = F.array(*counts, *[F.lit(0) for _ in rest])
+            return F.when(t.rlike(self._any_of(rest)), all_counted).otherwise(nothing)
+
+        return bind(text, lambda t: count(cheap, t, [], guarded))
 
     def number(self, value: Column) -> Column:
         """An integer as string, masked when it is an identity number."""

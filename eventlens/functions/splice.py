@@ -1,8 +1,9 @@
 """Replace regex matches by a value computed from each match.
 
-Spark's ``regexp_replace`` only knows constant replacements.  Here the text is
-cut into gaps and matches, every match is mapped by a Column expression, and the
-pieces are joined again.  Rows without a match pay for one regex scan only.
+Spark's ``regexp_replace`` only knows constant replacements.  Here every match
+is enclosed in a mark, the text is cut at the marks, each match is mapped by a
+Column expression, and the pieces are joined again.  Rows without a match pay for
+one regex search only.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A code point that Unicode reserves as "not a character".
+MARK = "￿"
+
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside ``body``."""
@@ -24,15 +28,48 @@ def matches(text: Column, pattern: str, needs: str | None = None) -> Column:
 
 
 def splice(
-    text: Column, pattern: str, replace: Callable[[Column], Column], needs: str | None = None
+    text: Column,
+    pattern: str,
+    replace: Callable[[Column], Column],
+    accept: Callable[[Column], Column] | None = None,
+    needs: str | None = None,
 ) -> Column:
-    def cut(t: Column) -> Column:
-        gaps = F.split(t, pattern, -1)
+    """``text`` with the accepted matches replaced, and how many those are.
+
+    Gives a struct of ``text`` and ``hits``.  ``needs`` is a plain string without
+    which no match is possible.  The cut is at a constant character, because
+    Spark compiles a regex given to ``split`` anew for every row.  A text that
+    holds the mark itself takes that slow way.
+    """
+
+    def pieces(t: Column) -> Column:
+        """Gaps and matches in turn, a gap first."""
+        marked = F.split(F.regexp_replace(t, pattern, f"{MARK}$0{MARK}"), MARK, -1)
         found = F.regexp_extract_all(t, F.lit(pattern), 0)
-        pieces = F.zip_with(gaps, found, lambda g, m: F.concat(g, F.coalesce(replace(m), F.lit(""))))
-        return F.when(matches(t, pattern, needs), F.array_join(pieces, "")).otherwise(t)
+        slow = F.flatten(F.zip_with(F.split(t, pattern, -1), found, lambda g, m: F.array_compact(F.array(g, m))))
+        return F.when(t.contains(MARK), slow).otherwise(marked)
+
+    def mapped(parts: Column) -> Column:
+        """NULL for whatever stays as it is."""
+
+        def one(part: Column, i: Column) -> Column:
+            is_match = i % 2 == 1
+            return F.when(is_match if accept is None else is_match & accept(part), replace(part))
+
+        return F.transform(parts, one)
+
+    def joined(parts: Column) -> Column:
+        def build(new: Column) -> Column:
+            whole = F.array_join(F.zip_with(new, parts, lambda n, p: F.coalesce(n, p)), "")
+            return F.struct(whole.alias("text"), F.size(F.array_compact(new)).alias("hits"))
+
+        return bind(mapped(parts), build)
+
+    def whole(t: Column) -> Column:
+        unchanged = F.struct(t.alias("text"), F.lit(0).alias("hits"))
+        return F.when(matches(t, pattern, needs), bind(pieces(t), joined)).otherwise(unchanged)
 
-    return bind(text, cut)
+    return bind(text, whole)
 
 
 def stable_id(token: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.timerange import MICROSECOND, TimeWindow, align_down, slice_length, slice_start, ts_literal
-from eventlens.session import materialize
+from eventlens.session import SMALL_INPUT, estimated_bytes, materialize
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -87,19 +87,11 @@ def dense_slices(
     return joined.select("l.slice_start", *[F.col(f"l.{k}") for k in by], *values)
 
 
-# Inputs up to this size (Catalyst's own estimate) go through the built-in
-# ``percentile``, whose memory per group is bounded by the input.
-SMALL_INPUT = 256 * 1024 * 1024
 # Distinct values of one group that may be ranked in one task.
 RANKED_VALUES = 5_000_000
 GRID = 1000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame; file scans report their true size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def percentiles(
     df: DataFrame,
     by: Sequence[str],
@@ -111,7 +103,8 @@ def percentiles(
 ) -> DataFrame:
     """Percentiles (points on 0-100) of ``column`` per group, linearly interpolated.
 
-    * ``exact``: Spark's ``percentile``; holds a group's distinct values in memory.
+    * ``exact``: Spark's ``percentile``; holds a group's distinct values in memory,
+      which the size of the input bounds.
     * ``narrowed``: the same result for groups of any size, see ``_narrowed``.
     * ``approx``: one pass, ``percentile_approx`` with the given accuracy.
     * ``auto``: ``exact`` when the input is small, else ``narrowed``.

@@ -98,7 +98,7 @@ IDENTIFIERS = {
     "transaction": r"(?i:transaction[-_ ]?id)[:=] ?([0-9A-Za-z-]+)",
     "workspace": r"(?i:workspace[-_ ]?id)[:=] ?([0-9A-Za-z-]+)",
     "function": r"(?i:lambda|function)[:=] ?([0-9A-Za-z_-]+)",
-    "source_line": r"([A-Za-z_][A-Za-z0-9_]*\.(?:cs|py|ts|js|java|go):[0-9]+)",
+    "source_line": r"(?<![A-Za-z0-9_])([A-Za-z_][A-Za-z0-9_]*+\.(?:cs|py|ts|js|java|go):[0-9]+)",
 }
 
 

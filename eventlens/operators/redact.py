@@ -95,14 +95,11 @@ def pii_audit(
 
     One pass: each kind is counted on the text that the earlier kinds left over.
     """
-    counted = df.select(*by, *columns)
-    measures = []
-    for column in columns:
-        for kind in redactor.kinds:
-            name = f"_{column}_{kind}"
-            counted = counted.withColumn(name, redactor.hits(kind, F.col(column)))
-            counted = counted.withColumn(column, redactor.mask(kind, F.col(column)))
-            measures.append((column, kind, name))
+    found = df.select(*by, *[redactor.findings(F.col(c)).alias(f"_{c}") for c in columns])
+    measures = [(c, kind, f"_{c}_{kind}") for c in columns for kind in redactor.kinds]
+    counted = found.select(
+        *by, *[F.get(f"_{c}", F.lit(i)).alias(f"_{c}_{kind}") for c in columns for i, kind in enumerate(redactor.kinds)]
+    )
     sums = [m for _, _, n in measures for m in (F.sum(n).alias(n), F.count_if(F.col(n) > 0).alias(n + "_rows"))]
     totals = counted.groupBy(*by).agg(*sums)
     rows = F.array(
