@@ -7,13 +7,13 @@ the opposite for both, so the word fences and the blank are spelled out.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventlens.functions.splice import bind, placeholder, splice
+from eventlens.functions.splice import apply, bind, literal, matches, placeholder, splice
 
 # ---------------------------------------------------------------- fixed values
 # Common Norwegian first names.
@@ -114,34 +114,36 @@ def name_pattern(names: Collection[str], ambiguous: Collection[str]) -> str:
     return f"(?=[A-ZÆØÅ][{NAME_TAIL}])(?:{'|'.join(parts)})"
 
 
-def valid_identity(digits: Column) -> Column:
-    """Date part and both control digits of an 11-digit string."""
+def valid_identity(digits: str) -> str:
+    """Date part and both control digits of an 11-digit string (SQL)."""
 
-    def check(d: Column) -> Column:
-        def control(weights: tuple[int, ...]) -> Column:
-            products = F.zip_with(
-                F.expr(f"array{weights}"), d, lambda w, digit: F.coalesce(w * digit, F.lit(0))
-            )
-            return (11 - F.aggregate(products, F.lit(0), lambda a, b: a + b) % 11) % 11
+    def control(weights: tuple[int, ...]) -> str:
+        total = " + ".join(f"d[{i}] * {w}" for i, w in enumerate(weights))
+        return f"(11 - ({total}) % 11) % 11"
 
-        def shifted(i: int) -> Column:
-            two = d[i] * 10 + d[i + 1]
-            return F.when(two > 40, two - 40).otherwise(two)
+    def shifted(i: int) -> str:
+        two = f"(d[{i}] * 10 + d[{i + 1}])"
+        return f"({two} - if({two} > 40, 40, 0))"
 
-        # An array index before the start or past the end gives NULL.
-        longest = F.get(F.expr(f"array{MONTH_DAYS}"), shifted(2) - 1)
-        dated = (d[0] >= 8) | F.coalesce(shifted(0).between(1, longest), F.lit(False))
-        # A control value of 10 equals no digit, so it is rejected as well.
-        return dated & (control(CONTROL_1) == d[9]) & (control(CONTROL_2) == d[10])
+    # An array index before the start or past the end gives NULL.
+    longest = f"get(array{MONTH_DAYS}, {shifted(2)} - 1)"
+    dated = f"(d[0] >= 8 OR coalesce({shifted(0)} BETWEEN 1 AND {longest}, false))"
+    # A control value of 10 equals no digit, so it is rejected as well.
+    check = f"{dated} AND {control(CONTROL_1)} = d[9] AND {control(CONTROL_2)} = d[10]"
+    numbers = f"transform(split({digits}, ''), c -> cast(c AS int))"
+    return f"CASE WHEN rlike({digits}, '^[0-9]{{11}}$') THEN {bind(numbers, 'd', check)} ELSE false END"
 
-    numbers = F.transform(F.split(digits, ""), lambda c: c.cast("int"))
-    return F.when(digits.rlike(r"^\d{11}$"), bind(numbers, check)).otherwise(False)
 
+def valid_phone(match: str) -> str:
+    """Eight subscriber digits, alone or after the country code (SQL)."""
+    digits = f"regexp_replace({match}, '[^0-9]', '')"
+    local = "if(startswith(n, '0047'), substr(n, 3), n)"
+    check = "length(s) = 8 OR (length(s) = 10 AND startswith(s, '47'))"
+    return bind(digits, "n", bind(local, "s", check))
 
-def valid_phone(match: Column) -> Column:
-    digits = F.regexp_replace(match, r"[^\d]", "")
-    local = F.when(digits.startswith("0047"), F.substr(digits, F.lit(3))).otherwise(digits)
-    return (F.length(local) == 8) | ((F.length(local) == 10) & local.startswith("47"))
+
+def _among(value: str, words: Collection[str]) -> str:
+    return f"{value} IN ({', '.join(literal(w) for w in words)})" if words else "false"
 
 
 @dataclass(frozen=True)
@@ -164,20 +166,18 @@ class Redactor:
         """A plain string without which no match of ``kind`` is possible."""
         return "@" if kind == "EMAIL" else None
 
-    def accepts(self, kind: str, match: Column) -> Column:
-        """Whether a regex match of ``kind`` is personal data."""
+    def accepts(self, kind: str, match: str) -> str:
+        """Whether a regex match of ``kind`` is personal data (SQL)."""
         if kind == "EMAIL":
-            domain = F.lower(F.substring_index(match, "@", -1))
-            tld = F.substring_index(domain, ".", -1)
-            return ~domain.isin(*self.exempt_domains) & ~tld.isin(*self.exempt_tlds)
+            domain = f"lower(substring_index({match}, '@', -1))"
+            tld = f"substring_index({domain}, '.', -1)"
+            return f"NOT {_among(domain, self.exempt_domains)} AND NOT {_among(tld, self.exempt_tlds)}"
         if kind == "FNR":
-            return valid_identity(F.regexp_replace(match, BLANK, ""))
-        if kind == "PHONE":
-            return valid_phone(match)
-        return match.isNotNull()
+            return bind(f"regexp_replace({match}, {literal(BLANK)}, '')", "digits", valid_identity("digits"))
+        return valid_phone(match)
 
-    def step(self, kind: str, text: Column) -> Column:
-        """Struct of the text with one kind masked and the number of its values."""
+    def _step(self, kind: str, text: str) -> str:
+        """Struct of a text with one kind masked and the number of its values (SQL)."""
         return splice(
             text,
             self.pattern(kind),
@@ -188,11 +188,11 @@ class Redactor:
 
     def mask(self, kind: str, text: Column) -> Column:
         """Mask one kind of personal data in ``text``."""
-        return self.step(kind, text)["text"]
+        return apply(text, "t", f"({self._step(kind, 't')}).text")
 
     def hits(self, kind: str, text: Column) -> Column:
         """Number of values of one kind in ``text``."""
-        return self.step(kind, text)["hits"]
+        return apply(text, "t", f"({self._step(kind, 't')}).hits")
 
     def _split_kinds(self) -> tuple[list[str], list[str]]:
         """Leading kinds that a plain substring rules out, and the rest."""
@@ -208,57 +208,46 @@ class Redactor:
         starts = "".join(FIRST_CHARACTERS[k] for k in kinds)
         return f"(?=[{starts}])(?:" + "|".join(f"(?:{self.pattern(k)})" for k in kinds) + ")"
 
-    def text(self, text: Column) -> Column:
-        """Mask every kind; later kinds see the text left by earlier ones.
-
-        A text in which no pattern matches is found out by a single search for
-        all of them.
-        """
-        if not self.enabled:
-            return text
-        cheap, rest = self._split_kinds()
-        for kind in cheap:
-            text = self.mask(kind, text)
-        if not rest:
-            return text
-
-        def masked(t: Column) -> Column:
-            left = t
-            for kind in rest:
-                left = self.mask(kind, left)
-            return F.when(t.rlike(self._any_of(rest)), left).otherwise(t)
+    def _all_steps(self, finish: Callable[[str, list[str]], str]) -> str:
+        """Every kind in turn, each on the text left by the earlier ones (SQL).
 
-        return bind(text, masked)
-
-    def findings(self, text: Column) -> Column:
-        """Number of values of each kind as an array in the order of ``kinds``.
-
-        Each kind is counted on the text that the earlier kinds left over.
+        ``finish`` makes the result from the last text and the hits per kind.  A
+        text without any match is found out by a single search for all kinds.
         """
         cheap, rest = self._split_kinds()
 
-        def count(kinds: list[str], t: Column, counts: list[Column], after) -> Column:
+        def run(kinds: list[str], text: str, hits: list[str], last: Callable[[str, list[str]], str]) -> str:
             if not kinds:
-                return after(t, counts)
+                return last(text, hits)
             kind, *others = kinds
-            return bind(
-                self.step(kind, t), lambda s: count(others, s["text"], [*counts, s["hits"]], after)
-            )
+            name = f"after_{kind.lower()}"
+            following = run(others, f"{name}.text", [*hits, f"{name}.hits"], last)
+            return bind(bind(text, "t", self._step(kind, "t")), name, following)
 
-        def guarded(t: Column, counts: list[Column]) -> Column:
+        def guarded(text: str, hits: list[str]) -> str:
             if not rest:
-                return F.array(*counts)
-            all_counted = count(rest, t, counts, lambda _, c: F.array(*c))
-            nothing = F.array(*counts, *[F.lit(0) for _ in rest])
-            return F.when(t.rlike(self._any_of(rest)), all_counted).otherwise(nothing)
+                return finish(text, hits)
+            clean = finish(text, [*hits, *["0" for _ in rest]])
+            return f"CASE WHEN {matches(text, self._any_of(rest))} THEN {run(rest, text, hits, finish)} ELSE {clean} END"
+
+        return run(cheap, "whole", [], guarded)
 
-        return bind(text, lambda t: count(cheap, t, [], guarded))
+    def text(self, text: Column) -> Column:
+        """Mask every kind."""
+        if not (self.enabled and self.kinds):
+            return text
+        return apply(text, "whole", self._all_steps(lambda left, _: left))
+
+    def findings(self, text: Column) -> Column:
+        """Number of values of each kind as an array in the order of ``kinds``."""
+        return apply(text, "whole", self._all_steps(lambda _, hits: f"array({', '.join(hits)})"))
 
     def number(self, value: Column) -> Column:
         """An integer as string, masked when it is an identity number."""
         plain = value.cast("string")
         if not (self.enabled and "FNR" in self.kinds):
             return plain
-        size = F.abs(value).cast("string")
-        padded = F.when(F.length(size).isin(10, 11), F.lpad(size, 11, "0"))
-        return F.when(valid_identity(padded), placeholder("FNR", padded)).otherwise(plain)
+        masked = f"CASE WHEN {valid_identity('padded')} THEN {placeholder('FNR', 'padded')} END"
+        size = "if(length(size) IN (10, 11), lpad(size, 11, '0'), '')"
+        found = apply(F.abs(value).cast("string"), "size", bind(size, "padded", masked))
+        return F.coalesce(found, plain)

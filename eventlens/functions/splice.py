@@ -1,9 +1,12 @@
 """Replace regex matches by a value computed from each match.
 
 Spark's ``regexp_replace`` only knows constant replacements.  Here every match
-is enclosed in a mark, the text is cut at the marks, each match is mapped by a
-Column expression, and the pieces are joined again.  Rows without a match pay for
-one regex search only.
+is enclosed in a mark, the text is cut at the marks, each match is mapped by an
+expression, and the pieces are joined again.  Rows without a match pay for one
+regex search only.
+
+The expressions are composed as SQL text: as Columns, each of their hundreds of
+nodes would be a round trip to the JVM whenever a query is built.
 """
 
 from __future__ import annotations
@@ -17,74 +20,66 @@ from pyspark.sql import functions as F
 MARK = "￿"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.transform(F.array(value), body)[0]
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bind(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once and use it as ``name`` inside ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
 
+def apply(value: Column, name: str, body: str) -> Column:
+    """The SQL ``body`` with ``name`` standing for a Column."""
+    return F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}"))[0]
 
-def matches(text: Column, pattern: str, needs: str | None = None) -> Column:
+
+def matches(text: str, pattern: str, needs: str | None = None) -> str:
     """``rlike``, after a plain substring test where one exists."""
-    return text.rlike(pattern) if needs is None else text.contains(needs) & text.rlike(pattern)
+    search = f"rlike({text}, {literal(pattern)})"
+    return search if needs is None else f"contains({text}, {literal(needs)}) AND {search}"
 
 
 def splice(
-    text: Column,
+    text: str,
     pattern: str,
-    replace: Callable[[Column], Column],
-    accept: Callable[[Column], Column] | None = None,
+    replace: Callable[[str], str],
+    accept: Callable[[str], str] | None = None,
     needs: str | None = None,
-) -> Column:
-    """``text`` with the accepted matches replaced, and how many those are.
+) -> str:
+    """The variable ``text`` with the accepted matches replaced, and how many those are.
 
     Gives a struct of ``text`` and ``hits``.  ``needs`` is a plain string without
     which no match is possible.  The cut is at a constant character, because
     Spark compiles a regex given to ``split`` anew for every row.  A text that
     holds the mark itself takes that slow way.
     """
-
-    def pieces(t: Column) -> Column:
-        """Gaps and matches in turn, a gap first."""
-        marked = F.split(F.regexp_replace(t, pattern, f"{MARK}$0{MARK}"), MARK, -1)
-        found = F.regexp_extract_all(t, F.lit(pattern), 0)
-        slow = F.flatten(F.zip_with(F.split(t, pattern, -1), found, lambda g, m: F.array_compact(F.array(g, m))))
-        return F.when(t.contains(MARK), slow).otherwise(marked)
-
-    def mapped(parts: Column) -> Column:
-        """NULL for whatever stays as it is."""
-
-        def one(part: Column, i: Column) -> Column:
-            is_match = i % 2 == 1
-            return F.when(is_match if accept is None else is_match & accept(part), replace(part))
-
-        return F.transform(parts, one)
-
-    def joined(parts: Column) -> Column:
-        def build(new: Column) -> Column:
-            whole = F.array_join(F.zip_with(new, parts, lambda n, p: F.coalesce(n, p)), "")
-            return F.struct(whole.alias("text"), F.size(F.array_compact(new)).alias("hits"))
-
-        return bind(mapped(parts), build)
-
-    def whole(t: Column) -> Column:
-        unchanged = F.struct(t.alias("text"), F.lit(0).alias("hits"))
-        return F.when(matches(t, pattern, needs), bind(pieces(t), joined)).otherwise(unchanged)
-
-    return bind(text, whole)
+    regex, mark = literal(pattern), literal(MARK)
+    marked = f"split(regexp_replace({text}, {regex}, {literal(MARK + '$0' + MARK)}), {mark}, -1)"
+    pairs = f"zip_with(split({text}, {regex}, -1), regexp_extract_all({text}, {regex}, 0), (g, m) -> array_compact(array(g, m)))"
+    # Gaps and matches in turn, a gap first.
+    pieces = f"CASE WHEN contains({text}, {mark}) THEN flatten({pairs}) ELSE {marked} END"
+    chosen = "i % 2 = 1" if accept is None else f"i % 2 = 1 AND {accept('p')}"
+    # NULL for whatever stays as it is.
+    mapped = f"transform(pieces, (p, i) -> CASE WHEN {chosen} THEN {replace('p')} END)"
+    joined = "array_join(zip_with(mapped, pieces, (n, p) -> coalesce(n, p)), '')"
+    result = f"named_struct('text', {joined}, 'hits', size(array_compact(mapped)))"
+    replaced = bind(pieces, "pieces", bind(mapped, "mapped", result))
+    return (
+        f"CASE WHEN {matches(text, pattern, needs)} THEN {replaced} "
+        f"ELSE named_struct('text', {text}, 'hits', 0) END"
+    )
 
 
-def stable_id(token: Column) -> Column:
+def stable_id(token: str) -> str:
     """Four digits that depend on the lower-cased token only.
 
     31-multiplier string hash in unsigned 32 bits, modulo 10,000.
     """
-    chars = F.split(F.lower(token), "")
-    digest = F.aggregate(
-        chars,
-        F.lit(0).cast("bigint"),
-        lambda h, c: (h * 31 + F.ascii(c)).bitwiseAND(F.lit(0xFFFFFFFF)),
-    )
-    return F.lpad((digest % 10000).cast("string"), 4, "0")
+    digest = f"aggregate(split(lower({token}), ''), 0L, (h, c) -> (h * 31 + ascii(c)) & 4294967295)"
+    return f"lpad(cast({digest} % 10000 AS string), 4, '0')"
 
 
-def placeholder(kind: str, token: Column) -> Column:
-    return F.concat(F.lit(f"[{kind}_"), stable_id(token), F.lit("]"))
+def placeholder(kind: str, token: str) -> str:
+    return f"concat('[{kind}_', {stable_id(token)}, ']')"
