@@ -250,13 +250,16 @@ def event_page_after(spark, sf_dir):
           + length(coalesce('"' || exception || '"', 'null')) - 1 AS size
       FROM log_events WHERE level IN ('Error', 'Fatal')),
     running AS (SELECT i, total, sum(size) OVER (ORDER BY i) AS s FROM ranked),
+    sizes AS (
+      SELECT i, total, s + i - 1 + length('{{"Columns":["event_id","level","message","exception"],"Rows":[]}}') AS bare,
+        length('"truncated":true,"returnedRows":,"truncation_message":"{ROWSET_NOTE.format(limit=CHARACTER_LIMIT).replace("'", "''")}",')
+          + length(CAST(i AS VARCHAR)) AS note FROM running),
     fitting AS (
-      SELECT max(i) AS kept FROM running
-      WHERE i IN (SELECT CAST(ceil(total / pow(2, e)) AS BIGINT) FROM range(1, 41) t(e), (SELECT max(total) AS total FROM running))
-        AND length('{{"truncated":true,"returnedRows":,"truncation_message":"{ROWSET_NOTE.format(limit=CHARACTER_LIMIT).replace("'", "''")}",'
-          || '"Columns":["event_id","level","message","exception"],"Rows":[]}}') + length(CAST(i AS VARCHAR)) + s + i - 1 <= {CHARACTER_LIMIT})
-    SELECT l.event_id, level, message, exception, true AS truncated, kept AS returned
-    FROM log_events l JOIN ranked r USING (event_id), fitting WHERE r.i <= kept"""
+      SELECT coalesce(max(i) FILTER (i = total AND bare <= {CHARACTER_LIMIT}),
+        max(i) FILTER (bare + note <= {CHARACTER_LIMIT} AND i IN (SELECT CAST(ceil(total / pow(2, e)) AS BIGINT) FROM range(1, 41) t(e))), 1) AS kept
+      FROM sizes)
+    SELECT l.event_id, level, message, exception, kept < r.total AS truncated, kept AS returned
+    FROM log_events l JOIN ranked r USING (event_id) CROSS JOIN fitting WHERE r.i <= kept"""
 )
 def result_budget(spark, sf_dir):
     """A rowset cut by halving until its compact JSON fits."""
