@@ -121,19 +121,7 @@ def percentiles(
         return df.groupBy(*by).agg(*aggs, *found)
     if method != "narrowed":
         raise ValueError(f"unknown method {method!r}")
-    exact = _narrowed(df, list(by), column, points, accuracy)
-    if not aggs:
-        return exact
-    others = df.groupBy(*by).agg(*aggs)
-    if not by:
-        # Two results of one row each.
-        return others.select("*", *[exact.select(n).scalar().alias(n) for n in points])
-    same = _same_keys("l", "r", by)
-    return (
-        others.alias("l")
-        .join(exact.alias("r"), same, "left")
-        .select("l.*", *[F.col(f"r.{name}") for name in points])
-    )
+    return _narrowed(df, list(by), column, points, list(aggs), accuracy)
 
 
 def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -143,13 +131,16 @@ def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return same
 
 
-def _narrowed(df: DataFrame, by: list[str], column: str, points: dict[str, float], accuracy: int) -> DataFrame:
+def _narrowed(
+    df: DataFrame, by: list[str], column: str, points: dict[str, float], aggs: list[Column], accuracy: int
+) -> DataFrame:
     """Exact percentiles without bringing a group into one task.
 
-    1. A mergeable quantile sketch per group brackets each wanted rank; only
-       the bracket bounds are kept (a small table, written to the scratch
-       folder).  While a bracket still holds too many rows, the sketch is
-       repeated on the rows inside it; every round shrinks it about 300 times.
+    1. A mergeable quantile sketch per group brackets each wanted rank; the
+       other aggregates come from the same scan.  Only the result, a row per
+       group, is kept (in the scratch folder).  While a bracket still holds too
+       many rows, the sketch is repeated on the rows inside it; every round
+       shrinks it about 300 times.
     2. One more pass counts the rows below and above the bracket and the rows
        per distinct value inside it, combined map-side, and the ranks are read
        off the running counts.
@@ -157,16 +148,19 @@ def _narrowed(df: DataFrame, by: list[str], column: str, points: dict[str, float
     single = not by
     if single:
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
-    # NaN would break the ordering comparisons, NULL is not a value.
-    rows = df.select(*by, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    # NULL is not a value; NaN would break the ordering comparisons.
+    value = F.col(column).cast("double")
+    rows = df.select(*by, value.alias("_v")).filter(F.col("_v").isNotNull())
     grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     wanted = F.array(
         *[F.struct(F.lit(name).alias("_name"), F.lit(p / 100).alias("_p")) for name, p in points.items()]
     )
-    sketch = rows.groupBy(*by).agg(
-        F.count("*").alias("_n"), F.percentile_approx("_v", grid, accuracy).alias("_grid")
+    first = materialize(
+        df.groupBy(*by).agg(
+            *aggs, F.count(value).alias("_n"), F.percentile_approx(value, grid, accuracy).alias("_grid")
+        )
     )
-    sketch = sketch.select(
+    sketch = first.filter(F.col("_n") > 0).select(
         *by, "_n", "_grid", F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_inside"), F.inline(wanted)
     )
     while True:
@@ -203,11 +197,14 @@ def _narrowed(df: DataFrame, by: list[str], column: str, points: dict[str, float
 
     low, high = F.floor(position), F.ceil(position)
     found = counted.withColumn("_upto", upto).groupBy(*group).agg(at(low + 1).alias("_a"), at(high + 1).alias("_b"))
-    value = F.col("_a") + (F.col("_b") - F.col("_a")) * (position - low)
+    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (position - low)
     result = found.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in points]
+        *[F.max(F.when(F.col("_name") == name, between)).alias(name) for name in points]
     )
-    return result.drop("_all") if single else result
+    others = first.drop("_n", "_grid").alias("l")
+    joined = others.join(result.alias("r"), _same_keys("l", "r", by), "left")
+    joined = joined.select("l.*", *[F.col(f"r.{name}") for name in points])
+    return joined.drop("_all") if single else joined
 
 
 def _bounds(accuracy: int) -> list[Column]:
