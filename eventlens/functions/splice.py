@@ -36,8 +36,12 @@ def apply(value: Column, name: str, body: str) -> Column:
 
 
 def matches(text: str, pattern: str, needs: str | None = None) -> str:
-    """``rlike``, after a plain substring test where one exists."""
-    search = f"rlike({text}, {literal(pattern)})"
+    """Whether ``pattern`` (never empty) occurs, after a plain substring test where one exists.
+
+    Inside lambdas ``rlike`` decodes the pattern for every row, which for a long
+    one takes longer than the search; ``regexp_extract`` keeps it.
+    """
+    search = f"regexp_extract({text}, {literal(pattern)}, 0) <> ''"
     return search if needs is None else f"contains({text}, {literal(needs)}) AND {search}"
 
 

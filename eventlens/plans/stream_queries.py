@@ -18,9 +18,10 @@ E = with_tables("log_events")
 
 
 def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event files of the driver as a stream, mapped to log events."""
+    """The event table (a file, or a folder of files) as a stream, mapped to log events."""
     schema = table(spark, sf_dir, "events").schema
-    raw = stream_events(spark, sf_dir, schema=schema, pathGlobFilter="events.parquet")
+    # A stream source takes a folder or a pattern; a pattern fits both a file and a folder.
+    raw = stream_events(spark, f"{sf_dir}/event[s].parquet", schema=schema)
     columns = [c.alias(name) for name, c in log_columns().items()]
     return raw.select("event_id", "ts", "user_id", "event_type", "props", *columns)
 
