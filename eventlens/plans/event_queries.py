@@ -362,7 +362,7 @@ def identifier_report(spark, sf_dir):
         " ",
         F.col("message"),
         F.concat(F.lit("RequestId: r-"), F.col("user_id").cast("string")),
-        F.when(F.col("level") == "Error", F.concat(F.lit("(ReportWorkspaceId="), F.lpad(k, 8, "0"), F.lit(")"))),
+        F.when(F.col("level") == "Error", F.concat(F.lit("(WorkspaceId="), F.lpad(k, 8, "0"), F.lit(")"))),
         F.when(F.col("exception").isNotNull(), F.concat(F.lit("at Handler"), (F.col("k") % 6).cast("string"), F.lit(".cs:"), k)),
     )
     return identifiers(log_events(spark, sf_dir).select(text.alias("text")), "text")

@@ -268,13 +268,13 @@ def test_small_operators(spark):
     counts = Counter(r["scope"] for r in swept.collect())
     assert counts == {"hot": sum(r[3] == "hot" for r in rows), "bad": sum(r[2] == "Error" for r in rows)}
     assert distinct_values(df, "exception").count() == len({r[4] for r in rows if r[4]})
-    text = "RequestId: ab-12 then ReportWorkspaceId: 09c03054, Lambda: run-it-prod at AlaresDataSource.cs:55 and transaction_id=77"
+    text = "RequestId: ab-12 then WorkspaceId: 4f2a77, Lambda: run-it-prod at OrderStore.cs:55 and transaction_id=77"
     found = identifiers(spark.createDataFrame([(text,)], "t string"), "t")
     assert {(r["kind"], r["identifier"]) for r in found.collect()} == {
         ("request", "ab-12"),
-        ("workspace", "09c03054"),
+        ("workspace", "4f2a77"),
         ("function", "run-it-prod"),
-        ("source_line", "AlaresDataSource.cs:55"),
+        ("source_line", "OrderStore.cs:55"),
         ("transaction", "77"),
     }
     loose = spark.createDataFrame([('{"k": 3}',), ('{"k": "x"}',), ("broken",), (None,)], "props string")

@@ -34,11 +34,11 @@ MASKED = [
     ("Per Berg ringte", "[NAME_#] [NAME_#] ringte"),
     ("JanKowalski", "[NAME_#]Kowalski"),
     (
-        "Lege Kari Nordmann; fnr 13116900216; e-post ola@helse-bergen.no; tlf +47 99 88 77 66",
+        "Lege Kari Nordmann; fnr 13116900216; e-post ola@klinikk.no; tlf +47 99 88 77 66",
         "Lege [NAME_#] [NAME_#]; fnr [FNR_#]; e-post [EMAIL_#]; tlf [PHONE_#]",
     ),
-    ("linje1 Kari Nordmann\nlinje2 ola@helse-bergen.no", "linje1 [NAME_#] [NAME_#]\nlinje2 [EMAIL_#]"),
-    ("Kontakt kari.nordmann@helse-bergen.no for mer info", "Kontakt [EMAIL_#] for mer info"),
+    ("linje1 Kari Nordmann\nlinje2 ola@klinikk.no", "linje1 [NAME_#] [NAME_#]\nlinje2 [EMAIL_#]"),
+    ("Kontakt kari.nordmann@klinikk.no for mer info", "Kontakt [EMAIL_#] for mer info"),
     ("Ring meg på +47 99 88 77 66 i dag", "Ring meg på [PHONE_#] i dag"),
     ("Ring 0047 99 88 77 66 i dag", "Ring [PHONE_#] i dag"),
     ("22 33 44 55 og 412 34 567 og 90000001", "[PHONE_#] og [PHONE_#] og [PHONE_#]"),
