@@ -111,8 +111,10 @@ def live_alerts(
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             F.to_date("slice_start").alias("slice_date"),
         )
+        # At most rules x slices of a day: one file per day and batch.
         (
-            versioned.write.mode("overwrite")
+            versioned.repartition("slice_date")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("slice_date", "batch_id")
             .parquet(path)
