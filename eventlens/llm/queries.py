@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eventlens.llm.chat_format import digest, fold_events, render
 from eventlens.llm.common import table
 from eventlens.llm.exact_dedup import exact_duplicates
+from eventlens.llm.license_scan import scan_licenses
+from eventlens.llm.quality_rules import repetition_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +46,46 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates among all documents."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition measures and verdict of all documents."""
+    return repetition_report(table(spark, sf_dir, "documents"))
+
+
+_ESCAPED = "replace(replace(replace(coalesce({0}, ''), '\\', '\\s'), '<s>', '\\ls>'), '</s>', '\\l/s>')"
+
+OP8_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, t.turn, t.role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(8 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) AS BIGINT)
+         AS formatted_chars
+FROM turns
+GROUP BY conv_id
+"""
+
+
+@query(OP8_SQL)
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that holds control strings, rendered and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("seq"), "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, seq long, role string, text string"
+    )
+    return digest(render(fold_events(rows.unionByName(extra))))
+
+
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detections of all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
