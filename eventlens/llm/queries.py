@@ -11,6 +11,7 @@ from eventlens.llm.chat_format import digest, fold_events, render
 from eventlens.llm.common import table
 from eventlens.llm.exact_dedup import exact_duplicates
 from eventlens.llm.license_scan import scan_licenses
+from eventlens.llm.mixing import mix_sources
 from eventlens.llm.packing import pack_documents
 from eventlens.llm.quality_rules import repetition_report
 
@@ -96,3 +97,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents tokenised and packed into sequences of 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document."""
+    return mix_sources(table(spark, sf_dir, "documents")).drop("tag")
