@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.session import materialize
+
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
@@ -103,3 +105,25 @@ def frames(batches: Iterator[pd.DataFrame], build) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if len(batch):
             yield build(batch)
+
+
+# Rows of a checked side that are sent whole to every executor; a few ten MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def join_labels(docs: DataFrame, labels: DataFrame, label: str, where: Column) -> DataFrame:
+    """``docs`` that have a label, as columns doc_id, text and ``label`` (0 or 1).
+
+    ``where`` picks documents by ``doc_id``.  A document labelled several times
+    has the largest label.  Few labels are sent to the documents, so that no text
+    moves; more than ``BROADCAST_ROWS`` are joined by shuffle.
+    """
+    known = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+        .where(where)
+        .groupBy("doc_id")
+        .agg(F.max(F.col(label).cast("int")).alias("label"))
+    )
+    known = materialize(known)
+    few = known.count() <= BROADCAST_ROWS
+    return docs.select("doc_id", "text").where(where).join(F.broadcast(known) if few else known, "doc_id")

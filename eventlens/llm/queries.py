@@ -13,7 +13,9 @@ from eventlens.llm.exact_dedup import exact_duplicates
 from eventlens.llm.license_scan import scan_licenses
 from eventlens.llm.mixing import mix_sources
 from eventlens.llm.packing import pack_documents
+from eventlens.llm.quality_classifier import quality
 from eventlens.llm.quality_rules import repetition_report
+from eventlens.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,3 +105,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document."""
     return mix_sources(table(spark, sf_dir, "documents")).drop("tag")
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels that are not held out."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
