@@ -12,6 +12,7 @@ from eventlens.llm.common import table
 from eventlens.llm.exact_dedup import exact_duplicates
 from eventlens.llm.license_scan import scan_licenses
 from eventlens.llm.mixing import mix_sources
+from eventlens.llm.near_dedup import near_duplicates
 from eventlens.llm.packing import pack_documents
 from eventlens.llm.quality_classifier import quality
 from eventlens.llm.quality_rules import repetition_report
@@ -117,3 +118,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from the labels that are not held out."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
