@@ -16,6 +16,7 @@ from eventlens.llm.near_dedup import near_duplicates
 from eventlens.llm.packing import pack_documents
 from eventlens.llm.quality_classifier import quality
 from eventlens.llm.quality_rules import repetition_report
+from eventlens.llm.substring_dedup import remove_repeats
 from eventlens.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +125,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that smaller documents have too."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
