@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from eventlens.llm.chat_format import digest, fold_events, render
 from eventlens.llm.common import table
 from eventlens.llm.exact_dedup import exact_duplicates
@@ -131,3 +132,9 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages that smaller documents have too."""
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the training-data pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
