@@ -32,9 +32,9 @@ END_OF_DOCUMENT = 0
 CHUNK_ROWS = 2_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-# A run of such marks after a letter and before white space is a token of its
-# own, so it may be set apart by a space; the tokenizer drops white space.
-_MARKS = re.compile(rb"(?<=[a-z])([.,;:!?]+)(?=[ \t\n]|$)")
+# Marks at the end of a unit, after a letter or digit, are a token of their own:
+# the unit has the ids of what comes before and then those of the marks.
+_MARKS = re.compile(rb"(.*[a-z0-9])([.,;:!?]+)\Z", re.DOTALL)
 
 
 @lru_cache(maxsize=2)
@@ -62,15 +62,24 @@ class UnitIds:
         if len(self.known) + len(missing) > self.LIMIT:
             self.known.clear()
             missing = units
-        missing = list(missing)
-        encoded = self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in missing], add_special_tokens=False)
-        for unit, encoding in zip(missing, encoded, strict=True):
-            self.known[unit] = np.asarray(encoding.ids, dtype="<u4").tobytes()
+        parts = {unit: self._parts(unit) for unit in missing}
+        stems = list({part for some in parts.values() for part in some} - self.known.keys())
+        encoded = self.tokenizer.encode_batch_fast([s.decode("utf-8") for s in stems], add_special_tokens=False)
+        for stem, encoding in zip(stems, encoded, strict=True):
+            self.known[stem] = np.asarray(encoding.ids, dtype="<u4").tobytes()
+        for unit, some in parts.items():
+            if len(some) > 1:
+                self.known[unit] = b"".join(map(self.known.__getitem__, some))
+
+    @staticmethod
+    def _parts(unit: bytes) -> tuple[bytes, ...]:
+        found = _MARKS.match(unit) if unit[-1] in b".,;:!?" else None
+        return found.groups() if found else (unit,)
 
     def of(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text.  Only units of about ``CHUNK_BYTES`` of text are looked up at a time."""
         for first, last in _chunks([len(t or "") for t in texts], self.CHUNK_BYTES):
-            units = [_MARKS.sub(rb" \1", (t or "").encode("utf-8").lower()).split() for t in texts[first:last]]
+            units = [(t or "").encode("utf-8").lower().split() for t in texts[first:last]]
             self._learn(set().union(*units))
             for one in units:
                 yield b"".join(map(self.known.__getitem__, one))
