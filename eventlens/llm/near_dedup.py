@@ -10,10 +10,11 @@ through is confirmed on the full sets, so every link is exact.
 Documents with equal sets are one node from the start.  Within a bucket nodes are
 first compared with the bucket's smallest node only, which ties most groups
 together with a link per node.  Nodes of a bucket that are still apart are then
-compared with all others there, in blocks, by sketch; for each node and foreign
-component the most similar nodes are confirmed first and more in every further
-round, until no unconfirmed candidate ties two components.  Nothing is given up
-on, and no group is ever spelled out in pairs.
+compared with all others there, in blocks, by sketch, which names the nodes that
+may be linked to another component.  Those are compared by their full sets, in
+blocks again, and a block returns no more links than it takes to tie its
+components together.  Nothing is given up on, and no group is ever spelled out
+in pairs.
 
 A pair of similarity 0.85 misses every band with a probability of about 1e-7.
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from eventlens.llm.common import BROADCAST_ROWS, WordHashes, frames, mix, multipliers, window_hashes, words_of
@@ -39,6 +40,9 @@ SKETCH_BITS = 1024
 # Five standard deviations of the estimate below the threshold.
 SKETCH_LEAST = 0.68
 LEFT_BLOCK, RIGHT_BLOCK = 512, 2048
+BLOCK_SHINGLES = 2_000_000  # of each side of a block
+COMPARED = 1 << 14  # pairs of sketches, and
+SHINGLE_BLOCK = 1024  # shingles, looked at in one step
 NO_ID = -(2**63)
 
 _HASHES = BANDS * ROWS
@@ -171,66 +175,126 @@ def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.where(differing <= _differing_bound(SKETCH_LEAST)).select("a", "b")
 
 
-def _compare(most: int):
-    """Compare the nodes that are apart with a block of their bucket; ``most`` nodes for each and foreign component."""
+def _involved(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of a block that have a promising partner in another component."""
+    left, right = rows[rows["apart"]], rows[~rows["apart"]]
+    if not len(left) or not len(right):
+        return pd.DataFrame({"bucket": [], "node": []}, dtype=np.int64)
     bound = _differing_bound(SKETCH_LEAST)
+    ours, theirs = (np.stack(part["sketch"].to_numpy()).view(np.uint64) for part in (left, right))
+    n_left, n_right = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
+    c_left, c_right = left["component"].to_numpy(), right["component"].to_numpy()
+    step = max(1, COMPARED // len(right))
+    any_left, any_right = np.zeros(len(left), dtype=bool), np.zeros(len(right), dtype=bool)
+    for at in range(0, len(left), step):
+        part = slice(at, at + step)
+        fits = c_left[part, None] != c_right
+        fits &= 100 * np.minimum(n_left[part, None], n_right) >= PERCENT * np.maximum(n_left[part, None], n_right)
+        fits &= np.bitwise_count(ours[part, None] ^ theirs).sum(axis=2, dtype=np.int64) <= bound
+        any_left[part] |= fits.any(axis=1)
+        any_right |= fits.any(axis=0)
+    nodes = np.union1d(left["node"].to_numpy()[any_left], right["node"].to_numpy()[any_right])
+    return pd.DataFrame({"bucket": np.full(len(nodes), key[0], dtype=np.int64), "node": nodes})
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    shared = np.intersect1d(np.concatenate(right), np.concatenate(left))
+    result = np.zeros((len(left), len(right)), dtype=np.int64)
+
+    def cells(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        flat = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, flat), max(len(shared) - 1, 0))
+        known = shared[at] == flat if len(shared) else np.zeros(len(flat), dtype=bool)
+        order = np.argsort(at[known], kind="stable")
+        return owner[known][order], at[known][order]
+
+    (owner_l, at_l), (owner_r, at_r) = cells(left), cells(right)
+    for first in range(0, len(shared), SHINGLE_BLOCK):
+        width = min(SHINGLE_BLOCK, len(shared) - first)
+        tables = []
+        for owner, at, n in ((owner_l, at_l, len(left)), (owner_r, at_r, len(right))):
+            low, high = np.searchsorted(at, (first, first + width))
+            one = np.zeros((n, width), dtype=np.float32)
+            one[owner[low:high], at[low:high] - first] = 1.0
+            tables.append(one)
+        result += (tables[0] @ tables[1].T).astype(np.int64)  # whole numbers, so exact
+    return result
+
+
+def _ties(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of a block, by full sets, that tie its components together; no two of them tie the same."""
+    left, right = rows[rows["apart"]], rows[~rows["apart"]]
+    found = []
+    if len(left) and len(right):
+        sets_l, sets_r = (
+            [np.asarray(s, dtype=np.int64).view(np.uint64) for s in part["shingles"]] for part in (left, right)
+        )
+        sizes_l, sizes_r = (np.array([len(s) for s in sets]) for sets in (sets_l, sets_r))
+        names, numbers = np.unique(np.r_[left["component"], right["component"]], return_inverse=True)
+        c_left, c_right = numbers[: len(left)], numbers[len(left) :]
+        n_left, n_right = left["node"].to_numpy(), right["node"].to_numpy()
+        # Everything that is tied to a component carries the same mark.
+        marks = np.arange(len(names))
+        common = _common(sets_l, sets_r)
+        union = sizes_l[:, None] + sizes_r - common
+        linked = (100 * common >= PERCENT * union) & (c_left[:, None] != c_right)
+        for k in np.flatnonzero(linked.any(axis=1)).tolist():
+            partners = np.flatnonzero(linked[k])
+            # One partner for each component that is not tied to this one yet.
+            _, one = np.unique(marks[c_right[partners]], return_index=True)
+            for p in partners[one].tolist():
+                own, other = marks[c_left[k]], marks[c_right[p]]
+                if own != other:
+                    found.append((n_left[k], n_right[p]))
+                    marks[marks == other] = own
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+
+def _blocks(rows: DataFrame, columns: list[str]) -> GroupedData:
+    """The nodes of each bucket that are apart from its main component, set against all of its nodes, block by block.
+
+    ``rows`` has bucket, node, n_shingles, apart and ``columns``.  A block has
+    about ``LEFT_BLOCK`` and ``RIGHT_BLOCK`` nodes at most, fewer where sets are large.
+    """
+    weight, strays = F.col("n_shingles"), F.col("apart").cast("long")
+    parts = rows.groupBy("bucket").agg(
+        F.ceil(F.greatest(F.sum(strays) / F.lit(LEFT_BLOCK), F.sum(strays * weight) / F.lit(BLOCK_SHINGLES))).cast("int").alias("lefts"),
+        F.ceil(F.greatest(F.count("*") / F.lit(RIGHT_BLOCK), F.sum(weight) / F.lit(BLOCK_SHINGLES))).cast("int").alias("rights"),
+    )
+    rows = rows.join(parts.where("lefts > 0"), "bucket")
+    spread = F.xxhash64("node")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("apart").select(
+        "*", F.pmod(spread, F.col("lefts")).cast("int").alias("i"), every("rights").alias("j")
+    )
+    right = rows.withColumn("apart", F.lit(False)).select(
+        "*", every("lefts").alias("i"), F.pmod(spread, F.col("rights")).cast("int").alias("j")
+    )
+    names = ["bucket", "i", "j", "apart", "node", *columns]
+    return left.select(*names).unionByName(right.select(*names)).groupBy("bucket", "i", "j")
 
-    def run(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = rows[rows["apart"]], rows[~rows["apart"]]
-        found = []
-        if len(left) and len(right):
-            sketches = np.stack(right["sketch"].to_numpy()).view(np.uint64)
-            sizes, nodes, parts = (right[c].to_numpy() for c in ("n_shingles", "node", "component"))
-            for one in left.itertuples():
-                own = np.asarray(one.sketch).view(np.uint64)
-                differing = np.bitwise_count(sketches ^ own).sum(axis=1, dtype=np.int64)
-                fits = (differing <= bound) & (parts != one.component)
-                fits &= 100 * np.minimum(sizes, one.n_shingles) >= PERCENT * np.maximum(sizes, one.n_shingles)
-                at = np.flatnonzero(fits)
-                at = at[np.lexsort((nodes[at], differing[at], parts[at]))]
-                starts = np.flatnonzero(np.r_[True, parts[at][1:] != parts[at][:-1]]) if len(at) else at
-                rank = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)])) if len(at) else at
-                for k, r in zip(at.tolist(), rank.tolist(), strict=True):
-                    if r < most:
-                        found.append((min(one.node, nodes[k]), max(one.node, nodes[k]), False))
-                    elif r == most:
-                        found.append((one.node, one.node, True))  # there are more
-        return pd.DataFrame(found, columns=["a", "b", "more"])
-
-    return run
-
-
-def _still_apart(members: DataFrame, labels: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
-    """Candidates between components that share a bucket: (a, b, more)."""
+
+def _remaining_links(docs: DataFrame, members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that tie all components with a link between two nodes of one bucket."""
     placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = materialize(placed)
     buckets = placed.groupBy("bucket").agg(
-        F.count("*").alias("size"),
         F.mode("component", deterministic=True).alias("main"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
     )
-    mixed = buckets.where("low <> high").select("bucket", "size", "main")
-    rows = placed.join(mixed, "bucket").join(nodes.select("node", "n_shingles", "sketch"), "node")
-    apart = F.col("component") != F.col("main")
-    strays = placed.join(mixed, "bucket").where(apart).groupBy("bucket").agg(F.count("*").alias("strays"))
-    rows = rows.join(strays, "bucket").withColumns(
-        {
-            "lefts": F.ceil(F.col("strays") / F.lit(LEFT_BLOCK)).cast("int"),
-            "rights": F.ceil(F.col("size") / F.lit(RIGHT_BLOCK)).cast("int"),
-        }
-    )
-    spread = F.xxhash64("node")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["bucket", "i", "j", "apart", "node", "n_shingles", "component", "sketch"]
-    left = rows.where(apart).select(
-        "*", F.pmod(spread, F.col("lefts")).cast("int").alias("i"), every("rights").alias("j"), F.lit(True).alias("apart")
-    )
-    right = rows.select(
-        "*", F.pmod(spread, F.col("rights")).cast("int").alias("j"), every("lefts").alias("i"), F.lit(False).alias("apart")
-    )
-    blocks = left.select(*columns).unionByName(right.select(*columns)).groupBy("bucket", "i", "j")
-    return blocks.applyInPandas(_compare(most), "a long, b long, more boolean").distinct()
+    mixed = buckets.where("low <> high").select("bucket", "main")
+    rows = placed.join(mixed, "bucket").withColumn("apart", F.col("component") != F.col("main")).drop("main")
+    described = nodes.select("node", "n_shingles", "sketch")
+    rows = materialize(rows.join(nodes.select("node", "n_shingles"), "node"))
+    blocks = _blocks(rows.join(described.drop("n_shingles"), "node"), ["n_shingles", "component", "sketch"])
+    involved = blocks.applyInPandas(_involved, "bucket long, node long").distinct()
+    rows = materialize(rows.join(involved, ["bucket", "node"]))
+    sets = materialize(_sets(docs, materialize(rows.select("node").distinct())))
+    blocks = _blocks(rows.join(sets, "node"), ["component", "shingles"])
+    return blocks.applyInPandas(_ties, "a long, b long").distinct()
 
 
 def link_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -250,31 +314,17 @@ def link_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     tested = materialize(_promising(stars, nodes))
     labels = materialize(components(confirm(docs, tested)))
 
-    members, most = members.select("bucket", "node"), 4
-    while True:
-        found = materialize(_still_apart(members, labels, nodes, most))
-        pairs = materialize(found.where("not more").select("a", "b").join(tested, ["a", "b"], "left_anti"))
-        truncated = not found.where("more").isEmpty()
-        if pairs.isEmpty():
-            if not truncated:
-                return labels
-            most *= 4
-            continue
-        links = materialize(confirm(docs, pairs))
-        tested = materialize(tested.unionByName(pairs))
-        if links.isEmpty():
-            if not truncated:
-                return labels
-            most *= 4
-            continue
-        # Tie the components, not the nodes, and hand the new names down.
-        of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_is"))
-        joined = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        ties = joined.select(F.coalesce("a_is", "a").alias("a"), F.coalesce("b_is", "b").alias("b"))
-        renamed = materialize(components(ties)).select(F.col("node").alias("component"), F.col("component").alias("now"))
-        old = labels.join(renamed, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
-        new = renamed.select(F.col("component").alias("node"), F.col("now").alias("component"))
-        labels = materialize(old.unionByName(new.join(labels, "node", "left_anti")))
+    links = materialize(_remaining_links(docs, members.select("bucket", "node"), labels, nodes))
+    if links.isEmpty():
+        return labels
+    # Tie the components, not the nodes, and hand the new names down.
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_is"))
+    joined = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ties = joined.select(F.coalesce("a_is", "a").alias("a"), F.coalesce("b_is", "b").alias("b"))
+    renamed = materialize(components(ties)).select(F.col("node").alias("component"), F.col("component").alias("now"))
+    old = labels.join(renamed, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    new = renamed.select(F.col("component").alias("node"), F.col("now").alias("component"))
+    return materialize(old.unionByName(new.join(labels, "node", "left_anti")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
