@@ -35,8 +35,6 @@ WINDOW = 50
 HALF = (WINDOW + 1) // 2
 QUARTER = (HALF + 1) // 2
 REACH = WINDOW - QUARTER + 1  # starts of short windows inside a full one
-# Bytes of hashes up to which they are sent to the documents instead of the documents to them.
-SENT_BYTES = 32 << 20
 NO_ID = -(2**63)
 
 _FACTORS = multipliers(64, seed=3)
@@ -131,11 +129,8 @@ def _elsewhere(found: DataFrame, only_larger: bool = False) -> DataFrame:
 
 
 def _beside(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with what is known of each document, a stored table; it is sent to them if it is small."""
-    n, arrays = side.agg(F.count("*"), F.sum(sum(F.size(c) for c in side.columns if c != "doc"))).first()
-    small = 64 * n + 8 * (arrays or 0) <= SENT_BYTES
-    rows = docs.withColumn("doc", _id(F.col("doc_id")))
-    return rows.join(F.broadcast(side) if small else side, "doc", how)
+    """``docs`` joined with what is known of each document; by shuffle at every size, without sorting texts."""
+    return docs.withColumn("doc", _id(F.col("doc_id"))).join(side.hint("shuffle_hash"), "doc", how)
 
 
 def _per_document(rows: DataFrame, columns: list[str], of: Callable[..., np.ndarray]) -> DataFrame:

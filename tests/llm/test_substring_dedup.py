@@ -5,10 +5,8 @@ import random
 import re
 
 import numpy as np
-import pytest
 
 import __spark_entry__ as contract
-from eventlens.llm import substring_dedup
 from eventlens.llm.substring_dedup import REACH, WINDOW, anchors, remove_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -61,9 +59,7 @@ EDGES = [(900, None), (901, ""), (902, "short"), (None, "n " * 80), (903, "n " *
          (906, "a b " * 40), (906, "b a " * 50), (907, "b a " * 30), (-5, "a b " * 30)]
 
 
-@pytest.mark.parametrize("sent", [32 << 20, 0])
-def test_against_brute_force(docs_of, monkeypatch, sent):
-    monkeypatch.setattr(substring_dedup, "SENT_BYTES", sent)  # 0: the other way of joining
+def test_against_brute_force(docs_of):
     rows = passages() + EDGES
     assert got(remove_repeats(docs_of(rows))) == brute(rows)
 
