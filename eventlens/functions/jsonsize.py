@@ -18,6 +18,28 @@ def _string(value: Column) -> Column:
     return units + short + long * 5 + 2
 
 
+def _number(value: Column) -> Column:
+    """Shortest decimal form: plain from 1e-6 up to 1e21, else with an exponent; not finite is ``null``."""
+    text = F.abs(value).cast("string")
+    mantissa, power = F.substring_index(text, "E", 1), F.regexp_extract(text, "E(.*)", 1).try_cast("int")
+    whole = F.substring_index(mantissa, ".", 1)
+    digits = F.concat(whole, F.substring_index(mantissa, ".", -1))
+    significant = F.ltrim(digits, F.lit("0"))
+    # 0.DDD times 10 to the power of ``point``, with ``count`` digits.
+    point = F.length(whole) + F.coalesce(power, F.lit(0)) - (F.length(digits) - F.length(significant))
+    count = F.length(F.rtrim(significant, F.lit("0")))
+    exponent = count + F.when(count > 1, 1).otherwise(0) + 2 + F.length(F.abs(point - 1).cast("string"))
+    size = (
+        F.when((point > 21) | (point < -5), exponent)
+        .when(point >= count, point)
+        .when(point > 0, count + 1)
+        .otherwise(count + 2 - point)
+    )
+    sign = F.when(value < 0, 1).otherwise(0)
+    infinite = F.abs(value) == float("inf")
+    return F.when(F.isnan(value) | infinite, F.lit(4)).when(value == 0, F.lit(1)).otherwise(sign + size)
+
+
 def _framed(total: Column, count: Column, pretty: bool, depth: int) -> Column:
     """Brackets, commas and line breaks around ``count`` members of length ``total``."""
     size = total + count + 1
@@ -40,8 +62,7 @@ def json_length(value: Column, dtype: T.DataType, pretty: bool = True, depth: in
     elif isinstance(dtype, T.DateType):
         size = F.lit(len('"2024-01-15"'))
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-        whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
-        size = F.length(F.when(whole, value.try_cast("bigint").cast("string")).otherwise(value.cast("string")))
+        size = _number(value)
     elif isinstance(dtype, T.ArrayType):
         items = F.transform(value, lambda x: json_length(x, dtype.elementType, pretty, depth + 1))
         size = _framed(_sum(items), F.size(value), pretty, depth)

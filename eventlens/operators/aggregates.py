@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.timerange import MICROSECOND, TimeWindow, align_down, slice_length, slice_start, ts_literal
-from eventlens.session import SMALL_INPUT, estimated_bytes, materialize
+from eventlens.session import materialize
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -90,6 +90,8 @@ def dense_slices(
 # Distinct values of one group that may be ranked in one task.
 RANKED_VALUES = 5_000_000
 GRID = 1000
+# With a coarser sketch the brackets would hardly shrink.
+LEAST_ACCURACY = 100
 
 
 def percentiles(
@@ -98,21 +100,18 @@ def percentiles(
     column: str,
     points: dict[str, float],
     aggs: Sequence[Column] = (),
-    method: str = "auto",
+    method: str = "narrowed",
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Percentiles (points on 0-100) of ``column`` per group, linearly interpolated.
 
-    * ``exact``: Spark's ``percentile``; holds a group's distinct values in memory,
-      which the size of the input bounds.
-    * ``narrowed``: the same result for groups of any size, see ``_narrowed``.
+    * ``narrowed``: exact for groups of any size, see ``_narrowed``.
+    * ``exact``: the same by Spark's ``percentile``, in one pass, which holds a
+      group's distinct values in one task; for groups known to be small.
     * ``approx``: one pass, ``percentile_approx`` with the given accuracy.
-    * ``auto``: ``exact`` when the input is small, else ``narrowed``.
     """
     if any(not 0 <= p <= 100 for p in points.values()):
         raise ValueError("percentile points lie between 0 and 100")
-    if method == "auto":
-        method = "exact" if estimated_bytes(df.select(*by, column)) <= SMALL_INPUT else "narrowed"
     if method == "exact":
         found = [F.percentile(column, p / 100).alias(name) for name, p in points.items()]
         return df.groupBy(*by).agg(*aggs, *found)
@@ -121,6 +120,8 @@ def percentiles(
         return df.groupBy(*by).agg(*aggs, *found)
     if method != "narrowed":
         raise ValueError(f"unknown method {method!r}")
+    if accuracy < LEAST_ACCURACY:
+        raise ValueError(f"an accuracy below {LEAST_ACCURACY} does not narrow")
     return _narrowed(df, list(by), column, points, list(aggs), accuracy)
 
 
@@ -148,7 +149,7 @@ def _narrowed(
     single = not by
     if single:
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
-    # NULL is not a value; NaN would break the ordering comparisons.
+    # NULL is not a value; NaN is one, the largest, as Spark orders it.
     value = F.col(column).cast("double")
     rows = df.select(*by, value.alias("_v")).filter(F.col("_v").isNotNull())
     grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.timerange import TimeWindow, instant, slice_length, ts_literal, within
 
-# Rules become part of the plan; more than this many is taken for a mistake.
-MAX_RULES = 2_000
+# Rules that are counted by one aggregate.
+RULES_PER_SCAN = 200
 
 
 @dataclass(frozen=True)
@@ -28,10 +29,8 @@ class Rule:
 
 
 def load_rules(rules: DataFrame) -> list[Rule]:
-    """Rule definitions on the driver: configuration text, checked in size."""
-    rows = rules.select("rule_id", "predicate", "window", "threshold", "suppress_until").take(MAX_RULES + 1)
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} alert rules")
+    """Rule definitions on the driver: configuration text, which becomes part of the plan."""
+    rows = rules.select("rule_id", "predicate", "window", "threshold", "suppress_until").collect()
     loaded = [Rule(r[0], r[1], slice_length(r[2]), r[3], r[4]) for r in rows]
     if len({r.rule_id for r in loaded}) < len(loaded):
         raise ValueError("alert rule ids are not unique")
@@ -48,11 +47,18 @@ def state_of(observed: Column, threshold: Column, suppress_until: Column, now: C
 def alert_state(df: DataFrame, rules: DataFrame, now: str | datetime) -> DataFrame:
     """State of every rule at ``now``, rules without a matching event included.
 
-    The scan covers the longest window once.  Each rule is a conditional count,
-    combined map-side, so a single row per task is shuffled; the row of counts
-    is then turned into one row per rule.
+    The scan covers the longest window once for ``RULES_PER_SCAN`` rules.  Each
+    rule is a conditional count, combined map-side, so a single row per task is
+    shuffled; the row of counts is then turned into one row per rule.
     """
     loaded = load_rules(rules)
+    if len(loaded) > RULES_PER_SCAN:
+        groups = [loaded[i : i + RULES_PER_SCAN] for i in range(0, len(loaded), RULES_PER_SCAN)]
+        return reduce(DataFrame.unionByName, [_state(df, rules, group, now) for group in groups])
+    return _state(df, rules, loaded, now)
+
+
+def _state(df: DataFrame, rules: DataFrame, loaded: list[Rule], now: str | datetime) -> DataFrame:
     at = instant(now)
     columns = "rule_id string, state string, observed bigint, threshold bigint, as_of " + df.schema["ts"].dataType.simpleString()
     if not loaded:

@@ -53,24 +53,29 @@ def asof_deployment(
     and day: no pairs of all deployments and events arise, and a hot application
     is spread over its days (and split further by AQE).  The intervals are
     written to the scratch folder, so that Catalyst broadcasts them only if the
-    table really is small.  Among deployments at the same instant the greatest
-    version wins.
+    table really is small.  Events and deployments after ``until`` are matched on
+    its day, so a late event has its deployment too.  Among deployments at the
+    same instant the greatest version wins.
     """
     kind = df.schema["ts"].dataType
     last = ts_literal(df, instant(until))
     unique = deployments.groupBy("application", F.col("deploy_ts").cast(kind).alias("_from")).agg(
         F.max("version").alias("version")
     )
+
+    def day(at: Column) -> Column:
+        return F.least(F.to_date(at), F.to_date(last))
+
     following = F.lead("_from").over(Window.partitionBy("application").orderBy("_from"))
     spans = materialize(
         unique.withColumn("_to", F.coalesce(following, F.greatest(last, F.col("_from"))))
         .withColumn("_open", following.isNull())
-        .withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date("_to"))))
+        .withColumn("_day", F.explode(F.sequence(day(F.col("_from")), day(F.col("_to")))))
         .withColumnRenamed("application", "_application")
         .withColumnRenamed("version", "deployed_version")
     )
     # Both sides stay bare in the residual condition.
-    joined = df.withColumn("_event_day", F.to_date("ts")).join(
+    joined = df.withColumn("_event_day", day(F.col("ts"))).join(
         spans,
         (F.col(application) == F.col("_application"))
         & (F.col("_event_day") == F.col("_day"))

@@ -83,15 +83,19 @@ def signal_listing(signals: DataFrame) -> DataFrame:
 def signal_predicate(signals: DataFrame, ids: str | list[str], combine: str = "and") -> Column:
     """The predicate behind comma-separated signal ids.
 
-    Only the rows of the named ids reach the driver, as text that becomes part
-    of the plan.
+    Only one row for each of the named ids reaches the driver, as text that
+    becomes part of the plan.  An id that has two predicates is an error.
     """
     names = [i.strip() for i in ids.split(",")] if isinstance(ids, str) else list(ids)
-    rows = signals.filter(F.col("signal_id").isin(*names)).select("signal_id", "predicate").distinct()
-    texts = {r["signal_id"]: r["predicate"] for r in rows.take(len(names))}
+    rows = signals.filter(F.col("signal_id").isin(*names)).groupBy("signal_id")
+    found = rows.agg(F.min("predicate").alias("predicate"), F.max("predicate").alias("other")).collect()
+    texts = {r["signal_id"]: r["predicate"] for r in found}
     missing = [n for n in names if n not in texts]
     if missing:
         raise ValueError(f"unknown signal ids: {', '.join(missing)}")
+    unclear = sorted(r["signal_id"] for r in found if r["predicate"] != r["other"])
+    if unclear:
+        raise ValueError(f"signal ids with several predicates: {', '.join(unclear)}")
     return reduce({"and": and_, "or": or_}[combine], [F.expr(texts[n]) for n in names])
 
 

@@ -21,7 +21,7 @@ def errors_per_slice(df: DataFrame, slice: str = "5m", *by: str) -> DataFrame:
 
 
 def percentile_per_slice(
-    df: DataFrame, column: str, point: float, prefix: str, slice: str, method: str = "auto"
+    df: DataFrame, column: str, point: float, prefix: str, slice: str, method: str = "narrowed"
 ) -> DataFrame:
     """A percentile per slice for the paths that start with ``prefix``."""
     scoped = df.filter(F.col("request_path").startswith(prefix))
@@ -34,7 +34,7 @@ def top_failing(df: DataFrame, min_status: int = 500, k: int = 20) -> DataFrame:
     return top_k(count_by(failing, "request_path"), k, "n", "request_path")
 
 
-def path_latency(df: DataFrame, prefix: str, column: str = "elapsed", method: str = "auto") -> DataFrame:
+def path_latency(df: DataFrame, prefix: str, column: str = "elapsed", method: str = "narrowed") -> DataFrame:
     scoped = df.filter(F.col("request_path").startswith(prefix))
     return percentiles(scoped, ["request_path"], column, {"p95": 95}, [F.avg(column).alias("mean")], method)
 

@@ -16,6 +16,8 @@ def has_text(dtype: T.DataType) -> bool:
         return has_text(dtype.elementType)
     if isinstance(dtype, T.MapType):
         return has_text(dtype.valueType)
+    if isinstance(dtype, T.VariantType):
+        return True
     if isinstance(dtype, T.StructType):
         return any(has_text(f.dataType) for f in dtype.fields)
     return isinstance(dtype, T.StringType)
@@ -28,31 +30,38 @@ def redact_value(
     numeric: Collection[str] = (),
     exclude: Collection[str] = (),
     path: str = "",
+    json: Collection[str] = (),
 ) -> Column:
     """Mask every text leaf of ``value``; keys, structure and other leaves stay.
 
-    ``numeric`` and ``exclude`` hold dotted paths; elements of arrays and maps
+    ``numeric``, ``exclude`` and ``json`` (JSON text) hold dotted paths; elements of arrays and maps
     share the path of their container.
     """
     if path in exclude:
         return value
-    if path in numeric and isinstance(dtype, T.IntegralType):
-        return redactor.number(value)
+    if path in numeric and isinstance(dtype, (T.IntegralType, T.DecimalType, T.FloatType, T.DoubleType)):
+        if isinstance(dtype, T.IntegralType):
+            return redactor.number(value)
+        # A fraction is no identity number and stays as Spark writes it.
+        whole = F.when(value == F.floor(value), value.try_cast("bigint"))
+        return F.coalesce(redactor.number(whole), value.cast("string"))
     inside = any(p == path or p.startswith(path + ".") for p in numeric)
     if not redactor.enabled or not (has_text(dtype) or inside):
         return value
     if isinstance(dtype, T.StringType):
-        return redactor.text(value)
+        return redact_json(value, redactor) if path in json else redactor.text(value)
+    if isinstance(dtype, T.VariantType):
+        return F.parse_json(redact_json(F.to_json(value), redactor))
     if isinstance(dtype, T.ArrayType):
         return F.transform(
-            value, lambda x: redact_value(x, dtype.elementType, redactor, numeric, exclude, path)
+            value, lambda x: redact_value(x, dtype.elementType, redactor, numeric, exclude, path, json)
         )
     if isinstance(dtype, T.MapType):
         return F.transform_values(
-            value, lambda _, v: redact_value(v, dtype.valueType, redactor, numeric, exclude, path)
+            value, lambda _, v: redact_value(v, dtype.valueType, redactor, numeric, exclude, path, json)
         )
     fields = [
-        redact_value(value[f.name], f.dataType, redactor, numeric, exclude, f"{path}.{f.name}").alias(f.name)
+        redact_value(value[f.name], f.dataType, redactor, numeric, exclude, f"{path}.{f.name}", json).alias(f.name)
         for f in dtype.fields
     ]
     return F.when(value.isNotNull(), F.struct(*fields))
@@ -63,26 +72,59 @@ def redact(
     redactor: Redactor = Redactor(),
     exclude: Collection[str] = ("event_id",),
     numeric: Collection[str] = (),
+    json: Collection[str] = ("props",),
 ) -> DataFrame:
     """Mask personal data in every column, at any depth.
 
     Apply it last, after filters, aggregates and limits: rows that are grouped
     by a raw value stay apart even where their placeholders coincide.  Key
     columns are excluded, so that page cursors keep working.  ``numeric`` lists
-    the integer columns that may hold identity numbers; they become strings.
+    the number columns that may hold identity numbers; they become strings.
+    ``json`` lists the columns of JSON text, whose keys and layout stay.
     Stateless, so it runs on streams as it is.
     """
     return df.select(
         *[
-            redact_value(F.col(f"`{f.name}`"), f.dataType, redactor, numeric, exclude, f.name).alias(f.name)
+            redact_value(F.col(f"`{f.name}`"), f.dataType, redactor, numeric, exclude, f.name, json).alias(f.name)
             for f in df.schema.fields
         ]
     )
 
 
-def redact_json(text: Column, schema: T.StructType, redactor: Redactor = Redactor(), **paths: Collection[str]) -> Column:
-    """Mask the values of JSON text, leaving its keys and numbers alone."""
-    return F.to_json(redact_value(F.from_json(text, schema), schema, redactor, **paths))
+# A string with its colon if it is a key, a number, or what lies between.
+JSON_TOKEN = r'"[^"]*+"(?:\s*+:)?|-?\d[\d.eE+-]*+|[^"\d-]++|["-]'
+# Stand for an escaped backslash and an escaped quote; JSON text has neither as it is.
+BACKSLASH, QUOTE = "\x01", "\x02"
+
+
+def redact_json(text: Column, redactor: Redactor = Redactor()) -> Column:
+    """Mask the values of JSON text of any shape.
+
+    Text values are masked after their escapes are resolved; whole numbers that
+    are identity numbers become text.  Everything else, keys and layout included,
+    stays as it is.  Text that is not JSON is masked as text.
+    """
+    if not redactor.enabled:
+        return text
+
+    def value(token: Column) -> Column:
+        plain = F.replace(F.replace(token, F.lit(QUOTE), F.lit('\\"')), F.lit(BACKSLASH), F.lit("\\\\"))
+        decoded = F.get(F.from_json(F.concat(F.lit("["), plain, F.lit("]")), "array<string>"), F.lit(0))
+        masked = redactor.text(decoded)
+        encoded = F.to_json(F.array(masked))
+        text_value = F.when(masked == decoded, plain).otherwise(F.substr(encoded, F.lit(2), F.length(encoded) - 2))
+        number = F.concat(F.lit('"'), redactor.number(token.try_cast("bigint")), F.lit('"'))
+        is_text = token.startswith('"') & token.endswith('"') & (F.length(token) > 1)
+        return (
+            F.when(is_text, F.coalesce(text_value, plain))
+            .when(token.rlike("^-?[0-9]{10,11}$") & number.startswith('"['), number)
+            .otherwise(plain)
+        )
+
+    marked = F.replace(F.replace(text, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
+    tokens = F.regexp_extract_all(marked, F.lit(JSON_TOKEN), F.lit(0))
+    masked = F.array_join(F.transform(tokens, value), "")
+    return F.when(F.try_parse_json(text).isNull(), redactor.text(text)).otherwise(masked)
 
 
 def pii_audit(

@@ -29,7 +29,7 @@ class Thresholds:
     critical: tuple[str, ...] | None = None  # None: every service is critical
 
 
-def service_metrics(df: DataFrame, by: str = "application", elapsed: str = "elapsed", method: str = "auto") -> DataFrame:
+def service_metrics(df: DataFrame, by: str = "application", elapsed: str = "elapsed", method: str = "narrowed") -> DataFrame:
     """Events, errors, error rate and p95 latency per service."""
     counted = [F.count("*").alias("events"), F.count_if(is_error()).alias("errors")]
     found = percentiles(df, [by], elapsed, {"p95": 95}, counted, method)
@@ -70,7 +70,7 @@ def health_report(
     trailing: int = 6,
     z_limit: float = 3.0,
     worse: float = 1.5,
-    method: str = "auto",
+    method: str = "narrowed",
 ) -> DataFrame:
     """Findings as rows: section, position of the section, subject, finding, value.
 

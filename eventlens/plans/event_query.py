@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -102,11 +104,15 @@ class EventQuery:
 def query_stream(df: DataFrame, query: str, **args: Any) -> DataFrame:
     """Spark SQL over the scoped events, which the query calls ``stream``.
 
-    The name is resolved while the query is analysed and dropped right after.
+    The name holds within the query alone: a view called ``stream`` of the
+    session stays as it is, and queries of several threads do not meet.
     """
     spark = df.sparkSession
-    df.createOrReplaceTempView("stream")
+    view = f"stream_{uuid.uuid4().hex}"
+    own = re.match(r"\s*with\b", query, re.IGNORECASE)
+    rest = "," + query[own.end() :] if own else " " + query
+    df.createOrReplaceTempView(view)
     try:
-        return spark.sql(query, args=args or None)
+        return spark.sql(f"WITH stream AS (SELECT * FROM {view}){rest}", args=args or None)
     finally:
-        spark.catalog.dropTempView("stream")
+        spark.catalog.dropTempView(view)

@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventlens.functions.pii import (
     AMBIGUOUS_NAMES,
@@ -28,7 +27,6 @@ from eventlens.operators.redact import pii_audit as audit
 from eventlens.operators.redact import redact, redact_json
 from eventlens.plans.dataset import log_events, table, with_tables
 from eventlens.plans.registry import query
-from eventlens.session import spread_small
 
 E = with_tables("log_events")
 REDACTOR = Redactor()
@@ -115,17 +113,17 @@ def redacted_sql(source: str, key: str) -> str:
 @query(f"SELECT doc_id, {splice_sql('text', EMAIL_RE, 'EMAIL', email_valid_sql)} AS text FROM documents")
 def redact_email(spark, sf_dir):
     masked = REDACTOR.mask("EMAIL", F.col("text"))
-    return spread_small(table(spark, sf_dir, "documents")).select("doc_id", masked.alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", masked.alias("text"))
 
 
 @query(f"WITH {redacted_sql('documents', 'doc_id')} SELECT doc_id, text FROM redacted")
 def redact_documents(spark, sf_dir):
-    return redact(spread_small(table(spark, sf_dir, "documents")).select("doc_id", "text"))
+    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query(f"WITH {redacted_sql('conversations', 'conv_id, turn')} SELECT conv_id, turn, text FROM redacted")
 def redact_conversations(spark, sf_dir):
-    return redact(spread_small(table(spark, sf_dir, "conversations")).select("conv_id", "turn", "text"))
+    return redact(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
 
 
 def hits_sql(text: str, pattern: str, valid: Callable[[str], str]) -> str:
@@ -142,7 +140,7 @@ def hits_sql(text: str, pattern: str, valid: Callable[[str], str]) -> str:
     FROM hits GROUP BY source, kind"""
 )
 def pii_audit(spark, sf_dir):
-    return audit(spread_small(table(spark, sf_dir, "documents")), ["text"], ["source"])
+    return audit(table(spark, sf_dir, "documents"), ["text"], ["source"])
 
 
 # ------------------------------------------------------------- derived texts
@@ -168,7 +166,7 @@ def identity_candidates(spark, sf_dir) -> DataFrame:
         two(F.year("o_orderdate") % 100),
     )
     free = F.concat(F.lit("8"), F.lpad(((key * 31) % 100000).cast("string"), 5, "0"))
-    return spread_small(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(key % 3 == 0, "").when(key % 3 == 1, " ").otherwise("-").alias("sep"),
         F.when(group == 3, free).otherwise(dated).alias("six"),
@@ -243,7 +241,7 @@ def phone_check() -> str:
 @query(phone_check())
 def redact_phones(spark, sf_dir):
     cases = " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(FORMS))
-    orders = spread_small(table(spark, sf_dir, "orders")).withColumn("s", F.expr(PHONE_NUMBER.format(text="STRING")))
+    orders = table(spark, sf_dir, "orders").withColumn("s", F.expr(PHONE_NUMBER.format(text="STRING")))
     text = F.expr(f"'Ring ' || CASE o_orderkey % 9 {cases} END || ' i dag'")
     return orders.select("o_orderkey", REDACTOR.mask("PHONE", text).alias("text"))
 
@@ -260,7 +258,7 @@ def named(spark, sf_dir) -> DataFrame:
         found = F.get(F.array(*[F.lit(w) for w in words]), (F.col("o_orderkey") % len(words)).cast("int"))
         return F.initcap(found)
 
-    orders = spread_small(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", word(FIRST_NAMES).alias("f"), word(SURNAMES).alias("l"))
 
 
@@ -320,10 +318,9 @@ def redact_nested(spark, sf_dir):
     f"""{E} SELECT event_id, '{{"k":' || k || ',"mail":"' || {mark_sql('EMAIL', MAIL_SQL)} || '"}}' AS props FROM log_events"""
 )
 def redact_json_text(spark, sf_dir):
-    """JSON text: values are masked, keys and numbers are left alone."""
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("mail", T.StringType())])
+    """JSON text: values are masked, keys and ordinary numbers are left alone."""
     text = F.to_json(F.struct(F.col("k").cast("bigint").alias("k"), mail().alias("mail")))
-    return log_events(spark, sf_dir).select("event_id", redact_json(text, schema).alias("props"))
+    return log_events(spark, sf_dir).select("event_id", redact_json(text).alias("props"))
 
 
 @query(f"{E} SELECT {mark_sql('EMAIL', 'mail')} AS mail, n FROM (SELECT {MAIL_SQL} AS mail, count(*) AS n FROM log_events GROUP BY 1)")

@@ -9,9 +9,9 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that hold on a laptop and on a cluster alike.  The number of shuffle
-# partitions is left to AQE (it starts high and coalesces), so nothing here has
-# to be retuned when the input grows.
+# Settings that hold on a laptop and on a cluster alike.  AQE merges small shuffle
+# partitions but never splits those of an aggregate, so a large table needs
+# ``spark.sql.shuffle.partitions`` above Spark's 200: about one per 200 MB shuffled.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -64,23 +64,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# Below this size a shuffle costs next to nothing.
-SMALL_INPUT = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame; file scans report their true size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, limit: int = SMALL_INPUT) -> DataFrame:
-    """Give every core a share of a small table before costly expressions.
-
-    A small file often is a single row group, which one task would process
-    alone.  Larger tables have splits enough and are left as they are.
-    """
-    if estimated_bytes(df) > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

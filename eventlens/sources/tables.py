@@ -20,18 +20,42 @@ def read_events(
 
     Text formats get the declared schema, never an inferred one: inference would
     read everything once more, and a stray value could change a column's type.
+    CSV has no nested columns; there they are JSON text.
     """
     reader = spark.read.format(format).options(**options)
     if schema is not None or format in TEXT_FORMATS:
-        reader = reader.schema(schema or EVENTS)
+        wanted = schema or EVENTS
+        flat = _flat(wanted) if format == "csv" else wanted
+        return _unfold(reader.schema(flat).load(path), flat, wanted)
     return reader.load(path)
 
 
+def _nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+
+
+def _flat(schema: T.StructType) -> T.StructType:
+    """``schema`` with text in place of nested columns."""
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if _nested(f.dataType) else f.dataType, f.nullable) for f in schema.fields]
+    )
+
+
+def _unfold(df: DataFrame, flat: T.StructType, wanted: T.StructType) -> DataFrame:
+    if flat == wanted:
+        return df
+    return df.withColumns(
+        {f.name: F.from_json(F.col(f.name), f.dataType) for f in wanted.fields if _nested(f.dataType)}
+    )
+
+
 def stream_events(
     spark: SparkSession, path: str, format: str = "parquet", schema: T.StructType | None = None, **options: str
 ) -> DataFrame:
     """The same table as a stream of newly arriving files."""
-    return spark.readStream.format(format).schema(schema or EVENTS).options(**options).load(path)
+    wanted = schema or EVENTS
+    flat = _flat(wanted) if format == "csv" else wanted
+    return _unfold(spark.readStream.format(format).schema(flat).options(**options).load(path), flat, wanted)
 
 
 def map_events(raw: DataFrame, columns: dict[str, Column], schema: T.StructType = EVENTS) -> DataFrame:
@@ -97,7 +121,8 @@ def access_log(
     skip: tuple[str, ...] = PROBE_PATHS,
 ) -> DataFrame:
     """Access-log records: parameter values masked, level by status, probes dropped."""
-    real = requests.filter(~F.substring_index(F.col(url), "?", 1).isin(*skip))
+    probe = F.coalesce(F.substring_index(F.col(url), "?", 1).isin(*skip), F.lit(False))
+    real = requests.filter(~probe)
     return real.select(
         access_level(F.col(status)).alias("level"),
         F.col(method).alias("method"),

@@ -130,9 +130,15 @@ def live_alerts(
 
 
 def current_alerts(spark: SparkSession, path: str, rules: DataFrame, now: str | datetime) -> DataFrame:
-    """Alert state from the counts of ``live_alerts``, in whole slices before ``now``."""
+    """Alert state from the counts of ``live_alerts``, in whole slices before ``now``.
+
+    Without rules the result is empty.
+    """
     at = instant(now)
     loaded = load_rules(rules)
+    if not loaded:
+        columns = "rule_id string, state string, observed bigint, threshold bigint, as_of timestamp"
+        return spark.createDataFrame([], columns)
     longest = max(r.window for r in loaded)
     counts = _read_days(spark, path, (at - longest).date(), at.date())
     scoped = within(counts, TimeWindow(at - longest, at), "slice_start")

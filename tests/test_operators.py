@@ -279,3 +279,40 @@ def test_small_operators(spark):
     }
     loose = spark.createDataFrame([('{"k": 3}',), ('{"k": "x"}',), ("broken",), (None,)], "props string")
     assert [r[0] for r in loose.select(prop("k", "int")).collect()] == [3, None, None, None]
+
+
+def test_signal_ids_with_repeated_rows(spark):
+    rows = [("s1", "a > 1"), ("s1", "a > 1"), ("s2", "b > 1"), ("s3", "a > 1"), ("s3", "a > 2")]
+    signals = spark.createDataFrame(rows, "signal_id string, predicate string")
+    df = spark.createDataFrame([(2, 2), (2, 0)], "a int, b int")
+    assert signal_scope(df, signals, "s1,s2").count() == 1
+    with pytest.raises(ValueError, match="several predicates: s3"):
+        signal_scope(df, signals, "s3")
+
+
+def test_more_rules_than_one_scan(spark, monkeypatch):
+    from eventlens.operators import alerts
+
+    df, _ = make_events(spark, 300)
+    rules = spark.createDataFrame(
+        [(f"r{i}", f"user_id = {i}", f"{i % 3 + 1}h", 1, None) for i in range(7)],
+        "rule_id string, predicate string, window string, threshold bigint, suppress_until timestamp_ntz",
+    )
+    now = START + timedelta(hours=72)
+    whole = sorted(map(tuple, alert_state(df, rules, now.isoformat() + "Z").collect()))
+    monkeypatch.setattr(alerts, "RULES_PER_SCAN", 3)
+    assert sorted(map(tuple, alert_state(df, rules, now.isoformat() + "Z").collect())) == whole and len(whole) == 7
+
+
+def test_asof_deployment_after_the_window(spark):
+    times = [datetime(2024, 1, 1, 5), datetime(2024, 1, 3, 5), datetime(2024, 1, 6, 5), datetime(2024, 1, 9)]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(times)], "event_id int, ts timestamp_ntz, application string")
+    made = [("a", datetime(2024, 1, 1), "1"), ("a", datetime(2024, 1, 4), "2"), ("a", datetime(2024, 1, 8), "3")]
+    table = spark.createDataFrame(made, "application string, deploy_ts timestamp_ntz, version string")
+    found = changes.asof_deployment(df, table, "2024-01-02T00:00:00Z")
+    assert [r["deployed_version"] for r in found.orderBy("event_id").collect()] == ["1", "1", "2", "3"]
+
+
+def test_too_small_an_accuracy(spark):
+    with pytest.raises(ValueError, match="accuracy"):
+        percentiles(spark.range(5), [], "id", {"p": 50}, accuracy=5)

@@ -100,3 +100,18 @@ def test_budget_of_nothing(spark):
     assert empty.count() == 0
     assert budget_summary(empty).first()["truncated"] is False
     assert CHARACTER_LIMIT == 25_000
+
+
+def test_length_of_doubles(spark):
+    from pyspark.sql import types as T
+
+    from eventlens.functions.jsonsize import json_length
+
+    cases = {
+        0.00012: "0.00012", 12345678.5: "12345678.5", 1e21: "1e+21", 1.5e22: "1.5e+22", 123456789012345680000.0: "123456789012345680000",
+        1e-6: "0.000001", 1.25e-7: "1.25e-7", -0.5: "-0.5", 0.0: "0", -3.0: "-3", 100.0: "100", 1e7: "10000000",
+        float("inf"): "null", float("-inf"): "null", 1e-100: "1e-100",
+    }
+    df = spark.createDataFrame([(v,) for v in cases] + [(float("nan"),)], "v double")
+    found = [(r["v"], r["n"]) for r in df.select("v", json_length(F.col("v"), T.DoubleType()).alias("n")).collect()]
+    assert [n for _, n in found] == [len(cases.get(v, "null")) for v, _ in found]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventlens.functions.timerange import query_window, within
 from eventlens.plans.dataset import NOW, log_events, signals
 from eventlens.plans.event_query import EventQuery, query_stream
-from eventlens.session import materialize, scratch_dir, spread_small
+from eventlens.session import materialize, scratch_dir
 from eventlens.sources.tables import map_events, read_events, write_events, write_json, write_log
 
 SF = "/root/testdata/sf0.001"
@@ -92,11 +92,29 @@ def test_builder_matches_sql(spark):
     assert budgeted.first()["truncated"] and budgeted.count() == budgeted.first()["returned"]
 
 
-def test_scratch_and_spread(spark):
+def test_query_text_leaves_views_alone(spark):
+    events = log_events(spark, SF)
+    spark.range(3).createOrReplaceTempView("stream")
+    rows = "WITH some AS (SELECT * FROM stream LIMIT 2) SELECT count(*) AS n FROM some"
+    assert query_stream(events, rows).first()["n"] == 2
+    assert query_stream(events, "SELECT count(*) AS n FROM stream").first()["n"] == events.count()
+    assert spark.table("stream").count() == 3
+    spark.catalog.dropTempView("stream")
+
+
+def test_scratch(spark):
     assert scratch_dir(spark) != scratch_dir(spark)
-    small = spread_small(spark.range(10))
-    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    big = spark.range(10)
-    assert spread_small(big, limit=1) is big
     written = materialize(spark.range(10))
     assert written.count() == 10 and "parquet" in plan(written)
+
+
+def test_csv_events(spark, tmp_path):
+    rows = [("e1", "2024-01-01T00:00:00Z", '[{"text":"hi","property_name":"p"}]'), ("e2", "2024-01-02T00:00:00Z", None)]
+    made = spark.createDataFrame(rows, "event_id string, ts string, message_tokens string")
+    empty = [F.lit(None).cast("string").alias(f"c{i}") for i in range(9)]
+    made.select("event_id", "ts", F.lit("Error").alias("level"), "message_tokens", *empty).write.csv(
+        str(tmp_path / "csv"), escape='"'
+    )
+    found = {r["event_id"]: r for r in read_events(spark, str(tmp_path / "csv"), "csv", escape='"').collect()}
+    assert found["e1"]["message_tokens"][0]["text"] == "hi" and found["e2"]["message_tokens"] is None
+    assert found["e1"]["level"] == "Error"

@@ -123,12 +123,28 @@ def test_rowset(spark):
 
 
 def test_json_text(spark):
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField("Kari", T.StringType()), T.StructField("n", T.LongType())])
-    df = spark.createDataFrame([('{"Kari": "Kari", "n": 13116900216}',)], "j string")
-    value = df.select(redact_json(F.col("j"), schema).alias("j")).first()["j"]
-    assert re.fullmatch(r'\{"Kari":"\[NAME_\d{4}\]","n":13116900216\}', value)
+    cases = [
+        ('{"Kari": "Kari", "n": 13116900216}', r'\{"Kari": "\[NAME_\d{4}\]", "n": "\[FNR_\d{4}\]"\}'),
+        ('{"phone": 91234567, "fnr":13116900217, "x":[1.5e3,-2,null,true]}', None),
+        (r'{"a\"b":"c:\\Kari\" \u004bari", "k" : {"z":""}}', r'\{"a\\"b":"c:\\\\\[NAME_\d{4}\]\\" \[NAME_\d{4}\]", "k" : \{"z":""\}\}'),
+        ("no json, Kari", r"no json, \[NAME_\d{4}\]"),
+        ('"Kari', r'"\[NAME_\d{4}\]'),
+        ("[]", None),
+        ("", None),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "i int, j string").coalesce(1)
+    values = {r["i"]: r["j"] for r in df.select("i", redact_json(F.col("j")).alias("j")).collect()}
+    for i, (text, expected) in enumerate(cases):
+        assert values[i] == text if expected is None else re.fullmatch(expected, values[i]), values[i]
+    row = redact(df.where("i = 0").select(F.col("j").alias("props"), F.parse_json("j").alias("v"))).first()
+    assert row["props"] == values[0] and "Kari" not in str(row["v"].toPython()["Kari"]) and "FNR" in row["v"].toPython()["n"]
+
+
+def test_numbers_of_other_types(spark):
+    df = spark.sql("SELECT 13116900216D AS d, CAST(13116900216 AS DECIMAL(20, 2)) AS e, 1.5D AS f, CAST(NULL AS DOUBLE) AS g")
+    row = redact(df, numeric=["d", "e", "f", "g"]).first()
+    assert row["d"].startswith("[FNR_") and row["e"] == row["d"] and row["f"] == "1.5" and row["g"] is None
 
 
 def test_audit_counts_what_redaction_masks(spark):

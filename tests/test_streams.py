@@ -108,3 +108,10 @@ def test_sliding_slices(feed):
     counts = {r["slice_start"]: r["n"] for r in found.collect()}
     assert counts[START] == 20 and counts[START + timedelta(minutes=10)] == 20
     assert counts[START - timedelta(minutes=10)] == 10
+
+
+def test_no_rules(spark, tmp_path):
+    rules = spark.createDataFrame(
+        [], "rule_id string, predicate string, window string, threshold bigint, suppress_until timestamp_ntz"
+    )
+    assert current_alerts(spark, str(tmp_path / "none"), rules, "2024-01-01T00:00:00Z").count() == 0

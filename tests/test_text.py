@@ -88,3 +88,10 @@ def test_access_log_drops_probes(spark):
 def test_json_rows(spark):
     row = to_json_rows(spark.sql("SELECT 1 AS a, CAST(null AS STRING) AS b, array('x') AS c")).first()["json"]
     assert json.loads(row) == {"a": 1, "b": None, "c": ["x"]}
+
+
+def test_access_log_keeps_a_missing_url(spark):
+    df = spark.createDataFrame(
+        [("GET", None, 200, "5", 1)], "method string, url string, status int, content_length string, ms int"
+    )
+    assert [tuple(r) for r in access_log(df).collect()] == [("info", "GET", None, 200, 5, 1)]
