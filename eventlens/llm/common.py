@@ -127,3 +127,23 @@ def join_labels(docs: DataFrame, labels: DataFrame, label: str, where: Column) -
     known = materialize(known)
     few = known.count() <= BROADCAST_ROWS
     return docs.select("doc_id", "text").where(where).join(F.broadcast(known) if few else known, "doc_id")
+
+
+def in_order(rows: DataFrame, name: str, *order: str) -> DataFrame:
+    """``rows`` with their place (from 0) in ascending order, NULL first, as a written table.
+
+    The order is made by range, so no task holds more than its stretch; one count
+    per partition reaches the driver.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    sorted_ = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = materialize(
+        sorted_.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    )
+    parts = placed.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("first")).orderBy("_part").collect()
+    bases, before = [], 0
+    for row in parts:
+        bases.append((row["_part"], before - row["first"]))
+        before += row["n"]
+    bases = rows.sparkSession.createDataFrame(bases, "_part int, _base long")
+    return placed.join(F.broadcast(bases), "_part").select(*rows.columns, (F.col("_at") + F.col("_base")).alias(name))

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from eventlens.llm.chat_format import digest, fold_events, render
 from eventlens.llm.common import table
 from eventlens.llm.exact_dedup import exact_duplicates
 from eventlens.llm.license_scan import scan_licenses
+from eventlens.llm.merkle import verification
 from eventlens.llm.mixing import mix_sources
 from eventlens.llm.near_dedup import near_duplicates
 from eventlens.llm.packing import pack_documents
@@ -134,7 +134,75 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-@query(corpus_pipeline.ORACLE_SQL)
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages of the training-data pipeline."""
-    return corpus_pipeline.run(spark, sf_dir)
+def _sized(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = " || ".join(_sized(c) for c in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({fields})"
+
+
+# The CRC-32 of a number's digits, bit by bit; only its lowest bit is needed.
+_CRC_BITS = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)"
+_DIGITS = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS UBIGINT))"
+_CRC = f"xor(list_reduce(list_concat([4294967295::UBIGINT], {_DIGITS}), lambda crc, b: {_CRC_BITS}), 4294967295::UBIGINT)"
+
+OP13_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce(source, '') AS name, source IS NOT NULL AS named, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS tampered
+  FROM documents
+), ordered AS (
+  SELECT *, dense_rank() OVER (ORDER BY named, name) - 1 AS tree,
+         row_number() OVER (PARTITION BY named, name ORDER BY doc_id, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY named, name) AS n
+  FROM leaves
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY tree, place) AS id FROM ordered
+), nodes AS (
+  SELECT tree, 0 AS level, place, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, n, place // 3
+), trunk AS (
+  SELECT 0 AS level, tree AS place, count(*) OVER () AS n, node FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY place))
+  FROM trunk WHERE n > 1 GROUP BY level, n, place // 3
+), every AS (
+  SELECT tree, level, place, n, node FROM nodes
+  UNION ALL
+  SELECT -1, level, place, n, node FROM trunk
+), steps AS (
+  SELECT a.tree, a.level, a.place,
+         coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+         coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS after
+  FROM every a JOIN every b ON a.tree = b.tree AND a.level = b.level AND a.place // 3 = b.place // 3
+  WHERE a.n > 1 GROUP BY ALL
+), walk AS (
+  SELECT id, tree AS own, tree, 0 AS level, place, '' AS proof, tampered AS node FROM placed
+  UNION ALL
+  SELECT w.id, w.own, CASE WHEN s.tree IS NULL THEN -1 ELSE w.tree END,
+         CASE WHEN s.tree IS NULL THEN 0 ELSE w.level + 1 END,
+         CASE WHEN s.tree IS NULL THEN w.own ELSE w.place // 3 END,
+         w.proof || coalesce(s.before || s.after, ''),
+         CASE WHEN s.tree IS NULL THEN w.node ELSE sha256(s.before || w.node || s.after) END
+  FROM walk w LEFT JOIN steps s ON w.tree = s.tree AND w.level = s.level AND w.place = s.place
+  WHERE w.tree >= 0 OR s.tree IS NOT NULL
+), ends AS (
+  SELECT id, arg_max(proof, level) AS proof, arg_max(node, level) AS node FROM walk WHERE tree = -1 GROUP BY id
+)
+SELECT p.doc_id, p.leaf, sub.node AS subroot, top.node AS root, sha256(e.proof) AS proof_sha256,
+       e.node AS folded_root, e.node = top.node AS verified
+FROM placed p
+JOIN ends e USING (id)
+JOIN (SELECT tree, node FROM nodes WHERE n = 1) sub USING (tree)
+CROSS JOIN (SELECT node FROM trunk WHERE n = 1) top
+"""
+
+
+@query(OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, checked against tampered leaves."""
+    return verification(table(spark, sf_dir, "documents"))
