@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm.chat_format import digest, fold_events, render
+from eventlens.llm.collocations import collocations
 from eventlens.llm.common import table
 from eventlens.llm.exact_dedup import exact_duplicates
+from eventlens.llm.language_id import languages
 from eventlens.llm.license_scan import scan_licenses
 from eventlens.llm.merkle import verification
 from eventlens.llm.mixing import mix_sources
@@ -206,3 +208,55 @@ CROSS JOIN (SELECT node FROM trunk WHERE n = 1) top
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle proofs of all documents, checked against tampered leaves."""
     return verification(table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP12_SQL = f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                            '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents)
+), grams AS (
+  SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM pieces CROSS JOIN (SELECT unnest(range(1, 6)) AS size))
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS words FROM grams WHERE size > 1 AND f >= 100
+), kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates d
+    WHERE d.lang = c.lang AND d.size > c.size AND 100 * d.a >= 100 * c.a
+      AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, n,
+         (1000::HUGEINT * c.a * n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept) c
+  JOIN grams l ON l.lang = c.lang AND l.size = k AND l.phrase = array_to_string(c.words[1 : k], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.size = c.size - k AND r.phrase = array_to_string(c.words[k + 1 :], ' ')
+  JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best
+QUALIFY rank <= 2000
+"""
+
+
+@query(OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language in all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that are not held out."""
+    return languages(table(spark, sf_dir, "documents"))
