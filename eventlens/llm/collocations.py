@@ -79,11 +79,16 @@ class Filter:
 
     def __init__(self, bits: np.ndarray, width: int) -> None:
         self.bits, self.shift = bits, np.uint64(64 - width)
+        self.bytes, self.byte_shift = bits.astype("<u8").tobytes(), 64 - width
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> self.shift
         return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
+    def has_one(self, value: int) -> bool:
+        at = value >> self.byte_shift
+        return self.bytes[at >> 3] >> (at & 7) & 1 == 1
+
 
 class Codes(dict):
     """Hash of a word of one language; 0 for words that are not frequent, and for breaks."""
@@ -100,7 +105,7 @@ class Codes(dict):
         value = 0
         if word != BREAK:
             found = word_code(word, self.seed)
-            if self.words.has(np.array([found], dtype=np.uint64))[0]:
+            if self.words.has_one(found):
                 value = found
         self[word] = value
         return value
