@@ -87,11 +87,10 @@ def dense_slices(
     return joined.select("l.slice_start", *[F.col(f"l.{k}") for k in by], *values)
 
 
-# Distinct values of one group that may be ranked in one task.
-RANKED_VALUES = 5_000_000
-GRID = 1000
-# With a coarser sketch the brackets would hardly shrink.
-LEAST_ACCURACY = 100
+# Bits of a value looked at by the first scan (sign, exponent, start of the fraction) and by each further one.
+FIRST_BITS, NEXT_BITS = 20, 16
+# Rows of a chosen bucket whose values may be ranked one by one.
+RANKED_ROWS = 1_000_000
 
 
 def percentiles(
@@ -102,27 +101,52 @@ def percentiles(
     aggs: Sequence[Column] = (),
     method: str = "narrowed",
     accuracy: int = 10_000,
+    weight: str | None = None,
 ) -> DataFrame:
     """Percentiles (points on 0-100) of ``column`` per group, linearly interpolated.
 
-    * ``narrowed``: exact for groups of any size, see ``_narrowed``.
+    * ``narrowed``: exact for groups of any size, see ``_narrowed``.  ``weight``
+      names a column that says how often a row counts.
     * ``exact``: the same by Spark's ``percentile``, in one pass, which holds a
       group's distinct values in one task; for groups known to be small.
     * ``approx``: one pass, ``percentile_approx`` with the given accuracy.
     """
     if any(not 0 <= p <= 100 for p in points.values()):
         raise ValueError("percentile points lie between 0 and 100")
+    if method == "narrowed":
+        return _narrowed(df, list(by), column, points, list(aggs), weight)
+    if weight is not None:
+        raise ValueError("weights need the narrowed method")
     if method == "exact":
         found = [F.percentile(column, p / 100).alias(name) for name, p in points.items()]
         return df.groupBy(*by).agg(*aggs, *found)
     if method == "approx":
         found = [F.percentile_approx(column, p / 100, accuracy).alias(name) for name, p in points.items()]
         return df.groupBy(*by).agg(*aggs, *found)
-    if method != "narrowed":
-        raise ValueError(f"unknown method {method!r}")
-    if accuracy < LEAST_ACCURACY:
-        raise ValueError(f"an accuracy below {LEAST_ACCURACY} does not narrow")
-    return _narrowed(df, list(by), column, points, list(aggs), accuracy)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def sortable(value: Column) -> Column:
+    """A 64-bit integer in the order of a double; both zeros are 0 and NaN is the largest.
+
+    It is the exponent and the fraction of the double put side by side.  All
+    steps are exact: only powers of two are divided by and multiplied with.
+    """
+    size = F.abs(value)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022)).cast("int")
+    power = F.pow(F.lit(2.0), guess)
+    # The logarithm may be rounded across a power of two.
+    exponent = guess - (size < power).cast("int") + (size / 2 >= power).cast("int")
+    fraction = size / F.pow(F.lit(2.0), exponent) - 1
+    whole, tiny = F.lit(float(2**52)), F.lit(float(2**537))
+    bits = (
+        F.when(size == 0, F.lit(0).cast("bigint"))
+        .when(F.isnan(size), F.lit((2047 << 52) + 1).cast("bigint"))
+        .when(size == float("inf"), F.lit(2047 << 52).cast("bigint"))
+        .when(size < 2.0**-1022, (size * tiny * tiny).cast("bigint"))
+        .otherwise((exponent + 1023).cast("bigint") * (1 << 52) + (fraction * whole).cast("bigint"))
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
 def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -132,104 +156,87 @@ def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return same
 
 
+def _chosen(counted: DataFrame, group: Sequence[str], targets: Column) -> DataFrame:
+    """The bucket of ``counted`` (``_at``, ``_c``, ``_least``, ``_most``) that holds each target, and its rank in there."""
+    running = Window.partitionBy(*group).orderBy("_at")
+    upto = F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rank = F.col("_upto") - F.col("_c")
+    hits = F.filter("_targets", lambda t: (t["_rank"] >= rank) & (t["_rank"] < F.col("_upto")))
+    moved = F.transform(
+        hits, lambda t: F.struct(t["_target"].alias("_target"), (t["_rank"] - rank).alias("_rank"), t["_share"].alias("_share"))
+    )
+    placed = counted.withColumns({"_upto": upto, "_targets": targets})
+    kept = [c for c in counted.columns if c != "_targets"]
+    return placed.select(*kept, F.inline(moved))
+
+
 def _narrowed(
-    df: DataFrame, by: list[str], column: str, points: dict[str, float], aggs: list[Column], accuracy: int
+    df: DataFrame, by: list[str], column: str, points: dict[str, float], aggs: list[Column], weight: str | None
 ) -> DataFrame:
-    """Exact percentiles without bringing a group into one task.
-
-    1. A mergeable quantile sketch per group brackets each wanted rank; the
-       other aggregates come from the same scan.  Only the result, a row per
-       group, is kept (in the scratch folder).  While a bracket still holds too
-       many rows, the sketch is repeated on the rows inside it; every round
-       shrinks it about 300 times.
-    2. One more pass counts the rows below and above the bracket and the rows
-       per distinct value inside it, combined map-side, and the ranks are read
-       off the running counts.
+    """Exact percentiles by radix selection, without bringing a group into one task.
+
+    A value is read as a 64-bit integer of the same order.  The first scan counts
+    the rows of each group by the leading bits, combined map-side, and the wanted
+    ranks are located on the running counts.  Every further scan looks at the
+    rows inside the chosen buckets only and counts them by the next bits; a
+    bucket of few rows is counted by all its bits at once, and a bucket of a
+    single value is done.  So there are four scans at most, two as a rule, and
+    no task sees more than the counts of 2 ** ``NEXT_BITS`` buckets or
+    ``RANKED_ROWS`` values of a group (the first scan: those of its exponents).
     """
     single = not by
     if single:
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
+    others = df.groupBy(*by).agg(*(aggs or [F.count("*").alias("_rows")]))
     # NULL is not a value; NaN is one, the largest, as Spark orders it.
     value = F.col(column).cast("double")
-    rows = df.select(*by, value.alias("_v")).filter(F.col("_v").isNotNull())
-    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    wanted = F.array(
-        *[F.struct(F.lit(name).alias("_name"), F.lit(p / 100).alias("_p")) for name, p in points.items()]
-    )
-    first = materialize(
-        df.groupBy(*by).agg(
-            *aggs, F.count(value).alias("_n"), F.percentile_approx(value, grid, accuracy).alias("_grid")
-        )
-    )
-    sketch = first.filter(F.col("_n") > 0).select(
-        *by, "_n", "_grid", F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_inside"), F.inline(wanted)
-    )
+    times = F.lit(1) if weight is None else F.col(weight)
+    rows = df.select(*by, value.alias("_v"), times.cast("bigint").alias("_w")).filter(F.col("_v").isNotNull())
+    key = sortable(F.col("_v"))
+    measures = [F.sum("_w").alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most")]
+    shift = 64 - FIRST_BITS
+    counted = rows.groupBy(*by, F.shiftright(key, shift).alias("_at")).agg(*measures)
+    n = F.sum("_c").over(Window.partitionBy(*by))
+    wanted = []
+    for i, p in enumerate(points.values()):
+        position = F.lit(p / 100) * (n - 1)
+        share = position - F.floor(position)
+        for j, rank in enumerate((F.floor(position), F.ceil(position))):
+            wanted.append(F.struct(F.lit(2 * i + j).alias("_target"), rank.alias("_rank"), share.alias("_share")))
+    found = materialize(_chosen(counted, by, F.array(*wanted)))
+    alone = F.col("_least") == F.col("_most")
+    done = found.filter(alone)
     while True:
-        brackets = materialize(sketch.select(*by, "_name", "_p", "_n", *_bounds(accuracy)))
-        most = brackets.agg(F.max("_left")).head()[0]
-        if most is None or most <= RANKED_VALUES:
+        most = found.filter(~alone).agg(F.max("_c")).first()[0]
+        if most is None:
             break
-        tagged = _tag(rows, brackets, by)
-        inside = F.col("_side") == 1
-        sketch = tagged.groupBy(*by, "_name", "_p", "_n").agg(
-            F.count_if(F.col("_side") == 0).alias("_below"),
-            F.count_if(inside).alias("_inside"),
-            F.percentile_approx(F.when(inside, F.col("_v")), grid, accuracy).alias("_grid"),
+        after = 0 if most <= RANKED_ROWS else max(0, shift - NEXT_BITS)
+        target = F.struct("_target", "_rank", "_share")
+        buckets = found.filter(~alone).groupBy(*by, F.col("_at").alias("_in")).agg(F.collect_list(target).alias("_targets"))
+        inside = (
+            rows.withColumn("_key", key)
+            .alias("l")
+            .join(buckets.alias("r"), _same_keys("l", "r", by) & (F.shiftright("l._key", shift) == F.col("r._in")))
+            .select("l.*", "r._in", "r._targets")
         )
-    group = [*by, "_name", "_p", "_n"]
-    counted = (
-        _tag(rows, brackets, by)
-        .groupBy(*group, "_side", F.when(F.col("_side") == 1, F.col("_v")).alias("_value"))
-        .agg(F.count("*").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        finer = inside.groupBy(*by, "_in", F.shiftright("_key", after).alias("_at"))
+        counted = finer.agg(*measures, F.first("_targets").alias("_targets"))
+        found = _chosen(counted, [*by, "_in"], F.col("_targets")).drop("_in")
+        shift = after
+        if shift == 0:
+            done = done.unionByName(found)
+            break
+        found = materialize(found)
+        done = done.unionByName(found.filter(alone))
+    values = {2 * i + j: f"_{i}_{j}" for i in range(len(points)) for j in range(2)}
+    ends = done.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_target") == t, F.col("_least"))).alias(name) for t, name in values.items()],
+        *[F.max(F.when(F.col("_target") == 2 * i, F.col("_share"))).alias(f"_{i}") for i in range(len(points))],
     )
-    running = Window.partitionBy(*group).orderBy("_side", "_value")
-    upto = F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    position = F.col("_p") * (F.col("_n") - 1)
-
-    def at(rank: Column) -> Column:
-        here = (rank > F.col("_upto") - F.col("_c")) & (rank <= F.col("_upto"))
-        value = (
-            F.when(F.col("_min") == F.col("_max"), F.col("_min"))
-            .when((F.col("_side") == 0) & (rank == F.col("_upto")), F.col("_max"))
-            .when((F.col("_side") == 2) & (rank == F.col("_upto") - F.col("_c") + 1), F.col("_min"))
-            .otherwise(F.raise_error(F.lit("percentile rank outside its bracket; raise the accuracy")).cast("double"))
-        )
-        return F.max(F.when(here, value))
+    joined = others.alias("l").join(ends.alias("r"), _same_keys("l", "r", by), "left")
 
-    low, high = F.floor(position), F.ceil(position)
-    found = counted.withColumn("_upto", upto).groupBy(*group).agg(at(low + 1).alias("_a"), at(high + 1).alias("_b"))
-    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (position - low)
-    result = found.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_name") == name, between)).alias(name) for name in points]
-    )
-    others = first.drop("_n", "_grid").alias("l")
-    joined = others.join(result.alias("r"), _same_keys("l", "r", by), "left")
-    joined = joined.select("l.*", *[F.col(f"r.{name}") for name in points])
-    return joined.drop("_all") if single else joined
-
-
-def _bounds(accuracy: int) -> list[Column]:
-    """Bracket bounds for each wanted rank, from the grid of a sketch."""
-    rank = F.col("_p") * (F.col("_n") - 1) - F.col("_below")
-    share = F.when(F.col("_inside") > 0, rank / F.col("_inside")).otherwise(0.0)
-    margin = 1 + GRID * 4 // accuracy
-    lo = F.greatest(F.floor(share * GRID).cast("int") - margin, F.lit(0))
-    hi = F.least(F.ceil(share * GRID).cast("int") + margin + 1, F.lit(GRID))
-    low, high = F.get("_grid", lo), F.get("_grid", hi)
-    # A bracket of one value holds any number of rows but one distinct value.
-    rows = F.when(low == high, F.lit(1)).otherwise(F.ceil(F.col("_inside") * (hi - lo + 2) / GRID))
-    return [low.alias("_lo"), high.alias("_hi"), rows.cast("bigint").alias("_left")]
-
-
-def _tag(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
-    """Each row once per wanted percentile: 0 below, 1 inside, 2 above its bracket.
-
-    ``brackets`` is a written table, so Catalyst knows its size: it is broadcast
-    below the threshold and joined by shuffle (with AQE skew splits) above it.
-    """
-    side = F.when(F.col("_v") < F.col("_lo"), 0).when(F.col("_v") > F.col("_hi"), 2).otherwise(1)
-    return (
-        rows.alias("l")
-        .join(brackets.alias("r"), _same_keys("l", "r", by))
-        .select(*[F.col(f"l.{k}") for k in by], "_v", "_name", "_p", "_n", "_lo", "_hi", side.alias("_side"))
-    )
+    def between(i: int) -> Column:
+        low, high = F.col(f"r._{i}_0"), F.col(f"r._{i}_1")
+        return F.when(low == high, low).otherwise(low + (high - low) * F.col(f"r._{i}"))
+
+    return joined.select("l.*", *[between(i).alias(name) for i, name in enumerate(points)]).drop("_all", "_rows")

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from eventlens.functions.timerange import (
     MICROSECOND,
     TimeWindow,
+    align_down,
     instant,
     slice_length,
     slice_number,
     ts_literal,
     within,
 )
-from eventlens.operators.aggregates import by_slice, dense_slices
+from eventlens.operators.aggregates import by_slice
 from eventlens.operators.filters import is_error
 from eventlens.session import materialize
 
@@ -42,65 +43,110 @@ def new_exception_types(df: DataFrame, deploy_ts: str | datetime, *by: str) -> D
     return seen.agg(F.min("ts").alias("first_ts"), F.count("*").alias("n")).filter(F.col("first_ts") >= at)
 
 
-def asof_deployment(
-    df: DataFrame, deployments: DataFrame, until: str | datetime, application: str = "application"
-) -> DataFrame:
+def asof_deployment(df: DataFrame, deployments: DataFrame, application: str = "application") -> DataFrame:
     """Add the latest deployment of the application at or before each event.
 
-    A deployment is current from its time to the next one.  Each such interval
-    is listed once per day it touches (up to ``until``, the end of the event
-    window), which turns the range condition into an equi-join on application
-    and day: no pairs of all deployments and events arise, and a hot application
-    is spread over its days (and split further by AQE).  The intervals are
-    written to the scratch folder, so that Catalyst broadcasts them only if the
-    table really is small.  Events and deployments after ``until`` are matched on
-    its day, so a late event has its deployment too.  Among deployments at the
-    same instant the greatest version wins.
+    Events and deployments are put in one order, by application and time, that
+    is dealt out by range.  Inside a stretch of that order the last deployment is
+    carried forward to the events behind it; the one that an earlier stretch ends
+    with is handed on, one row per stretch.  No pairs of events and deployments
+    arise, and a stretch has its share of the rows however many of them belong to
+    one application or lie after the last deployment.  Among deployments at the
+    same instant the greatest version wins; one at the instant of an event counts
+    for it.  Events without an application have no deployment.
     """
     kind = df.schema["ts"].dataType
-    last = ts_literal(df, instant(until))
-    unique = deployments.groupBy("application", F.col("deploy_ts").cast(kind).alias("_from")).agg(
+    event = F.struct(*df.columns)
+    unique = deployments.groupBy("application", F.col("deploy_ts").cast(kind).alias("deploy_ts")).agg(
         F.max("version").alias("version")
     )
-
-    def day(at: Column) -> Column:
-        return F.least(F.to_date(at), F.to_date(last))
-
-    following = F.lead("_from").over(Window.partitionBy("application").orderBy("_from"))
-    spans = materialize(
-        unique.withColumn("_to", F.coalesce(following, F.greatest(last, F.col("_from"))))
-        .withColumn("_open", following.isNull())
-        .withColumn("_day", F.explode(F.sequence(day(F.col("_from")), day(F.col("_to")))))
-        .withColumnRenamed("application", "_application")
-        .withColumnRenamed("version", "deployed_version")
+    made = unique.filter(F.col("application").isNotNull() & F.col("deploy_ts").isNotNull()).select(
+        F.col("application").alias("_application"),
+        F.col("deploy_ts").alias("_at"),
+        F.lit(0).alias("_kind"),
+        F.struct(F.col("deploy_ts").alias("at"), "version").alias("_made"),
+        F.lit(None).cast(df.schema).alias("_event"),
+    )
+    happened = df.select(
+        F.col(application).cast(unique.schema["application"].dataType).alias("_application"),
+        F.col("ts").alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast(made.schema["_made"].dataType).alias("_made"),
+        event.alias("_event"),
     )
-    # Both sides stay bare in the residual condition.
-    joined = df.withColumn("_event_day", day(F.col("ts"))).join(
-        spans,
-        (F.col(application) == F.col("_application"))
-        & (F.col("_event_day") == F.col("_day"))
-        & (F.col("ts") >= F.col("_from"))
-        & ((F.col("ts") < F.col("_to")) | F.col("_open")),
-        "left",
+    order = ["_application", "_at", "_kind"]
+    # Equal events may be dealt to several stretches: the last key spreads them.
+    spread = made.unionByName(happened).withColumn("_spread", F.when(F.col("_kind") == 1, F.xxhash64("_event")))
+    dealt = spread.repartitionByRange(*order, "_spread").withColumn("_stretch", F.spark_partition_id())
+    inside = Window.partitionBy("_stretch", "_application").orderBy("_at", "_kind")
+    carried = materialize(dealt.withColumn("_made", F.last("_made", ignorenulls=True).over(inside)).drop("_spread"))
+    # What each stretch ends with, and what the stretches before it do: one row per stretch and application there.
+    ends = carried.groupBy("_application", "_stretch").agg(F.max("_made").alias("_end"))
+    before = Window.partitionBy("_application").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select("_application", "_stretch", F.max("_end").over(before).alias("_handed"))
+    events = carried.filter(F.col("_kind") == 1)
+    # Only events ahead of the first deployment of their stretch need it.
+    told, open_ = events.filter(F.col("_made").isNotNull()), events.filter(F.col("_made").isNull())
+    filled = open_.join(handed.filter(F.col("_handed").isNotNull()), ["_application", "_stretch"], "left")
+    filled = filled.select("_event", F.col("_handed").alias("_made"))
+    found = told.select("_event", "_made").unionByName(filled)
+    return found.select(
+        "_event.*", F.col("_made")["at"].alias("deployed_at"), F.col("_made")["version"].alias("deployed_version")
     )
-    return joined.select(*df.columns, F.col("_from").alias("deployed_at"), "deployed_version")
+
+
+class Measures:
+    """Conditional counts of one analysis over its own stretch of time, and what is made of them.
+
+    Several analyses share one aggregate of the events: each adds its counts, and
+    ``union_of`` gives the time they need together.
+    """
+
+    def __init__(self, window: TimeWindow, counts: Sequence[Column]) -> None:
+        self.window, self.counts = window, list(counts)
+
+
+def between(df: DataFrame, window: TimeWindow) -> Column:
+    """Events of ``window``, as a condition."""
+    ts = F.col("ts")
+    return (ts >= ts_literal(df, window.start)) & (ts < ts_literal(df, window.end))
+
+
+def union_of(measures: Sequence[Measures]) -> TimeWindow:
+    return TimeWindow(min(m.window.start for m in measures), max(m.window.end for m in measures))
+
+
+def counted(df: DataFrame, by: Sequence[str], measures: Sequence[Measures]) -> DataFrame:
+    """All counts of several analyses per key, in one scan of the time they need together."""
+    return within(df, union_of(measures)).groupBy(*by).agg(*[c for m in measures for c in m.counts])
 
 
 def before_after(df: DataFrame, deploy_ts: str | datetime, window: str, *by: str) -> DataFrame:
     """Errors per hour in equal windows before and after a deployment."""
-    at = instant(deploy_ts)
-    length = slice_length(window)
-    scoped = within(df, TimeWindow(at - length, at + length))
-    after = F.col("ts") >= ts_literal(df, at)
-    hours = length / timedelta(hours=1)
-    counted = scoped.groupBy(*by).agg(
-        F.count_if(is_error() & ~after).alias("errors_before"),
-        F.count_if(is_error() & after).alias("errors_after"),
-        F.count_if(~after).alias("events_before"),
-        F.count_if(after).alias("events_after"),
+    return before_after_of(counted(df, by, [before_after_counts(df, deploy_ts, window)]), window, *by)
+
+
+def before_after_counts(df: DataFrame, deploy_ts: str | datetime, window: str) -> Measures:
+    at, length = instant(deploy_ts), slice_length(window)
+    old, new = between(df, TimeWindow(at - length, at)), between(df, TimeWindow(at, at + length))
+    return Measures(
+        TimeWindow(at - length, at + length),
+        [
+            F.count_if(is_error() & old).alias("errors_before"),
+            F.count_if(is_error() & new).alias("errors_after"),
+            F.count_if(old).alias("events_before"),
+            F.count_if(new).alias("events_after"),
+        ],
     )
+
+
+def before_after_of(counts: DataFrame, window: str, *by: str) -> DataFrame:
+    hours = slice_length(window) / timedelta(hours=1)
+    names = ["errors_before", "errors_after", "events_before", "events_after"]
     return (
-        counted.withColumn("per_hour_before", F.col("errors_before") / hours)
+        counts.filter(F.col("events_before") + F.col("events_after") > 0)
+        .select(*by, *names)
+        .withColumn("per_hour_before", F.col("errors_before") / hours)
         .withColumn("per_hour_after", F.col("errors_after") / hours)
         .withColumn("ratio", F.try_divide("errors_after", "errors_before"))
     )
@@ -114,20 +160,29 @@ def baseline_deviation(
     Periods without errors count as zero: mean and deviation come from the sum
     and the sum of squares over the fixed number of periods.
     """
-    at = instant(now)
-    length = slice_length(window)
-    scoped = within(df.filter(is_error()), TimeWindow(at - length * (periods + 1), at))
-    micros = length // MICROSECOND
-    age = F.timestamp_diff("MICROSECOND", F.col("ts"), ts_literal(df, at))
-    # Period 0 is the latest window; an event exactly one window old belongs to it.
-    period = F.floor((age - 1) / micros)
-    counts = scoped.groupBy(*by, period.alias("_period")).agg(F.count("*").alias("_n"))
-    past = F.col("_period") > 0
-    sums = counts.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(~past, F.col("_n"))), F.lit(0)).alias("current"),
-        F.coalesce(F.sum(F.when(past, F.col("_n"))), F.lit(0)).alias("_s"),
-        F.coalesce(F.sum(F.when(past, F.col("_n") * F.col("_n"))), F.lit(0)).alias("_ss"),
-    )
+    counts = counted(df.filter(is_error()), by, [baseline_counts(df, now, window, periods)])
+    return baseline_of(counts, periods, *by, z_limit=z_limit)
+
+
+def baseline_counts(df: DataFrame, now: str | datetime, window: str, periods: int) -> Measures:
+    """One count per period, the latest first."""
+    at, length = instant(now), slice_length(window)
+    counts = [
+        F.count_if(is_error() & between(df, TimeWindow(at - length * (i + 1), at - length * i))).alias(f"_period{i}")
+        for i in range(periods + 1)
+    ]
+    return Measures(TimeWindow(at - length * (periods + 1), at), counts)
+
+
+def baseline_of(counts: DataFrame, periods: int, *by: str, z_limit: float = 3.0) -> DataFrame:
+    past = F.array(*[F.col(f"_period{i}") for i in range(1, periods + 1)])
+    zero = F.lit(0).cast("bigint")
+    sums = counts.select(
+        *by,
+        F.col("_period0").alias("current"),
+        F.aggregate(past, zero, lambda s, n: s + n).alias("_s"),
+        F.aggregate(past, zero, lambda s, n: s + n * n).alias("_ss"),
+    ).filter(F.col("current") + F.col("_s") > 0)
     mean = F.col("_s") / periods
     deviation = F.sqrt(F.greatest(F.col("_ss") / periods - mean * mean, F.lit(0.0)))
     return (
@@ -198,20 +253,66 @@ def trend_class(
     """Errors per key: spiking, increasing or stable in the last slice of ``window``.
 
     ``spike`` and ``growth`` are factors over the mean of the ``k`` slices
-    before; ``floor`` is the smallest mean they are applied to.
+    before; ``floor`` is the smallest mean they are applied to.  Only those
+    slices are counted, each key in one row; empty slices count as zero.
     """
-    errors = within(df.filter(is_error()), window)
-    dense = dense_slices(by_slice(errors, slice, by), window, slice, by)
-    moved = slice_deltas(dense, slice, k, by)
-    # The slice that holds the last instant of the window.
-    length = F.expr(f"INTERVAL '{slice_length(slice).total_seconds():.6f}' SECOND")
-    end = ts_literal(moved, window.end, "slice_start")
-    last = moved.filter((F.col("slice_start") < end) & (F.col("slice_start") + length >= end))
-    base = F.greatest(F.coalesce("trailing_mean", F.lit(0.0)), F.lit(floor))
-    kind: Column = (
-        F.when(F.col("n") >= base * spike, "spiking").when(F.col("n") >= base * growth, "increasing").otherwise("stable")
+    counts = counted(df.filter(is_error()), by, [trend_counts(df, window, slice, k)])
+    return trend_of(df, counts, window, slice, by, k, spike, growth, floor)
+
+
+def _last_slice(window: TimeWindow, slice: str) -> tuple[datetime, datetime, int]:
+    """Start of the first and of the last slice of a window, and the number of slices before the last."""
+    step = slice_length(slice)
+    first = align_down(window.start, step)
+    last = align_down(window.end - MICROSECOND, step)
+    return first, last, (last - first) // step
+
+
+def trend_counts(df: DataFrame, window: TimeWindow, slice: str, k: int) -> Measures:
+    """Errors of the window, of its last slice, of the slice before and of the ``k`` slices before."""
+    step = slice_length(slice)
+    _, last, _ = _last_slice(window, slice)
+
+    def errors(start: datetime, end: datetime, name: str) -> Column:
+        start, end = max(start, instant(window.start)), min(end, instant(window.end))
+        return F.count_if(is_error() & between(df, TimeWindow(start, max(start, end)))).alias(name)
+
+    return Measures(
+        window,
+        [
+            errors(window.start, window.end, "_errors"),
+            errors(last, window.end, "_last"),
+            errors(last - step, last, "_previous"),
+            errors(last - step * k, last, "_trailing"),
+        ],
+    )
+
+
+def trend_of(
+    df: DataFrame,
+    counts: DataFrame,
+    window: TimeWindow,
+    slice: str,
+    by: Sequence[str],
+    k: int = 6,
+    spike: float = 3.0,
+    growth: float = 1.25,
+    floor: float = 1.0,
+) -> DataFrame:
+    _, last, before = _last_slice(window, slice)
+    known = min(k, before)
+    mean = F.col("_trailing") / known if known else F.lit(None).cast("double")
+    n = F.col("_last")
+    base = F.greatest(F.coalesce(mean, F.lit(0.0)), F.lit(floor))
+    kind = F.when(n >= base * spike, "spiking").when(n >= base * growth, "increasing").otherwise("stable")
+    return counts.filter(F.col("_errors") > 0).select(
+        *by,
+        ts_literal(df, last).alias("slice_start"),
+        n.alias("n"),
+        (n - F.col("_previous") if before else F.lit(None).cast("bigint")).alias("delta"),
+        mean.alias("trailing_mean"),
+        kind.alias("trend"),
     )
-    return last.select(*by, "slice_start", "n", "delta", "trailing_mean", kind.alias("trend"))
 
 
 def cascade_order(df: DataFrame, gap: str = "10m") -> DataFrame:

@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.timerange import TimeWindow, instant, slice_length, within
 from eventlens.operators.aggregates import percentiles
-from eventlens.operators.changes import baseline_deviation, before_after, trend_class
+from eventlens.operators.changes import (
+    Measures,
+    baseline_counts,
+    baseline_of,
+    before_after_counts,
+    before_after_of,
+    between,
+    counted,
+    trend_counts,
+    trend_of,
+)
 from eventlens.operators.filters import is_error
 from eventlens.session import materialize
 
@@ -74,13 +84,28 @@ def health_report(
 ) -> DataFrame:
     """Findings as rows: section, position of the section, subject, finding, value.
 
-    Metrics, trend, baseline and deployment comparison are one aggregation of
-    the events each; the report has a few rows per service.
+    The counts of all parts (rates, trend, baseline, deployment) are conditional
+    counts of one scan of the time they need together, kept as one row per
+    service; only the percentile has scans of its own.
     """
     at = instant(now)
     length = slice_length(window)
     span = TimeWindow(at - length, at)
-    metrics = classify_severity(service_metrics(within(df, span), by, method=method), thresholds, by)
+    recent = between(df, span)
+    rates = [F.count_if(recent).alias("events"), F.count_if(recent & is_error()).alias("errors")]
+    parts = [
+        Measures(span, rates),
+        trend_counts(df, span, slice, trailing),
+        baseline_counts(df, at, window, periods),
+    ]
+    if deploy_ts is not None:
+        parts.append(before_after_counts(df, deploy_ts, window))
+    counts = materialize(counted(df, [by], parts))
+    slowest = percentiles(within(df, span), [by], "elapsed", {"p95": 95}, method=method)
+    rated = counts.filter(F.col("events") > 0).select(by, "events", "errors").alias("l")
+    rated = rated.join(slowest.alias("r"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}")), "left").select("l.*", "r.p95")
+    rated = rated.withColumn("error_rate", F.col("errors") / F.col("events"))
+    metrics = classify_severity(rated, thresholds, by)
 
     def part(section: int, rows: DataFrame, subject: str, finding, value) -> DataFrame:
         return rows.select(
@@ -95,17 +120,17 @@ def health_report(
     immediate = part(0, urgent, by, F.concat(F.col("severity"), F.lit(" error rate")), F.col("error_rate"))
     calm = df.sparkSession.range(1).filter(urgent.select(F.count("*").alias("n")).scalar() == 0)
     none = part(0, calm.withColumn("_who", F.lit("None")), "_who", F.lit("None"), F.lit(0))
-    trend = trend_class(df, span, slice, [by], trailing)
+    trend = trend_of(df, counts, span, slice, [by], trailing)
     trending = part(
         1, trend.filter(F.col("trend") != "stable"), by, F.concat(F.col("trend"), F.lit(" errors")), F.col("n")
     )
-    unusual = baseline_deviation(df, at, window, periods, by, z_limit=z_limit).filter("unusual")
+    unusual = baseline_of(counts, periods, by, z_limit=z_limit).filter("unusual")
     trending = trending.unionByName(part(1, unusual, by, F.lit("unusual error count"), F.col("current")))
     health = part(2, metrics, by, F.coalesce(F.col("severity"), F.lit("healthy")), F.col("error_rate"))
     degraded = metrics.filter(F.col("severity") == "P2")
     advice = part(3, degraded, by, F.lit("investigate partial failures or latency"), F.col("p95"))
     if deploy_ts is not None:
-        moved = before_after(df, deploy_ts, window, by)
+        moved = before_after_of(counts, window, by)
         regressed = moved.filter((F.col("errors_after") > 0) & (F.coalesce(F.col("ratio"), F.lit(worse)) >= worse))
         advice = advice.unionByName(
             part(3, regressed, by, F.lit("review the deployment"), F.col("errors_after"))

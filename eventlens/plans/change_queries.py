@@ -97,7 +97,7 @@ def new_exception_types(spark, sf_dir):
 )
 def asof_deployment(spark, sf_dir):
     events = log_events(spark, sf_dir).select("event_id", "application", "ts")
-    return changes.asof_deployment(events, deployments(spark, sf_dir), NOW)
+    return changes.asof_deployment(events, deployments(spark, sf_dir))
 
 
 @query(
@@ -198,21 +198,23 @@ def health_report(spark, sf_dir):
     return rounded(found, "value")
 
 
-def rule_sql(rule_id: str, predicate: str, start: str, threshold: int, until: str | None) -> str:
-    suppressed = "false" if until is None else f"TIMESTAMP '{until}' > TIMESTAMP '2024-01-31'"
+def rule_sql(
+    rule_id: str, predicate: str, start: str, threshold: int, until: str | None, now: str = "2024-01-31"
+) -> str:
+    suppressed = "false" if until is None else f"TIMESTAMP '{until}' > TIMESTAMP '{now}'"
     return f"""SELECT '{rule_id}' AS rule_id, CASE WHEN {suppressed} THEN 'suppressed' WHEN count(*) >= {threshold} THEN 'firing' ELSE 'ok' END
-      AS state, count(*) AS observed, CAST({threshold} AS BIGINT) AS threshold, TIMESTAMP '2024-01-31' AS as_of
-      FROM log_events WHERE ({predicate}) AND ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '2024-01-31'"""
+      AS state, count(*) AS observed, CAST({threshold} AS BIGINT) AS threshold, TIMESTAMP '{now}' AS as_of
+      FROM log_events WHERE ({predicate}) AND ts >= {start} AND ts < TIMESTAMP '{now}'"""
 
 
 RULES_SQL = E + " UNION ALL ".join(
     [
-        rule_sql("many-errors", ERRORS, "2024-01-30", 40, None),
-        rule_sql("fatal", "level = 'Fatal'", "2024-01-30 18:00:00", 1_000_000, None),
-        rule_sql("slow", "elapsed > 30", "2024-01-30 12:00:00", 1, "2024-02-01"),
-        rule_sql("timeouts", "message LIKE '%timeout%'", "2024-01-24", 5, "2024-01-30"),
-        rule_sql("client-errors", "status_code BETWEEN 400 AND 499", "2024-01-30 22:00:00", 1_000_000, "2024-03-01"),
-        rule_sql("never", "exception = 'none'", "2024-01-01", 1, None),
+        rule_sql("many-errors", ERRORS, "TIMESTAMP '2024-01-30'", 40, None),
+        rule_sql("fatal", "level = 'Fatal'", "TIMESTAMP '2024-01-30 18:00:00'", 1_000_000, None),
+        rule_sql("slow", "elapsed > 30", "TIMESTAMP '2024-01-30 12:00:00'", 1, "2024-02-01"),
+        rule_sql("timeouts", "message LIKE '%timeout%'", "TIMESTAMP '2024-01-24'", 5, "2024-01-30"),
+        rule_sql("client-errors", "status_code BETWEEN 400 AND 499", "TIMESTAMP '2024-01-30 22:00:00'", 1_000_000, "2024-03-01"),
+        rule_sql("never", "exception = 'none'", "TIMESTAMP '2024-01-01'", 1, None),
     ]
 )
 

@@ -3,28 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlens.functions.pii import Redactor
-from eventlens.functions.timerange import TimeWindow, instant, interval, slice_length, ts_literal, within
-from eventlens.operators.alerts import load_rules, state_of
+from eventlens.functions.timerange import interval, slice_length
+from eventlens.operators.aggregates import percentiles
 from eventlens.operators.redact import redact
-
-COUNTS = T.StructType(
-    [
-        T.StructField("rule_id", T.StringType()),
-        T.StructField("slice_start", T.TimestampType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("slice_date", T.DateType()),
-    ]
-)
+from eventlens.session import materialize
+from eventlens.streaming.daily import DailyTable
 
 
 def with_watermark(stream: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
@@ -82,46 +73,40 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, by_day: str | None
     return sink.outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
 
 
-def live_alerts(
+def live_percentiles(
     stream: DataFrame,
-    rules: DataFrame,
+    slice: str,
+    watermark: str,
+    column: str,
+    points: dict[str, float],
     path: str,
     checkpoint: str,
-    slice: str = "1m",
-    watermark: str = "10m",
+    by: Sequence[str] = (),
+    slide: str | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Keep per-rule counts of short slices in the table ``path``.
-
-    Each micro-batch writes the slices it changed under its own batch number and
-    replaces that folder when it is retried, so a lost executor or a restart
-    neither loses nor doubles a count.  ``current_alerts`` reads the latest
-    version of each slice.
+    """Exact percentiles of each slice, written to ``path`` once the watermark has closed it.
+
+    The state holds one count per slice, key and value, spread over all tasks; no
+    row of it grows with the slice.  The counts of a closed slice come out in one
+    micro-batch, in which the ranks are found by the batch operator, so a slice
+    is never in one task either.  A batch that is retried replaces its own files.
+    ``closed_slices`` reads the result: slice_start, slice_end, the keys, ``n``
+    (all events) and the points (NULL without a value).
     """
-    loaded = load_rules(rules)
-    hits = F.array_compact(F.array(*[F.when(r.matches, F.lit(r.rule_id)) for r in loaded]))
-    matched = stream.select("ts", F.explode(hits).alias("rule_id"))
-    counts = live_slices(matched, slice, watermark, ["rule_id"])
+    values = stream.select("ts", *by, F.col(column).cast("double").alias("_value"))
+    counted = live_slices(values, slice, watermark, [*by, "_value"], slide=slide)
+    group = ["slice_start", "slice_end", *by]
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        versioned = batch.select(
-            "rule_id",
-            "slice_start",
-            "n",
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.to_date("slice_start").alias("slice_date"),
-        )
-        # At most rules x slices of a day: one file per day and batch.
-        (
-            versioned.repartition("slice_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slice_date", "batch_id")
-            .parquet(path)
-        )
+        # The rank selection reads the counts several times; the stream must run once.
+        closed = materialize(batch)
+        if not closed.isEmpty():
+            found = percentiles(closed, group, "_value", points, [F.sum("n").alias("n")], weight="n")
+            _closed(batch.sparkSession, path, group).save(found, batch_id)
 
     return (
-        counts.writeStream.outputMode("update")
+        counted.writeStream.outputMode("append")
         .foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
@@ -129,44 +114,14 @@ def live_alerts(
     )
 
 
-def current_alerts(spark: SparkSession, path: str, rules: DataFrame, now: str | datetime) -> DataFrame:
-    """Alert state from the counts of ``live_alerts``, in whole slices before ``now``.
-
-    Without rules the result is empty.
-    """
-    at = instant(now)
-    loaded = load_rules(rules)
-    if not loaded:
-        columns = "rule_id string, state string, observed bigint, threshold bigint, as_of timestamp"
-        return spark.createDataFrame([], columns)
-    longest = max(r.window for r in loaded)
-    counts = _read_days(spark, path, (at - longest).date(), at.date())
-    scoped = within(counts, TimeWindow(at - longest, at), "slice_start")
-    latest = scoped.groupBy("rule_id", "slice_start").agg(F.max_by("n", "batch_id").alias("n"))
-    as_of = ts_literal(counts, at, "slice_start")
-    windows = F.create_map(
-        *[x for r in loaded for x in (F.lit(r.rule_id), ts_literal(counts, at - r.window, "slice_start"))]
-    )
-    sums = latest.filter(F.col("slice_start") >= windows[F.col("rule_id")]).groupBy("rule_id")
-    observed = sums.agg(F.sum("n").alias("observed"))
-    known = rules.select("rule_id", "threshold", F.col("suppress_until").cast("timestamp").alias("_until"))
-    total = F.coalesce("observed", F.lit(0)).cast("bigint")
-    return known.join(observed, "rule_id", "left").select(
-        "rule_id",
-        state_of(total, F.col("threshold"), F.col("_until"), as_of).alias("state"),
-        total.alias("observed"),
-        "threshold",
-        as_of.alias("as_of"),
-    )
+def _closed(spark: SparkSession, path: str, keys: Sequence[str]) -> DailyTable:
+    return DailyTable(spark, path, "slice_start", keys)
 
 
-def _read_days(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
-    """The counts of some days; older folders are not even listed."""
-    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-    folders = path + "/slice_date={" + ",".join(d.isoformat() for d in days) + "}"
-    try:
-        return spark.read.schema(COUNTS).option("basePath", path).parquet(folders)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], COUNTS)
+def closed_slices(spark: SparkSession, path: str, points: Sequence[str], by: dict[str, str] | None = None) -> DataFrame:
+    """The slices ``live_percentiles`` has written; ``by`` gives the types of its keys."""
+    by = by or {}
+    fields = [T.StructField("slice_start", T.TimestampType()), T.StructField("slice_end", T.TimestampType())]
+    fields += [T.StructField(k, T.DataType.fromDDL(kind)) for k, kind in by.items()]
+    fields += [T.StructField("n", T.LongType()), *[T.StructField(p, T.DoubleType()) for p in points]]
+    return _closed(spark, path, ["slice_start", "slice_end", *by]).read(T.StructType(fields))

@@ -1,6 +1,8 @@
 """Operators against brute force on small tables, with block sizes made small."""
 
+import math
 import random
+import struct
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
@@ -40,13 +42,13 @@ def make_events(spark, n=1500, seed=1, hours=72):
 @pytest.mark.parametrize("by", [[], ["application"]])
 def test_percentiles_narrow_down(spark, monkeypatch, by):
     """Several narrowing rounds, with ties, extremes and NULLs."""
-    monkeypatch.setattr(aggregates, "RANKED_VALUES", 40)
+    monkeypatch.setattr(aggregates, "RANKED_ROWS", 3)
     rng = random.Random(5)
     rows = [("hot", rng.choice([rng.gauss(0, 1), float(rng.randint(0, 3))])) for _ in range(4000)]
     rows += [("b", float(i)) for i in range(700)] + [("one", 7.0), ("none", None), ("b", None)]
     df = spark.createDataFrame(rows, "application string, v double")
     points = {"p0": 0, "p1": 1, "p50": 50, "p95": 95, "p999": 99.9, "p100": 100}
-    found = percentiles(df, by, "v", points, [F.count("*").alias("n")], "narrowed", accuracy=2000).collect()
+    found = percentiles(df, by, "v", points, [F.count("*").alias("n")], "narrowed").collect()
     groups = defaultdict(list)
     for app, v in rows:
         groups[app if by else None].append(v)
@@ -148,7 +150,7 @@ def test_asof_deployment(spark):
     ]
     deployed.append((deployed[0][0], deployed[0][1], "v99"))
     table = spark.createDataFrame(deployed, "application string, deploy_ts timestamp_ntz, version string")
-    found = changes.asof_deployment(df, table, "2024-01-04T00:00:00Z").collect()
+    found = changes.asof_deployment(df, table).collect()
     assert len(found) == len(rows)
     for r in found:
         known = [(at, v) for app, at, v in deployed if app == r["application"] and at <= r["ts"]]
@@ -309,10 +311,118 @@ def test_asof_deployment_after_the_window(spark):
     df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(times)], "event_id int, ts timestamp_ntz, application string")
     made = [("a", datetime(2024, 1, 1), "1"), ("a", datetime(2024, 1, 4), "2"), ("a", datetime(2024, 1, 8), "3")]
     table = spark.createDataFrame(made, "application string, deploy_ts timestamp_ntz, version string")
-    found = changes.asof_deployment(df, table, "2024-01-02T00:00:00Z")
+    found = changes.asof_deployment(df, table)
     assert [r["deployed_version"] for r in found.orderBy("event_id").collect()] == ["1", "1", "2", "3"]
 
 
-def test_too_small_an_accuracy(spark):
-    with pytest.raises(ValueError, match="accuracy"):
-        percentiles(spark.range(5), [], "id", {"p": 50}, accuracy=5)
+def test_sortable_doubles(spark):
+    """The integer orders all doubles as Spark does, one integer to a value."""
+    rng = random.Random(4)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
+    values += [m * 2.0**e for e in range(-1074, 1024, 7) for m in (1.0, -1.0)]
+    values += [math.nextafter(2.0**e, side) for e in range(-1000, 1000, 9) for side in (0.0, math.inf)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, math.inf, -math.inf, math.nan, 2.0**-1022]
+    values = [v for v in values if not math.isnan(v)] + [math.nan]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    found = rows.select("v", aggregates.sortable(F.col("v")).alias("key")).collect()
+    finite = [r for r in found if math.isfinite(r["v"])]
+    for r in finite:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["key"] == (-bits if r["v"] < 0 else bits)
+    keys = {str(r["v"]): r["key"] for r in found}
+    assert keys["nan"] > keys["inf"] > max(r["key"] for r in finite)
+    assert keys["-inf"] < min(r["key"] for r in finite)
+
+
+def test_percentiles_of_odd_values(spark):
+    rows = [("a", v) for v in (-math.inf, -1.5, -0.0, 0.0, 2.0, math.inf)] + [("b", math.inf)] * 3 + [("c", math.nan)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    found = {r["k"]: r for r in percentiles(df, ["k"], "v", {"p0": 0, "p50": 50, "p100": 100}).collect()}
+    assert tuple(found["a"])[1:] == (-math.inf, 0.0, math.inf) and found["b"]["p50"] == math.inf
+    assert math.isnan(found["c"]["p50"])
+
+
+def test_percentiles_with_weights(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), float(rng.randint(-5, 40)) / 8, rng.randint(1, 9)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, v double, times int")
+    points = {"p1": 1, "p50": 50, "p95": 95}
+    for r in percentiles(df, ["k"], "v", points, weight="times").collect():
+        spread = [v for k, v, times in rows if k == r["k"] for _ in range(times)]
+        assert [r[name] for name in points] == pytest.approx([np.percentile(spread, p) for p in points.values()])
+    with pytest.raises(ValueError, match="weights"):
+        percentiles(df, ["k"], "v", points, method="exact", weight="times")
+
+
+def test_percentiles_hold_no_group(spark):
+    df, _ = make_events(spark, 200)
+    plan = percentiles(df, ["application"], "elapsed", {"p": 50}, [F.countDistinct("user_id").alias("users")])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in text.lower() and "ObjectHashAggregate" not in text
+
+
+def test_asof_deployment_of_one_hot_application(spark):
+    """Nine events in ten belong to one application and lie after its last deployment."""
+    rng = random.Random(12)
+    made = [("hot", START + timedelta(seconds=rng.randrange(500)), f"v{i:03d}") for i in range(60)]
+    made += [("cold", START + timedelta(seconds=900), "c"), (None, START, "none"), ("hot", None, "never")]
+    rows = [(i, START + timedelta(seconds=500 + rng.randrange(5)), "hot") for i in range(1800)]
+    rows += [(5000 + i, START + timedelta(seconds=rng.randrange(1500)), rng.choice(["hot", "cold", "other", None])) for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id int, ts timestamp_ntz, application string").repartition(16)
+    table = spark.createDataFrame(made, "application string, deploy_ts timestamp_ntz, version string")
+    found = changes.asof_deployment(events, table)
+    answers = found.collect()
+    assert len(answers) == len(rows)
+    for r in answers:
+        known = [(at, v) for app, at, v in made if app and at and app == r["application"] and at <= r["ts"]]
+        assert (r["deployed_at"], r["deployed_version"]) == (max(known) if known else (None, None))
+
+
+def test_asof_deployment_edges(spark):
+    events = spark.createDataFrame([(1, START, "a")], "event_id int, ts timestamp_ntz, application string")
+    none = spark.createDataFrame([], "application string, deploy_ts timestamp_ntz, version string")
+    assert changes.asof_deployment(events, none).collect()[0]["deployed_version"] is None
+    made = spark.createDataFrame([("a", START, "1")], none.schema)
+    assert changes.asof_deployment(events.limit(0), made).count() == 0
+    assert changes.asof_deployment(events, made).collect()[0]["deployed_version"] == "1"
+
+
+def test_analyses_of_one_scan(spark):
+    """The counts of a report read the events once, and shared counts give what single ones do."""
+    df, _ = make_events(spark)
+    now, window = "2024-01-04T00:00:00Z", query_window("2024-01-04T00:00:00Z", "1d")
+    parts = [
+        changes.trend_counts(df, window, "1h", 6),
+        changes.baseline_counts(df, now, "1d", 2),
+        changes.before_after_counts(df, "2024-01-02T12:00:00Z", "12h"),
+    ]
+    counts = changes.counted(df, ["application"], parts)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    together = [
+        changes.trend_of(df, counts, window, "1h", ["application"]),
+        changes.baseline_of(counts, 2, "application"),
+        changes.before_after_of(counts, "12h", "application"),
+    ]
+    alone = [
+        changes.trend_class(df, window, "1h", ["application"]),
+        changes.baseline_deviation(df, now, "1d", 2, "application"),
+        changes.before_after(df, "2024-01-02T12:00:00Z", "12h", "application"),
+    ]
+    for a, b in zip(together, alone, strict=True):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@pytest.mark.parametrize(("slice", "end", "k"), [("1h", "2024-01-03T12:00:00Z", 6), ("7h", "2024-01-03T12:34:00Z", 3), ("2d", "2024-01-02T00:00:00Z", 4)])
+def test_trend_equals_the_dense_series(spark, slice, end, k):
+    df, _ = make_events(spark)
+    window = TimeWindow(instant("2024-01-01T03:20:00Z"), instant(end))
+    scoped = df.filter((F.col("ts") >= "2024-01-01 03:20:00") & (F.col("ts") < end[:19].replace("T", " ")) & F.col("level").isin("Error", "Fatal"))
+    dense = dense_slices(by_slice(scoped, slice, ["application"]), window, slice, ["application"])
+    last = {r["application"]: r for r in changes.slice_deltas(dense, slice, k, ["application"]).orderBy("slice_start").collect()}
+    found = changes.trend_class(df, window, slice, ["application"], k).collect()
+    assert {r["application"] for r in found} == set(last)
+    for r in found:
+        want = last[r["application"]]
+        assert (r["slice_start"], r["n"], r["delta"]) == (want["slice_start"], want["n"], want["delta"])
+        assert r["trailing_mean"] == (None if want["trailing_mean"] is None else pytest.approx(want["trailing_mean"]))
