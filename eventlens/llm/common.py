@@ -147,3 +147,12 @@ def in_order(rows: DataFrame, name: str, *order: str) -> DataFrame:
         before += row["n"]
     bases = rows.sparkSession.createDataFrame(bases, "_part int, _base long")
     return placed.join(F.broadcast(bases), "_part").select(*rows.columns, (F.col("_at") + F.col("_base")).alias(name))
+
+
+def unused_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    name, n = base, 0
+    while name.lower() in taken:
+        name, n = f"{base}_{n}", n + 1
+    return name

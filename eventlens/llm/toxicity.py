@@ -1,265 +1,211 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-Two bigram models are counted over the labelled training rows, one of toxic and
-one of ordinary texts.  A pair of words is interpolated with the continuation
-counts of its class (in how many contexts a word was seen, so copies of a text
-count once), and these with the continuation counts that both classes share.
-The discount grows with what the class would have at that frequency if it did
-not differ from the other: a class keeps the part of a count that stands out,
-all else is left to the shared back-off, so rare and neutral expressions have
-the same probability in both models.  A text is scored by the difference of the
-two log-likelihoods per word, which a logistic curve, fitted on training rows
-that the models have not seen, turns into a probability.
-
-Counts cover all training rows and grow with them; what is sent to the executors
-is bounded by ``VOCABULARY`` words, ``OTHER_CONTEXTS`` and ``KEPT_PAIRS`` word pairs,
-the most frequent ones (the usual cut-off; the mass of the rest backs off).
+"""Toxicity by class-conditional Kneser-Ney models of the spelling of words.
+
+Two models, one of toxic and one of ordinary texts, give the probability of a word
+character by character, the context being the beginning of the word.  Counts are
+Kneser-Ney's: not how often a word is written, but after how many different pairs
+of words, so a passage that is copied a thousand times counts once.
+From what a class has seen of a spelling, a discount is taken (estimated from the
+counts of counts of the class) together with what the class would have seen if it
+did not differ from the other; the mass set free goes to the counts that both
+classes share.  A class has counts of its own only where it stands out against
+its share of the context; rare and neutral spellings have the same probability
+in both models.  So an inflected or new form of a toxic word is told by its stem,
+and differences of length, language or amount of text between the classes are not
+taken for toxicity.
+
+A text is scored by the difference of both log-likelihoods per distinct word; a
+logistic curve, fitted on training texts that the models have not seen, turns it
+into a probability.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlens.llm.common import fold, join_labels, words_of
+from eventlens.llm.common import fold, join_labels, unused_name, words_of
 from eventlens.session import materialize
 
-VOCABULARY = 65_536
-KEPT_PAIRS = 500_000
-OTHER_CONTEXTS = 1 << 17  # words outside the vocabulary, as contexts, by hash
-LEAST_PAIR = 5  # a rarer pair never stands out
-DISCOUNT = 0.75
-DEVIATIONS = 5.0
-LEVELS = 32
+DEPTH = 8  # characters of a word that are followed one by one; the rest is one step
+ODDS = 1.5  # a class stands out in a context with more than this many times its odds there ...
+DEVIATIONS = 3.0  # ... by this many standard deviations
 HELD_OUT_MODULUS = 5
 CALIBRATION_FOLD = 1  # of the training folds 1..4
-WIDTH = 1 << 20  # a pair is one integer: its context times this, plus its word
-BINS_PER_UNIT = 512
-EDGES = b".,;:!?\"'()[]{}<>|#*$%&-_/\\"
-PAIRS_AT_A_TIME = 2_000_000
+BINS_PER_UNIT = 4096
+HELD = 300_000  # different words in their contexts that a task holds before it passes them on
+EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_/\\"
+END = "\n"  # no word has one
+NEUTRAL = -0.5  # the largest logit of a text in which neither class stands out
 
+CLASSES = ["ordinary", "toxic"]
+COUNTS = [*CLASSES, "all_ordinary", "all_toxic"]  # without and with the texts of the calibration
 
-class Expressions(dict):
-    """Hash of a word without case and marks around it; remembered for frequent words."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        plain = word.lower().strip(EDGES) or word
-        value = self[word] = xxhash.xxh3_64_intdigest(plain) >> 1  # fits a signed column
-        return value
-
-    def of(self, text: str | None) -> np.ndarray:
-        words = words_of(text)
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-
-
-@dataclass
-class Lexicon:
-    """Numbers of the vocabulary: 1.. in the order of the hashes, 0 for all other words."""
-
-    hashes: np.ndarray
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at + 1, 0)
-
-    def pairs(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the contexts and of the words of a text."""
-        numbers = self.numbers(hashes)
-        contexts = np.where(numbers > 0, numbers, FIRST_OTHER + hashes % OTHER_CONTEXTS)
-        return np.concatenate([np.array([START]), contexts[:-1]])[: len(numbers)], numbers
 
+def expression(word: bytes) -> str:
+    """A word without case and the marks around it."""
+    plain = word.decode("utf-8").lower()
+    return plain.strip(EDGES) or plain
 
-START = VOCABULARY + 1
-FIRST_OTHER = VOCABULARY + 2
-CONTEXTS = FIRST_OTHER + OTHER_CONTEXTS
 
+def steps(word: str) -> list[tuple[str, str]]:
+    """The contexts of a word, each with the spelling it is followed to."""
+    whole = word + END
+    ends = [*range(1, min(len(whole), DEPTH) + 1), *([len(whole)] if len(whole) > DEPTH else [])]
+    return [(whole[:a], whole[:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
-def _counted(values: list[np.ndarray], labels: list[int]) -> pd.DataFrame:
-    """Distinct values with their counts in ordinary and toxic texts."""
-    if not values:
-        return pd.DataFrame({"key": [], "ordinary": [], "toxic": []}).astype("int64")
-    sizes = [len(v) for v in values]
-    keys, inverse = np.unique(np.concatenate(values), return_inverse=True)
-    toxic = np.repeat(np.asarray(labels, dtype=bool), sizes)
-    n = len(keys)
-    t = np.bincount(inverse[toxic], minlength=n)
-    o = np.bincount(inverse[~toxic], minlength=n)
-    return pd.DataFrame({"key": keys.astype("int64"), "ordinary": o, "toxic": t})
 
+def contexts_of_words(rows: DataFrame) -> DataFrame:
+    """word and ``COUNTS``: after how many different pairs of words each class has the word.
 
-def _count(rows: DataFrame, values_of) -> DataFrame:
-    """Counts over all rows of what ``values_of`` makes of a text; combined in each task before they are shuffled."""
+    ``rows`` has text, label and ``apart``, which tells the texts of the
+    calibration.  Copies of a passage have the same pairs and count once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        expressions, values, labels, size = Expressions(), [], [], 0
-        for batch in batches:
-            for text, label in zip(batch["text"], batch["label"], strict=True):
-                found = values_of(expressions.of(text))
-                values.append(found)
-                labels.append(label)
-                size += len(found)
-                if size >= PAIRS_AT_A_TIME:
-                    yield _counted(values, labels)
-                    values, labels, size = [], [], 0
-        yield _counted(values, labels)
-
-    counted = rows.select("text", "label").mapInPandas(run, "key long, ordinary long, toxic long")
-    return counted.groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+        seen: list[set[tuple[str, int]]] = [set() for _ in range(4)]
+        plain: dict[bytes, tuple[str, int]] = {}
+
+        def found() -> pd.DataFrame:
+            flags = Counter()
+            for i, part in enumerate(seen):
+                for key in part:
+                    flags[key] += 1 << i
+            words = np.array([w for w, _ in flags], dtype=object)
+            after = np.fromiter((c for _, c in flags), dtype=np.int32, count=len(flags))
+            return pd.DataFrame({"word": words, "after": after, "flags": np.array(list(flags.values()), dtype=np.int32)})
 
+        for batch in batches:
+            for text, label, apart in zip(batch["text"], batch["label"], batch["apart"], strict=True):
+                one = two = 0
+                part = seen[2 * int(apart) + int(label)]
+                for raw in words_of(text):
+                    known = plain.get(raw)
+                    if known is None:
+                        if len(plain) >= HELD:
+                            plain.clear()
+                        word = expression(raw)
+                        known = plain[raw] = (word, xxhash.xxh32_intdigest(word.encode("utf-8")))
+                    part.add((known[0], ((two * 0x9E3779B1 ^ one) & 0xFFFFFFFF) - 0x80000000))
+                    two, one = one, known[1]
+                if sum(map(len, seen)) >= HELD:
+                    yield found()
+                    for part in seen:
+                        part.clear()
+        yield found()
+
+    pairs = rows.select("text", "label", "apart").mapInPandas(run, "word string, after int, flags int")
+    each = pairs.groupBy("word", "after").agg(F.bit_or("flags").alias("flags"))
+    masks = dict(zip(COUNTS, (1, 2, 5, 10), strict=True))
+    return each.groupBy("word").agg(*[F.count_if(F.col("flags").bitwiseAND(m) != 0).alias(c) for c, m in masks.items()])
+
+
+def spellings(words: DataFrame) -> DataFrame:
+    """context, spelling and ``COUNTS`` of all steps of all words."""
+    whole = F.concat("word", F.lit(END))
+    size = F.length(whole)
+    ends = F.concat(
+        F.sequence(F.lit(1), F.least(size, F.lit(DEPTH))), F.when(size > DEPTH, F.array(size)).otherwise(F.array())
+    )
+    start = F.least(F.col("end") - 1, F.lit(DEPTH))
+    each = words.select(whole.alias("whole"), *COUNTS, F.explode(ends).alias("end"))
+    cut = each.select(
+        F.col("whole").substr(F.lit(1), start).alias("context"),
+        F.col("whole").substr(F.lit(1), F.col("end")).alias("spelling"),
+        *COUNTS,
+    )
+    return cut.groupBy("context", "spelling").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
-def _most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """The rows with the largest counts, ``limit`` at most; ties at the cut stay out.
 
-    The cut is read off a histogram of the counts on a logarithmic scale, which
-    has a bounded number of bins.
-    """
-    bin_ = F.floor(F.log2((F.col("ordinary") + F.col("toxic")).cast("double")) * 64).cast("int")
-    histogram = counts.groupBy(bin_.alias("bin")).count().orderBy(F.desc("bin")).collect()
-    total, cut = 0, None
-    for row in histogram:
-        total += row["count"]
-        if total > limit:
-            break
-        cut = row["bin"]
-    return counts.where(bin_ >= F.lit(cut)) if cut is not None else counts.where("false")
+def discounts(counts: DataFrame, name: str) -> list[float]:
+    """Kneser-Ney's discounts of counts of one, of two, and of three or more, from the counts of counts."""
+    few = counts.where(F.col(name).between(1, 4)).groupBy(name).count().collect()
+    n = {r[0]: r[1] for r in few}
+    if not all(n.get(i) for i in (1, 2, 3, 4)):
+        return [0.75, 0.75, 0.75]
+    y = n[1] / (n[1] + 2 * n[2])
+    return [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.1), float(i)) for i in (1, 2, 3)]
 
 
 @dataclass
 class KneserNey:
-    """What scoring needs: log ratios of the two classes, back-off in parts, kept pairs whole."""
+    """Log ratios of both models: of the spellings in which a class stands out, and of the back-off of their contexts."""
 
-    lexicon: Lexicon
-    after: np.ndarray  # by context: log ratio of the back-off weights
-    word: np.ndarray  # by word: log ratio of the lower-order probabilities
-    pairs: np.ndarray  # pairs that stand out, sorted
-    ratios: np.ndarray  # their log ratios
+    own: dict[str, float]
+    backoff: dict[str, float]
+    discounts: dict[str, list[float]] = field(default_factory=dict)
     slope: float = 1.0
-    intercept: float = 0.0
-
-    def per_word(self, hashes: np.ndarray) -> float:
-        """Difference of the log-likelihoods per word; 0 for a text without words."""
-        if not len(hashes):
-            return 0.0
-        contexts, numbers = self.lexicon.pairs(hashes)
-        ratios = self.after[contexts] + self.word[numbers]
-        if len(self.pairs):
-            keys = contexts * WIDTH + numbers
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            ratios = np.where(self.pairs[at] == keys, self.ratios[at], ratios)
-        return float(ratios.mean())
-
-
-CLASSES = ["ordinary", "toxic"]
-SUMMARY = "kind int, key long, ordinary long, toxic long"
-BY_CONTEXT, BY_WORD, PAIR = 0, 1, 2
-
-
-def _summaries(pairs: DataFrame) -> DataFrame:
-    """Of distinct pairs: counts by context, contexts by word, and the pairs that may stand out."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, seen = np.zeros((2, CONTEXTS), dtype=np.int64), np.zeros((2, VOCABULARY + 2), dtype=np.int64)
-        for batch in batches:
-            keys = batch["key"].to_numpy()
-            for c, name in enumerate(CLASSES):
-                n = batch[name].to_numpy()
-                counts[c] += np.bincount(keys // WIDTH, weights=n, minlength=CONTEXTS).astype(np.int64)
-                seen[c] += np.bincount((keys % WIDTH)[n > 0], minlength=VOCABULARY + 2)
-            often = batch[batch["ordinary"] + batch["toxic"] >= LEAST_PAIR]
-            yield often.assign(kind=PAIR)[["kind", "key", *CLASSES]]
-        for kind, table in ((BY_CONTEXT, counts), (BY_WORD, seen)):
-            at = np.flatnonzero(table.any(axis=0))
-            yield pd.DataFrame({"kind": kind, "key": at, "ordinary": table[0][at], "toxic": table[1][at]})
-
-    rows = pairs.select("key", *CLASSES).mapInPandas(run, SUMMARY)
-    # A pair is in one partition; contexts and words are in several.
-    return rows.groupBy("kind", "key").agg(*(F.sum(c).alias(c) for c in CLASSES))
-
-
-def _standing_out(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    return np.maximum(count - expected - DISCOUNT - DEVIATIONS * np.sqrt(expected), 0.0)
-
-
-def _expected_contexts(continuation: np.ndarray, c: int) -> np.ndarray:
-    """Contexts a class would have of each word if it did not differ from the other.
-
-    Contexts saturate, so the share of a class depends on how frequent a word is;
-    it is taken from words of about that frequency, in ``LEVELS`` groups of equal mass.
-    """
-    both = continuation.sum(axis=0)
-    order = np.argsort(both, kind="stable")
-    level = np.empty(len(both), dtype=np.int64)
-    level[order] = np.minimum(np.cumsum(both[order]) / max(both.sum(), 1.0) * LEVELS, LEVELS - 1).astype(np.int64)
-    mass = np.maximum(np.bincount(level, weights=both, minlength=LEVELS), 1.0)
-    return both * (np.bincount(level, weights=continuation[c], minlength=LEVELS) / mass)[level]
-
-
-def _beyond_share(summary: DataFrame, followed: np.ndarray) -> DataFrame:
-    """The pairs of which a class has more than chance gives it at its share of all pairs."""
-    pairs = summary.where(F.col("kind") == PAIR)
-    beyond = F.lit(False)
-    for c, name in enumerate(CLASSES):
-        expected = (F.col("ordinary") + F.col("toxic")) * F.lit(float(followed[c].sum() / max(followed.sum(), 1.0)))
-        beyond = beyond | (F.col(name) > expected + DISCOUNT + DEVIATIONS * F.sqrt(expected))
-    return pairs.where(beyond)
-
-
-def count_models(rows: DataFrame) -> KneserNey:
-    """Both models from labelled rows (text, label)."""
-    words = materialize(_count(rows, lambda hashes: hashes))
-    found = _most_frequent(words, VOCABULARY).select("key").toPandas()["key"]
-    lexicon = Lexicon(np.sort(found.to_numpy(dtype=np.int64)))
-
-    def keys_of(hashes: np.ndarray) -> np.ndarray:
-        # Once per text: what a single text repeats says nothing about its class.
-        contexts, numbers = lexicon.pairs(hashes)
-        return np.unique((contexts * WIDTH + numbers)[numbers > 0])
-
-    summary = materialize(_summaries(_count(rows, keys_of)))
-    followed, continuation = np.zeros((2, CONTEXTS)), np.zeros((2, VOCABULARY + 2))
-    for kind, target in ((BY_CONTEXT, followed), (BY_WORD, continuation)):
-        part = summary.where(F.col("kind") == kind).toPandas()
-        target[:, part["key"]] = part[CLASSES].to_numpy(dtype=float).T
-    kept = _most_frequent(_beyond_share(summary, followed), KEPT_PAIRS).toPandas().sort_values("key")
-    keys = kept["key"].to_numpy(dtype=np.int64)
-    first, second = keys // WIDTH, keys % WIDTH
-
-    both = continuation.sum(axis=0)
-    shared = (both + 1.0) / (both + 1.0).sum()
-    total = np.maximum(followed.sum(axis=0), 1.0)
-    overall = followed.sum(axis=1) / max(followed.sum(), 1.0)
-    pair_counts = kept[CLASSES].to_numpy(dtype=float).T
-    pair_total = pair_counts.sum(axis=0)
-    lower, stands = [], []
-    for c in range(2):
-        expected = _expected_contexts(continuation, c)
-        own = _standing_out(continuation[c], expected) / max(continuation[c].sum(), 1.0)
-        lower.append(own + (1.0 - own.sum()) * shared)
-        of_context = followed[c][first] / total[first]
-        of_word = continuation[c][second] / np.maximum(both[second], 1.0)
-        stands.append(_standing_out(pair_counts[c], pair_total * np.maximum(overall[c], np.maximum(of_context, of_word))))
-    useful = (stands[0] > 0) | (stands[1] > 0)
-    keys, first, second = keys[useful], first[useful], second[useful]
-    weight, whole = [], []
-    for c in range(2):
-        own = stands[c][useful] / np.maximum(followed[c][first], 1.0)
-        weight.append(1.0 - np.bincount(first, weights=own, minlength=CONTEXTS))
-        whole.append(own + weight[c][first] * lower[c][second])
-    after, word, ratios = (np.log(x[1]) - np.log(x[0]) for x in (weight, lower, whole))
-    return KneserNey(lexicon, after, word, keys, ratios)
+    intercept: float = NEUTRAL
+
+    def word(self, word: str) -> float:
+        """Difference of the log-likelihoods of a word.  Where no class stands out, both have the shared one."""
+        total = 0.0
+        for context, spelling in steps(word):
+            weight = self.backoff.get(context)
+            if weight is not None:
+                total += self.own.get(spelling, weight)
+        return total
+
+
+class Scorer:
+    """Scores texts; remembers the words a task sees often."""
+
+    LIMIT = 200_000
+
+    def __init__(self, model: KneserNey) -> None:
+        self.model = model
+        self.known: dict[bytes, tuple[str, float]] = {}
+
+    def per_word(self, text: str | None) -> float:
+        """Difference of the log-likelihoods per distinct word; 0 for a text without words."""
+        found: dict[str, float] = {}
+        known = self.known
+        for raw in set(words_of(text)):
+            pair = known.get(raw)
+            if pair is None:
+                word = expression(raw)
+                if len(known) >= self.LIMIT:
+                    known.clear()
+                pair = known[raw] = (word, self.model.word(word))
+            found[pair[0]] = pair[1]
+        return sum(found.values()) / len(found) if found else 0.0
+
+
+def model_of(counts: DataFrame) -> KneserNey:
+    """Both models from counts of spellings (context, spelling, ordinary, toxic)."""
+    taken = {c: discounts(counts, c) for c in CLASSES}
+    contexts = counts.groupBy("context").agg(*[F.sum(c).alias(f"total_{c}") for c in CLASSES])
+    both, everything = F.col("ordinary") + F.col("toxic"), F.col("total_ordinary") + F.col("total_toxic")
+    table = counts.where(both > 0).join(contexts, "context").withColumn("shared", both / everything)
+    for c in CLASSES:
+        share = F.col(f"total_{c}") / everything
+        raised = both * (ODDS * share / (1 + (ODDS - 1) * share))
+        one, two, more = taken[c]
+        discount = F.when(F.col(c) == 1, one).when(F.col(c) == 2, two).otherwise(more)
+        stands_out = F.col(c) > raised + one + DEVIATIONS * F.sqrt(raised)
+        kept = F.when(stands_out, F.greatest(F.col(c) - both * share - discount, F.lit(0.0))).otherwise(0.0)
+        table = table.withColumn(f"kept_{c}", kept)
+    # Spellings in which a class stands out: few, whatever the number of texts.
+    found = table.where((F.col("kept_ordinary") > 0) | (F.col("kept_toxic") > 0)).toPandas()
+    own: dict[str, float] = {}
+    backoff: dict[str, float] = {}
+    for context, group in found.groupby("context"):
+        free, logs = [], []
+        for c in CLASSES:
+            total = max(float(group[f"total_{c}"].iloc[0]), 1.0)
+            free.append(1.0 - float(group[f"kept_{c}"].sum()) / total)
+            logs.append(np.log(group[f"kept_{c}"].to_numpy() / total + free[-1] * group["shared"].to_numpy()))
+        backoff[context] = float(np.log(free[1]) - np.log(free[0]))
+        own.update(zip(group["spelling"], (logs[1] - logs[0]).tolist(), strict=True))
+    return KneserNey(own, backoff, taken)
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -278,37 +224,51 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, f
     return float(beta[0] / scale), float(beta[1])
 
 
-def _per_word(docs: DataFrame, model: KneserNey, names: list[str]) -> DataFrame:
-    """The columns ``names`` and ``_per_word`` for each row with a text column."""
+def with_score(docs: DataFrame, model: KneserNey, name: str) -> DataFrame:
+    """``docs`` as they are, and the difference of the log-likelihoods per word in the column ``name``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*names, F.col("text").alias("_scored"))
-    schema = T.StructType([*rows.drop("_scored").schema.fields, T.StructField("_per_word", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, expressions = sent.value, Expressions()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value)
         for batch in batches:
-            values = [model.per_word(expressions.of(text)) for text in batch["_scored"]]
-            yield batch.drop(columns="_scored").assign(_per_word=np.array(values, dtype=float))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            scores = pa.array([scorer.per_word(t.as_py()) for t in texts], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
 
-    return rows.mapInPandas(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
-def _probability(model: KneserNey) -> Column:
-    raw = F.lit(model.slope) * F.col("_per_word") + F.lit(model.intercept)
+def probability(model: KneserNey, per_word: Column) -> Column:
+    raw = F.lit(model.slope) * per_word + F.lit(model.intercept)
     return 1.0 / (1.0 + F.exp(-F.greatest(F.least(raw, F.lit(30.0)), F.lit(-30.0))))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Column | None = None) -> KneserNey:
-    """Fit the models and the curve on labelled rows; ``usable`` picks rows by ``doc_id``."""
+    """Fit the models and the curve on labelled rows; ``usable`` picks rows by ``doc_id``.
+
+    All usable rows are counted.  What is sent to the executors are the spellings
+    that stand out: their number follows how many expressions the classes differ
+    in, not how many texts there are.
+    """
     part = fold("doc_id", HELD_OUT_MODULUS)
     usable = part != 0 if usable is None else usable
-    rows = join_labels(docs, labels, label, usable)
-    model = count_models(rows.where(part != CALIBRATION_FOLD))
-    scored = _per_word(rows.where(part == CALIBRATION_FOLD), model, ["label"])
-    bins = scored.groupBy(F.round(F.col("_per_word") * BINS_PER_UNIT).cast("long").alias("bin"), "label").count().toPandas()
+    rows = join_labels(docs, labels, label, usable).withColumn("apart", part == CALIBRATION_FOLD)
+    counts = materialize(spellings(contexts_of_words(rows)))
+    # The curve is fitted on texts that its models have not seen; the models that score have seen all.
+    first = model_of(counts.select("context", "spelling", *CLASSES))
+    whole = [F.col(f"all_{c}").alias(c) for c in CLASSES]
+    model = model_of(counts.select("context", "spelling", *whole))
+    scored = with_score(rows.where("apart").select("text", "label"), first, "per_word")
+    bins = scored.groupBy(F.round(F.col("per_word") * BINS_PER_UNIT).cast("long").alias("bin"), "label").count().toPandas()
     if len(bins):
-        x = bins["bin"].to_numpy(dtype=float) / BINS_PER_UNIT
-        model.slope, model.intercept = _fit_logistic(x, bins["label"].to_numpy(dtype=float), bins["count"].to_numpy(dtype=float))
+        x, y = bins["bin"].to_numpy(dtype=float) / BINS_PER_UNIT, bins["label"].to_numpy(dtype=float)
+        # The rarer class weighs more than its texts, but less than the other: by the root of the ratio.
+        n = bins["count"].to_numpy(dtype=float)
+        n = n / np.sqrt(np.maximum(np.where(y == 1, n[y == 1].sum(), n[y == 0].sum()), 1.0))
+        model.slope, model.intercept = _fit_logistic(x, y, n * (bins["count"].sum() / n.sum()))
+        # A text in which neither class stands out is not toxic.
+        model.intercept = min(model.intercept, NEUTRAL)
     return model
 
 
@@ -319,8 +279,8 @@ def score(docs: DataFrame, model: KneserNey) -> DataFrame:
     Repeated rows are scored each; NULL doc_ids are passed on; columns other than
     doc_id and text are never looked at.
     """
-    rows = _per_word(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, ["doc_id"])
-    scored = rows.select("doc_id", F.col("_per_word").alias("per_word"), _probability(model).alias("score"))
+    rows = with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "per_word")
+    scored = rows.select("doc_id", "per_word", probability(model, F.col("per_word")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -333,6 +293,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted to be toxic, with all their columns; one pass scores and filters."""
+    """The rows of ``docs`` that are not predicted to be toxic, with all their columns.
+
+    One pass scores and filters.  NULL and empty texts, repeated rows and empty
+    tables as in ``score``; the columns may have any names.
+    """
     model = train(docs, labels)
-    return _per_word(docs, model, docs.columns).where(_probability(model) < 0.5).drop("_per_word")
+    name = unused_name(docs, "per_word")
+    return with_score(docs, model, name).where(probability(model, F.col(name)) < 0.5).drop(name)
