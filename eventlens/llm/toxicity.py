@@ -2,8 +2,8 @@
 
 Two models, one of toxic and one of ordinary texts, give the probability of a word
 character by character, the context being the beginning of the word.  Counts are
-Kneser-Ney's: not how often a word is written, but after how many different pairs
-of words, so a passage that is copied a thousand times counts once.
+Kneser-Ney's: not how often a word is written, but in how many different passages
+it stands, so what is copied a thousand times counts once.
 From what a class has seen of a spelling, a discount is taken (estimated from the
 counts of counts of the class) together with what the class would have seen if it
 did not differ from the other; the mass set free goes to the counts that both
@@ -41,7 +41,8 @@ DEVIATIONS = 3.0  # ... by this many standard deviations
 HELD_OUT_MODULUS = 5
 CALIBRATION_FOLD = 1  # of the training folds 1..4
 BINS_PER_UNIT = 4096
-HELD = 300_000  # different words in their contexts that a task holds before it passes them on
+PASSAGE, LONGEST_PASSAGE = 4, 64  # words of a passage, on average and at most
+HELD = 150_000  # different words or passages that a task holds before it passes them on
 EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_/\\"
 END = "\n"  # no word has one
 NEUTRAL = -0.5  # the largest logit of a text in which neither class stands out
@@ -56,56 +57,90 @@ def expression(word: bytes) -> str:
     return plain.strip(EDGES) or plain
 
 
-def steps(word: str) -> list[tuple[str, str]]:
+def steps(word: str) -> Iterator[tuple[str, str]]:
     """The contexts of a word, each with the spelling it is followed to."""
     whole = word + END
-    ends = [*range(1, min(len(whole), DEPTH) + 1), *([len(whole)] if len(whole) > DEPTH else [])]
-    return [(whole[:a], whole[:b]) for a, b in zip([0, *ends], ends, strict=False)]
+    for i in range(min(len(whole), DEPTH)):
+        yield whole[:i], whole[: i + 1]
+    if len(whole) > DEPTH:
+        yield whole[:DEPTH], whole
 
 
-def contexts_of_words(rows: DataFrame) -> DataFrame:
-    """word and ``COUNTS``: after how many different pairs of words each class has the word.
+class Expressions(dict):
+    """The plain form of a word as it is written, and whether a passage ends with it."""
+
+    LIMIT = 200_000
+
+    def __missing__(self, raw: bytes) -> tuple[str, bool]:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        word = expression(raw)
+        value = self[raw] = (word, xxhash.xxh32_intdigest(word.encode("utf-8")) % PASSAGE == 0)
+        return value
+
+
+def passages(rows: DataFrame) -> DataFrame:
+    """passage and ``flags``: the different passages of the texts, and the classes that have them.
 
     ``rows`` has text, label and ``apart``, which tells the texts of the
-    calibration.  Copies of a passage have the same pairs and count once.
+    calibration.  A passage ends with certain words, so copies of a text fall into
+    the same passages wherever they stand, and only those that were edited differ.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: list[set[tuple[str, int]]] = [set() for _ in range(4)]
-        plain: dict[bytes, tuple[str, int]] = {}
+        plain = Expressions()
+        held: dict[str, int] = {}
 
         def found() -> pd.DataFrame:
-            flags = Counter()
-            for i, part in enumerate(seen):
-                for key in part:
-                    flags[key] += 1 << i
-            words = np.array([w for w, _ in flags], dtype=object)
-            after = np.fromiter((c for _, c in flags), dtype=np.int32, count=len(flags))
-            return pd.DataFrame({"word": words, "after": after, "flags": np.array(list(flags.values()), dtype=np.int32)})
+            flags = np.fromiter(held.values(), dtype=np.int32, count=len(held))
+            return pd.DataFrame({"passage": np.array(list(held), dtype=object), "flags": flags})
 
         for batch in batches:
             for text, label, apart in zip(batch["text"], batch["label"], batch["apart"], strict=True):
-                one = two = 0
-                part = seen[2 * int(apart) + int(label)]
-                for raw in words_of(text):
-                    known = plain.get(raw)
-                    if known is None:
-                        if len(plain) >= HELD:
-                            plain.clear()
-                        word = expression(raw)
-                        known = plain[raw] = (word, xxhash.xxh32_intdigest(word.encode("utf-8")))
-                    part.add((known[0], ((two * 0x9E3779B1 ^ one) & 0xFFFFFFFF) - 0x80000000))
-                    two, one = one, known[1]
-                if sum(map(len, seen)) >= HELD:
+                flag = 1 << (2 * int(apart) + int(label))
+                current: list[str] = []
+                for word, last in map(plain.__getitem__, words_of(text)):
+                    current.append(word)
+                    if last or len(current) == LONGEST_PASSAGE:
+                        passage = " ".join(current)
+                        held[passage] = held.get(passage, 0) | flag
+                        current = []
+                if current:
+                    passage = " ".join(current)
+                    held[passage] = held.get(passage, 0) | flag
+                if len(held) >= HELD:
                     yield found()
-                    for part in seen:
-                        part.clear()
+                    held.clear()
         yield found()
 
-    pairs = rows.select("text", "label", "apart").mapInPandas(run, "word string, after int, flags int")
-    each = pairs.groupBy("word", "after").agg(F.bit_or("flags").alias("flags"))
-    masks = dict(zip(COUNTS, (1, 2, 5, 10), strict=True))
-    return each.groupBy("word").agg(*[F.count_if(F.col("flags").bitwiseAND(m) != 0).alias(c) for c, m in masks.items()])
+    cut = rows.select("text", "label", "apart").mapInPandas(run, "passage string, flags int")
+    return cut.groupBy("passage").agg(F.bit_or("flags").alias("flags"))
+
+
+def count_words(passages: DataFrame) -> DataFrame:
+    """word and ``COUNTS``: in how many different passages each class has the word."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: dict[int, Counter] = {}
+
+        def counted() -> pd.DataFrame:
+            words = list(set().union(*counts.values()))
+            table = {"word": np.array(words, dtype=object)}
+            for name, mask in zip(COUNTS, (1, 2, 5, 10), strict=True):
+                parts = [n for flags, n in counts.items() if flags & mask]
+                table[name] = np.array([sum(n[w] for n in parts) for w in words], dtype=np.int64)
+            return pd.DataFrame(table)
+
+        for batch in batches:
+            for passage, flags in zip(batch["passage"], batch["flags"].tolist(), strict=True):
+                counts.setdefault(flags, Counter()).update(set(passage.split(" ")))
+            if sum(map(len, counts.values())) >= HELD:
+                yield counted()
+                counts = {}
+        yield counted()
+
+    schema = "word string, " + ", ".join(f"{c} long" for c in COUNTS)
+    return passages.mapInPandas(run, schema).groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def spellings(words: DataFrame) -> DataFrame:
@@ -145,37 +180,40 @@ class KneserNey:
     slope: float = 1.0
     intercept: float = NEUTRAL
 
+    def __post_init__(self) -> None:
+        self.paths = {context[:i] for context in self.backoff for i in range(len(context) + 1)}
+
     def word(self, word: str) -> float:
         """Difference of the log-likelihoods of a word.  Where no class stands out, both have the shared one."""
         total = 0.0
         for context, spelling in steps(word):
+            if context not in self.paths:
+                break
             weight = self.backoff.get(context)
             if weight is not None:
                 total += self.own.get(spelling, weight)
         return total
 
 
-class Scorer:
-    """Scores texts; remembers the words a task sees often."""
+class Scorer(dict):
+    """Scores texts; remembers a word as it is written with its plain form and its log ratio."""
 
     LIMIT = 200_000
 
     def __init__(self, model: KneserNey) -> None:
+        super().__init__()
         self.model = model
-        self.known: dict[bytes, tuple[str, float]] = {}
+
+    def __missing__(self, raw: bytes) -> tuple[str, float]:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        word = expression(raw)
+        value = self[raw] = (word, self.model.word(word))
+        return value
 
     def per_word(self, text: str | None) -> float:
         """Difference of the log-likelihoods per distinct word; 0 for a text without words."""
-        found: dict[str, float] = {}
-        known = self.known
-        for raw in set(words_of(text)):
-            pair = known.get(raw)
-            if pair is None:
-                word = expression(raw)
-                if len(known) >= self.LIMIT:
-                    known.clear()
-                pair = known[raw] = (word, self.model.word(word))
-            found[pair[0]] = pair[1]
+        found = dict(map(self.__getitem__, set(words_of(text))))
         return sum(found.values()) / len(found) if found else 0.0
 
 
@@ -254,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Colu
     part = fold("doc_id", HELD_OUT_MODULUS)
     usable = part != 0 if usable is None else usable
     rows = join_labels(docs, labels, label, usable).withColumn("apart", part == CALIBRATION_FOLD)
-    counts = materialize(spellings(contexts_of_words(rows)))
+    counts = materialize(spellings(count_words(passages(rows))))
     # The curve is fitted on texts that its models have not seen; the models that score have seen all.
     first = model_of(counts.select("context", "spelling", *CLASSES))
     whole = [F.col(f"all_{c}").alias(c) for c in CLASSES]

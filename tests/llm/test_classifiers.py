@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -12,11 +13,14 @@ from eventlens.llm.quality_classifier import STATISTICS, Kernel, isotonic, quali
 from eventlens.llm.toxicity import (
     DEPTH,
     END,
-    contexts_of_words,
+    LONGEST_PASSAGE,
+    PASSAGE,
+    count_words,
     discounts,
     drop_toxic,
     expression,
     model_of,
+    passages,
     spellings,
     steps,
     toxicity,
@@ -134,33 +138,36 @@ def test_held_out_toxicity(spark):
 
 
 def test_steps_of_words():
-    assert steps("") == [("", END)]
-    assert steps("ab") == [("", "a"), ("a", "ab"), ("ab", "ab" + END)]
-    long = steps("abcdefghijk")
+    assert list(steps("")) == [("", END)]
+    assert list(steps("ab")) == [("", "a"), ("a", "ab"), ("ab", "ab" + END)]
+    long = list(steps("abcdefghijk"))
     assert len(long) == DEPTH + 1 and long[-1] == ("abcdefgh", "abcdefghijk" + END)
-    assert steps("abcdefg")[-1] == ("abcdefg", "abcdefg" + END) and len(steps("abcdefg")) == DEPTH
+    assert list(steps("abcdefg"))[-1] == ("abcdefg", "abcdefg" + END) and len(list(steps("abcdefg"))) == DEPTH
     assert expression(b"(Idiot!)") == "idiot" and expression(b"---") == "---" and expression("É".encode()) == "é"
 
 
 def plain_counts(texts):
-    """Of each word, after how many different pairs of words it stands, per class."""
-    pairs = [{}, {}]
+    """Of each word, in how many different passages each class has it."""
+    seen = [set(), set()]
     for text, label in texts:
-        one = two = ""
+        current = []
         for raw in (text or "").encode().split():
-            word = expression(raw)
-            pairs[label].setdefault(word, set()).add((two, one))
-            two, one = one, word
-    return {w: tuple(len(p.get(w, ())) for p in pairs) for w in {*pairs[0], *pairs[1]}}
+            current.append(expression(raw))
+            if xxhash.xxh32_intdigest(current[-1].encode()) % PASSAGE == 0 or len(current) == LONGEST_PASSAGE:
+                seen[label].add(tuple(current))
+                current = []
+        seen[label].add(tuple(current))
+    words = {w for part in seen for p in part for w in p}
+    return {w: tuple(sum(w in p for p in part) for part in seen) for w in words}
 
 
-def test_counts_of_contexts_and_spellings(spark, monkeypatch):
+def test_counts_of_passages_and_spellings(spark):
     rng = random.Random(4)
-    words = ["ab", "abc", "Abc!", "abcdefghijklm", "abcdefghxy", "x", "--", "été"]
-    texts = [(" ".join(rng.choices(words, k=rng.randint(0, 12))), rng.randrange(2)) for _ in range(60)]
-    texts += [texts[0]] * 30 + [(None, 1), ("", 0)]
+    words = ["ab", "abc", "Abc!", "abcdefghijklm", "abcdefghxy", "x", "--", "été", *[f"w{i}" for i in range(60)]]
+    texts = [(" ".join(rng.choices(words, k=rng.randint(0, 40))), rng.randrange(2)) for _ in range(60)]
+    texts += [texts[0]] * 30 + [(None, 1), ("", 0), ("same " * 500, 1)]
     rows = spark.createDataFrame([(t, y, i % 4 == 0) for i, (t, y) in enumerate(texts)], "text string, label int, apart boolean")
-    counts = {r["word"]: r for r in contexts_of_words(rows).collect()}
+    counts = {r["word"]: r for r in count_words(passages(rows)).collect()}
     whole = plain_counts(texts)
     seen = plain_counts([t for i, t in enumerate(texts) if i % 4])
     assert set(counts) == set(whole)
@@ -172,7 +179,7 @@ def test_counts_of_contexts_and_spellings(spark, monkeypatch):
         for step in steps(word):
             old = tree.get(step, (0, 0))
             tree[step] = (old[0] + n[0], old[1] + n[1])
-    found = spellings(contexts_of_words(rows)).collect()
+    found = spellings(count_words(passages(rows))).collect()
     assert {(r["context"], r["spelling"]): (r["all_ordinary"], r["all_toxic"]) for r in found} == tree
 
 
