@@ -53,8 +53,8 @@ MONTH_DAYS = (31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 # Mail domains and top-level domains reserved for examples and tests.
 EXEMPT_DOMAINS = ("example.com", "example.org", "example.net", "example.no")
 EXEMPT_TLDS = ("test", "example", "invalid")
-# -----------------------------------------------------------------------------
 
+# Forms of an e-mail address, an identity number and a phone number, with their fences.
 FENCE_L = r"(?<![A-Za-z0-9_])"
 FENCE_R = r"(?![A-Za-z0-9_])"
 # One blank inside an identity number: any Unicode space but the segment
@@ -79,6 +79,7 @@ PHONE = (
     )
     + ")"
 )
+# -----------------------------------------------------------------------------
 
 # What the first character of a match can be.
 FIRST_CHARACTERS = {"EMAIL": "A-Za-z0-9_", "FNR": r"\d", "PHONE": r"+\d", "NAME": "A-ZÆØÅ"}

@@ -2,8 +2,8 @@
 
 Spark's ``regexp_replace`` only knows constant replacements.  Here every match
 is enclosed in a mark, the text is cut at the marks, each match is mapped by an
-expression, and the pieces are joined again.  Rows without a match pay for one
-regex search only.
+expression, and the pieces are joined again.  That takes one regex search, with
+a match or without.
 
 The expressions are composed as SQL text: as Columns, each of their hundreds of
 nodes would be a round trip to the JVM whenever a query is built.
@@ -35,14 +35,13 @@ def apply(value: Column, name: str, body: str) -> Column:
     return F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}"))[0]
 
 
-def matches(text: str, pattern: str, needs: str | None = None) -> str:
-    """Whether ``pattern`` (never empty) occurs, after a plain substring test where one exists.
+def matches(text: str, pattern: str) -> str:
+    """Whether ``pattern`` (never empty) occurs.
 
     Inside lambdas ``rlike`` decodes the pattern for every row, which for a long
     one takes longer than the search; ``regexp_extract`` keeps it.
     """
-    search = f"regexp_extract({text}, {literal(pattern)}, 0) <> ''"
-    return search if needs is None else f"contains({text}, {literal(needs)}) AND {search}"
+    return f"regexp_extract({text}, {literal(pattern)}, 0) <> ''"
 
 
 def splice(
@@ -60,20 +59,20 @@ def splice(
     holds the mark itself takes that slow way.
     """
     regex, mark = literal(pattern), literal(MARK)
-    marked = f"split(regexp_replace({text}, {regex}, {literal(MARK + '$0' + MARK)}), {mark}, -1)"
     pairs = f"zip_with(split({text}, {regex}, -1), regexp_extract_all({text}, {regex}, 0), (g, m) -> array_compact(array(g, m)))"
     # Gaps and matches in turn, a gap first.
-    pieces = f"CASE WHEN contains({text}, {mark}) THEN flatten({pairs}) ELSE {marked} END"
+    pieces = f"CASE WHEN contains({text}, {mark}) THEN flatten({pairs}) ELSE split(marked, {mark}, -1) END"
     chosen = "i % 2 = 1" if accept is None else f"i % 2 = 1 AND {accept('p')}"
     # NULL for whatever stays as it is.
     mapped = f"transform(pieces, (p, i) -> CASE WHEN {chosen} THEN {replace('p')} END)"
     joined = "array_join(zip_with(mapped, pieces, (n, p) -> coalesce(n, p)), '')"
     result = f"named_struct('text', {joined}, 'hits', size(array_compact(mapped)))"
+    clean = f"named_struct('text', {text}, 'hits', 0)"
     replaced = bind(pieces, "pieces", bind(mapped, "mapped", result))
-    return (
-        f"CASE WHEN {matches(text, pattern, needs)} THEN {replaced} "
-        f"ELSE named_struct('text', {text}, 'hits', 0) END"
-    )
+    # One search both finds out whether there is a match and marks all of them.
+    marked = f"regexp_replace({text}, {regex}, {literal(MARK + '$0' + MARK)})"
+    searched = bind(marked, "marked", f"CASE WHEN marked <> {text} THEN {replaced} ELSE {clean} END")
+    return searched if needs is None else f"CASE WHEN contains({text}, {literal(needs)}) THEN {searched} ELSE {clean} END"
 
 
 def stable_id(token: str) -> str:

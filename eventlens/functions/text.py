@@ -66,6 +66,22 @@ def error_code(message: Column, pattern: str = r"AADSTS\d+") -> Column:
     return F.nullif(F.regexp_extract(message, pattern, 0), F.lit(""))
 
 
+def error_record(name: Column, status: Column, message: Column) -> Column:
+    """What may be logged of an error: its name, its HTTP status, and the message only where there is no status."""
+    return F.struct(
+        name.alias("error_name"), status.cast("int").alias("status"), safe_error(status, message).alias("error")
+    )
+
+
+def code_record(name: Column, code: Column, message: Column, pattern: str = r"AADSTS\d+") -> Column:
+    """Machine-readable parts of a failed sign-in: name, short code and the code in the message, never the message."""
+    return F.struct(
+        F.nullif(name, F.lit("")).alias("error_name"),
+        F.nullif(code, F.lit("")).alias("error_code"),
+        error_code(message, pattern).alias("message_code"),
+    )
+
+
 def access_level(status: Column) -> Column:
     return F.when(status >= 500, "error").when(status >= 400, "warn").otherwise("info")
 

@@ -9,7 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.functions.pii import Redactor
 from eventlens.functions.timerange import TimeWindow, instant, slice_length, ts_literal, within
+from eventlens.operators.redact import redact
 
 # Rules that are counted by one aggregate.
 RULES_PER_SCAN = 200
@@ -44,8 +46,8 @@ def state_of(observed: Column, threshold: Column, suppress_until: Column, now: C
     )
 
 
-def alert_state(df: DataFrame, rules: DataFrame, now: str | datetime) -> DataFrame:
-    """State of every rule at ``now``, rules without a matching event included.
+def alert_state(df: DataFrame, rules: DataFrame, now: str | datetime, redactor: Redactor = Redactor()) -> DataFrame:
+    """State of every rule at ``now``, rules without a matching event included; personal data in names is masked.
 
     The scan covers the longest window once for ``RULES_PER_SCAN`` rules.  Each
     rule is a conditional count, combined map-side, so a single row per task is
@@ -54,8 +56,10 @@ def alert_state(df: DataFrame, rules: DataFrame, now: str | datetime) -> DataFra
     loaded = load_rules(rules)
     if len(loaded) > RULES_PER_SCAN:
         groups = [loaded[i : i + RULES_PER_SCAN] for i in range(0, len(loaded), RULES_PER_SCAN)]
-        return reduce(DataFrame.unionByName, [_state(df, rules, group, now) for group in groups])
-    return _state(df, rules, loaded, now)
+        states = reduce(DataFrame.unionByName, [_state(df, rules, group, now) for group in groups])
+    else:
+        states = _state(df, rules, loaded, now)
+    return redact(states, redactor, numeric=())
 
 
 def _state(df: DataFrame, rules: DataFrame, loaded: list[Rule], now: str | datetime) -> DataFrame:

@@ -8,7 +8,9 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.functions.pii import Redactor
 from eventlens.functions.text import LEVEL_RANKS, level_name, level_rank
+from eventlens.operators.redact import redact
 
 NO_DESCRIPTION = "No description provided"
 ERROR_LEVELS = ("Error", "Fatal")
@@ -50,8 +52,13 @@ def find_signals(
     owner_id: str | None = None,
     title: str | None = None,
     partial: bool = False,
+    redactor: Redactor = Redactor(),
 ) -> DataFrame:
-    """Catalog of saved filters; ``partial`` matches titles by case-insensitive substring."""
+    """Catalog of saved filters; ``partial`` matches titles by case-insensitive substring.
+
+    A result for display: personal data is masked in everything but the ids.
+    ``signal_predicate`` reads the table itself.
+    """
     found = signals.filter(F.col("is_shared") == shared)
     if owner_id is not None:
         found = found.filter(F.col("owner_id") == owner_id)
@@ -59,7 +66,7 @@ def find_signals(
         wanted = F.lower(F.lit(title))
         name = F.lower("title")
         found = found.filter(name.contains(wanted) if partial else name == wanted)
-    return found.select(
+    listed = found.select(
         F.col("signal_id").alias("id"),
         "title",
         "description",
@@ -67,11 +74,12 @@ def find_signals(
         "owner_id",
         "predicate",
     )
+    return redact(listed, redactor, exclude=("id", "owner_id"))
 
 
-def signal_listing(signals: DataFrame) -> DataFrame:
-    """The shared signals as a listing, with a default description."""
-    return find_signals(signals).select(
+def signal_listing(signals: DataFrame, redactor: Redactor = Redactor()) -> DataFrame:
+    """The shared signals as a listing, with a default description; masked like the catalog."""
+    return find_signals(signals, redactor=redactor).select(
         "id",
         "title",
         F.coalesce(F.nullif("description", F.lit("")), F.lit(NO_DESCRIPTION)).alias("description"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.jsonsize import INDENT, cells_length, json_length
 from eventlens.functions.pii import Redactor
-from eventlens.operators.redact import redact
+from eventlens.operators.redact import MEASURES, redact
 
 # Page and payload limits, and the notes on a cut result (their
 # length counts towards the payload).
@@ -70,6 +71,7 @@ def budget(
     pretty: bool = True,
     redactor: Redactor | None = None,
     columns: list[str] | None = None,
+    measures: Collection[str] = MEASURES,
 ) -> DataFrame:
     """Halve the rows until the JSON payload fits into ``limit`` characters.
 
@@ -77,8 +79,8 @@ def budget(
     ``events`` (an array of objects) or ``rowset`` (column names and row
     arrays).  A row takes two characters at least, so rows past ``limit / 2``
     can never fit: a top-k brings the rest into one small task, where the
-    running size is taken.  Redaction, if any, runs on those rows only.  ``columns``
-    names the payload where ``order`` needs columns beyond it.
+    running size is taken.  Redaction, if any, runs on those rows only
+    and leaves ``measures`` numbers.  ``columns`` names the payload where ``order`` needs columns beyond it.
     """
     total = df.select(F.count("*").alias("n")).scalar()
     top = df.orderBy(*order).limit(limit // 2 + 1)
@@ -87,7 +89,7 @@ def budget(
     if columns is not None:
         top = top.select(*columns, "_k")
     if redactor is not None:
-        top = redact(top, redactor, exclude=["_k"])
+        top = redact(top, redactor, ("_k", "event_id"), measures=measures)
     names = [c for c in top.columns if c != "_k"]
     bare_row, wrapped_row = _row_lengths(top, names, layout, pretty)
     running = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -23,6 +23,42 @@ def has_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StringType)
 
 
+# Well-known measures of events, which stay numbers.
+MEASURES = ("elapsed", "status_code")
+
+
+def holds_identity(dtype: T.DataType) -> bool:
+    """Whether a number of this type can have the eleven digits of any identity number."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision - dtype.scale >= 11
+    return isinstance(dtype, (T.LongType, T.DoubleType))
+
+
+def _leaves(dtype: T.DataType, path: str) -> list[tuple[str, T.DataType]]:
+    if isinstance(dtype, T.ArrayType):
+        return _leaves(dtype.elementType, path)
+    if isinstance(dtype, T.MapType):
+        return _leaves(dtype.valueType, path)
+    if isinstance(dtype, T.StructType):
+        return [leaf for f in dtype.fields for leaf in _leaves(f.dataType, f"{path}.{f.name}")]
+    return [(path, dtype)]
+
+
+def numeric_paths(
+    schema: T.StructType, numeric: Collection[str] | None, measures: Collection[str], exclude: Collection[str]
+) -> list[str]:
+    """Paths of the number leaves that are rewritten to text: the named ones, or all that can hold an identity number."""
+    if numeric is not None:
+        return list(numeric)
+    kept = (*measures, *exclude)
+    leaves = [leaf for f in schema.fields for leaf in _leaves(f.dataType, f.name)]
+    return [
+        path
+        for path, dtype in leaves
+        if holds_identity(dtype) and not any(path == k or path.startswith(k + ".") for k in kept)
+    ]
+
+
 def redact_value(
     value: Column,
     dtype: T.DataType,
@@ -42,7 +78,7 @@ def redact_value(
     if path in numeric and isinstance(dtype, (T.IntegralType, T.DecimalType, T.FloatType, T.DoubleType)):
         if isinstance(dtype, T.IntegralType):
             return redactor.number(value)
-        # A fraction is no identity number and stays as Spark writes it.
+        # A fraction is no identity number and stays as Spark writes it; a whole number is written without one.
         whole = F.when(value == F.floor(value), value.try_cast("bigint"))
         return F.coalesce(redactor.number(whole), value.cast("string"))
     inside = any(p == path or p.startswith(path + ".") for p in numeric)
@@ -71,18 +107,30 @@ def redact(
     df: DataFrame,
     redactor: Redactor = Redactor(),
     exclude: Collection[str] = ("event_id",),
-    numeric: Collection[str] = (),
+    numeric: Collection[str] | None = None,
     json: Collection[str] = ("props",),
+    measures: Collection[str] = MEASURES,
 ) -> DataFrame:
     """Mask personal data in every column, at any depth.
 
     Apply it last, after filters, aggregates and limits: rows that are grouped
     by a raw value stay apart even where their placeholders coincide.  Key
-    columns are excluded, so that page cursors keep working.  ``numeric`` lists
-    the number columns that may hold identity numbers; they become strings.
-    ``json`` lists the columns of JSON text, whose keys and layout stay.
-    Stateless, so it runs on streams as it is.
+    columns are excluded, so that page cursors keep working.  Numbers that can
+    hold an identity number become text, at any depth, so that one can be masked;
+    ``measures`` (counts, durations) stay numbers.  ``numeric`` names the leaves
+    to rewrite instead; with ``()`` no number changes.  ``json`` lists the
+    columns of JSON text, whose keys and layout stay.  A redactor that is switched
+    off leaves everything as it is.  Stateless, so it runs on streams too.
     """
+    if not redactor.enabled:
+        return df if numeric is None else _redacted(df, redactor, exclude, numeric, json)
+    rewritten = numeric_paths(df.schema, numeric if "FNR" in redactor.kinds else numeric or (), measures, exclude)
+    return _redacted(df, redactor, exclude, rewritten, json)
+
+
+def _redacted(
+    df: DataFrame, redactor: Redactor, exclude: Collection[str], numeric: Collection[str], json: Collection[str]
+) -> DataFrame:
     return df.select(
         *[
             redact_value(F.col(f"`{f.name}`"), f.dataType, redactor, numeric, exclude, f.name, json).alias(f.name)
@@ -113,11 +161,14 @@ def redact_json(text: Column, redactor: Redactor = Redactor()) -> Column:
         masked = redactor.text(decoded)
         encoded = F.to_json(F.array(masked))
         text_value = F.when(masked == decoded, plain).otherwise(F.substr(encoded, F.lit(2), F.length(encoded) - 2))
-        number = F.concat(F.lit('"'), redactor.number(token.try_cast("bigint")), F.lit('"'))
+        # 5.0 and 5e10 are whole numbers too.
+        exact = F.when(token.rlike("[.eE]"), token.try_cast("double")).cast("double")
+        whole = F.when(exact.between(-1e11, 1e11) & (exact == F.floor(exact)), exact.try_cast("bigint"))
+        number = F.concat(F.lit('"'), redactor.number(F.coalesce(whole, token.try_cast("bigint"))), F.lit('"'))
         is_text = token.startswith('"') & token.endswith('"') & (F.length(token) > 1)
         return (
             F.when(is_text, F.coalesce(text_value, plain))
-            .when(token.rlike("^-?[0-9]{10,11}$") & number.startswith('"['), number)
+            .when(token.rlike("^-?[0-9][0-9.eE+-]{9}") & number.startswith('"['), number)
             .otherwise(plain)
         )
 

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.text import error_code, render_message, safe_error, template_text
+from eventlens.functions.pii import Redactor
+from eventlens.functions.text import (
+    code_record,
+    error_code,
+    error_record,
+    render_message,
+    safe_error,
+    template_text,
+)
 from eventlens.functions.timerange import TimeWindow, instant, within
 from eventlens.operators.filters import (
     find_signals,
@@ -17,7 +25,7 @@ from eventlens.operators.filters import (
     symptom,
 )
 from eventlens.operators.investigate import identifiers
-from eventlens.operators.paging import CHARACTER_LIMIT, ROWSET_NOTE, budget, budget_summary
+from eventlens.operators.paging import CHARACTER_LIMIT, EVENTS_NOTE, ROWSET_NOTE, budget, budget_summary
 from eventlens.operators.tenants import resolve_tenants
 from eventlens.plans.dataset import NOW, log_events, signals, table, tenants, with_tables
 from eventlens.plans.event_query import EventQuery, query_stream
@@ -156,6 +164,16 @@ def signal_scope(spark, sf_dir):
     return chain.group("environment").agg(F.count("*").alias("n")).dataframe()
 
 
+@query(
+    f"""{S}, {E[5:]} SELECT environment, count(*) AS n FROM log_events
+    WHERE environment = 'tenant-2' GROUP BY environment"""
+)
+def signal_scope_all(spark, sf_dir):
+    """Several signals narrow the scope together; two of three have the same filter here."""
+    chain = EventQuery.on(log_events(spark, sf_dir), NOW).signal(signals(spark, sf_dir), "signal-2,signal-22, signal-42")
+    return chain.group("environment").agg(F.count("*").alias("n")).dataframe()
+
+
 @query(
     f"""{S} SELECT signal_id AS id, title,
       CASE WHEN coalesce(description, '') = '' THEN 'No description provided' ELSE description END AS description,
@@ -276,6 +294,70 @@ def result_budget_summary(spark, sf_dir):
     return budget_summary(budget(counts, [F.desc("n"), F.asc("application")], layout="rowset"), layout="rowset")
 
 
+def pretty_sql(indent: int) -> str:
+    """An event as indented JSON inside a list at ``indent``."""
+    pad, end = " " * (indent + 2), " " * indent
+    return (
+        f"'{end}{{{{' || chr(10) || '{pad}\"event_id\": ' || event_id || ',' || chr(10) || '{pad}\"level\": \"' || level || '\",' || chr(10)"
+        f" || '{pad}\"message\": \"' || message || '\",' || chr(10)"
+        f" || '{pad}\"exception\": ' || coalesce('\"' || exception || '\"', 'null') || chr(10) || '{end}}}}}'"
+    ).replace("{{", "{").replace("}}", "}")
+
+
+EVENTS_NOTED = EVENTS_NOTE.format(limit=CHARACTER_LIMIT).replace("'", "''")
+
+
+@query(
+    f"""{E}, ranked AS (
+      SELECT event_id, level, message, exception, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS i, count(*) OVER () AS total,
+        {pretty_sql(4)} AS text FROM log_events WHERE level IN ('Error', 'Fatal')),
+    sizes AS (
+      SELECT i, total, length('{{' || chr(10) || '  "truncated": true,' || chr(10) || '  "returned": ' || i || ',' || chr(10)
+          || '  "truncation_message": "{EVENTS_NOTED}",' || chr(10) || '  "events": [' || chr(10))
+          + sum(length(text)) OVER (ORDER BY i) + 2 * (i - 1) + length(chr(10) || '  ]' || chr(10) || '}}') AS size FROM ranked),
+    fitting AS (
+      SELECT max(i) AS kept FROM sizes WHERE size <= {CHARACTER_LIMIT}
+        AND i IN (SELECT CAST(ceil(total / pow(2, e)) AS BIGINT) FROM range(1, 41) t(e)))
+    SELECT event_id, level, message, exception, true AS truncated, kept AS returned FROM ranked CROSS JOIN fitting WHERE i <= kept"""
+)
+def event_budget(spark, sf_dir):
+    """A page of events that is far too long as indented JSON."""
+    errors = log_events(spark, sf_dir).filter(is_error()).select("event_id", "level", "message", "exception", "ts")
+    columns = ["event_id", "level", "message", "exception"]
+    return budget(errors, [F.desc("ts"), F.desc("event_id")], redactor=Redactor(), columns=columns)
+
+
+@query(
+    f"""{E}, ranked AS (SELECT {pretty_sql(4)} AS text, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS i, count(*) OVER () AS total
+      FROM log_events WHERE level IN ('Error', 'Fatal')),
+    sizes AS (
+      SELECT i, total, length('{{' || chr(10) || '  "truncated": true,' || chr(10) || '  "returned": ' || i || ',' || chr(10)
+          || '  "truncation_message": "{EVENTS_NOTED}",' || chr(10) || '  "events": [' || chr(10))
+          + sum(length(text)) OVER (ORDER BY i) + 2 * (i - 1) + length(chr(10) || '  ]' || chr(10) || '}}') AS size FROM ranked)
+    SELECT true AS truncated, max(i) AS returned, '{EVENTS_NOTED}' AS truncation_message FROM sizes WHERE size <= {CHARACTER_LIMIT}
+      AND i IN (SELECT CAST(ceil(total / pow(2, e)) AS BIGINT) FROM range(1, 41) t(e))"""
+)
+def event_budget_summary(spark, sf_dir):
+    """The note on a result that was cut."""
+    return budget_summary(event_budget(spark, sf_dir))
+
+
+@query(
+    f"""{E} SELECT event_id, 'Handled ' || k || ' with {{Code}}' AS rendered_message FROM log_events
+    WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31' ORDER BY ts DESC, event_id DESC LIMIT 30"""
+)
+def event_page_rendered(spark, sf_dir):
+    """A page with its messages rendered from the stored properties."""
+
+    def token(text, hole):
+        return F.struct(F.lit(text).cast("string").alias("text"), F.lit(hole).cast("string").alias("property_name"))
+
+    tokens = F.array(token("Handled ", None), token(None, "k"), token(" with ", None), token(None, "Code"))
+    events = log_events(spark, sf_dir).withColumn("message_tokens", tokens)
+    page = EventQuery.on(events, NOW).recent("30d").page(30, render=True)
+    return page.select("event_id", "rendered_message").result()
+
+
 # ------------------------------------------------------------- expressions
 @query(
     f"""{E} SELECT event_id, 'Call of {{Path}} took {{Elapsed}} ms ' || '{{Code}}' AS template,
@@ -339,6 +421,30 @@ def safe_errors(spark, sf_dir):
     return log_events(spark, sf_dir).select("event_id", safe_error(status, F.col("message")).alias("error"))
 
 
+@query(
+    f"""{E} SELECT event_id, coalesce(exception, 'none') AS error_name, CASE WHEN level IN ('Error', 'Fatal') THEN status_code END AS status,
+      CASE WHEN level IN ('Error', 'Fatal') THEN 'request failed (HTTP ' || status_code || ')' ELSE message END AS error FROM log_events"""
+)
+def error_records(spark, sf_dir):
+    """Error records whole: name, status, and the message only without a status."""
+    name, status = F.coalesce("exception", F.lit("none")), F.when(is_error(), F.col("status_code"))
+    record = error_record(name, status, F.col("message"))
+    return log_events(spark, sf_dir).select("event_id", record.alias("record")).select("event_id", "record.*")
+
+
+@query(
+    f"""{E} SELECT event_id, exception AS error_name, CASE WHEN k % 3 > 0 THEN 'invalid_' || (k % 3) END AS error_code,
+      CASE WHEN level = 'Error' THEN 'AADSTS' || (50000 + k) END AS message_code FROM log_events"""
+)
+def sign_in_errors(spark, sf_dir):
+    """Machine-readable parts of failed sign-ins; empty names and codes count as missing."""
+    k = F.col("k")
+    short = F.when(k % 3 > 0, F.concat(F.lit("invalid_"), (k % 3).cast("string"))).otherwise("")
+    text = F.concat(F.when(F.col("level") == "Error", F.concat(F.lit("AADSTS"), (50000 + k).cast("string"))), F.lit(": jane"))
+    record = code_record(F.coalesce("exception", F.lit("")), short, text)
+    return log_events(spark, sf_dir).select("event_id", record.alias("record")).select("event_id", "record.*")
+
+
 @query(
     f"""{E} SELECT event_id, CASE WHEN level = 'Error' THEN 'AADSTS' || (50000 + k) END AS code FROM log_events"""
 )

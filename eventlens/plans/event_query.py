@@ -11,12 +11,14 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlens.functions.pii import Redactor
+from eventlens.functions.text import render_message
 from eventlens.functions.timerange import TimeWindow, events_window, query_window, slice_start, within
 from eventlens.operators.filters import signal_predicate, tenant_scope
 from eventlens.operators.paging import DEFAULT_PAGE, budget, event_page
-from eventlens.operators.redact import redact
+from eventlens.operators.redact import MEASURES, redact
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,7 @@ class EventQuery:
     now: str | datetime
     keys: tuple[Column, ...] = ()
     by_time: Column | None = None
+    measures: tuple[str, ...] = MEASURES
 
     @classmethod
     def on(cls, events: DataFrame, now: str | datetime) -> EventQuery:
@@ -77,7 +80,9 @@ class EventQuery:
 
     def agg(self, *aggs: Column) -> EventQuery:
         keys = self.keys if self.by_time is None else (self.by_time, *self.keys)
-        return replace(self, df=self.df.groupBy(*keys).agg(*aggs), keys=(), by_time=None)
+        found = self.df.groupBy(*keys).agg(*aggs)
+        # What is aggregated is a measure: it stays a number when the result is masked.
+        return replace(self, df=found, keys=(), by_time=None, measures=(*self.measures, *found.columns[len(keys) :]))
 
     def select(self, *columns: str | Column) -> EventQuery:
         return self._with(self.df.select(*columns))
@@ -88,14 +93,35 @@ class EventQuery:
     def limit(self, n: int) -> EventQuery:
         return self._with(self.df.limit(n))
 
-    def page(self, count: int = DEFAULT_PAGE, after: object = None) -> EventQuery:
-        return self._with(event_page(self.df, count, after))
-
-    def redacted(self, redactor: Redactor = Redactor(), exclude: Sequence[str] = ("event_id",), numeric: Sequence[str] = ()) -> EventQuery:
-        return self._with(redact(self.df, redactor, exclude, numeric))
+    def page(self, count: int = DEFAULT_PAGE, after: object = None, render: bool = False) -> EventQuery:
+        """The newest events, or those after a cursor; ``render`` adds their rendered message."""
+        page = self._with(event_page(self.df, count, after))
+        return page.rendered() if render else page
+
+    def rendered(self, tokens: str = "message_tokens", props: str = "props", name: str = "rendered_message") -> EventQuery:
+        """Add the message with its holes filled from the properties, a map or JSON text."""
+        text = isinstance(self.df.schema[props].dataType, T.StringType)
+        values = F.from_json(props, "map<string,string>") if text else F.col(props)
+        return self._with(self.df.withColumn(name, render_message(F.col(tokens), values)))
+
+    def redacted(
+        self,
+        redactor: Redactor = Redactor(),
+        exclude: Sequence[str] = ("event_id",),
+        numeric: Sequence[str] | None = None,
+        json: Sequence[str] = ("props",),
+    ) -> EventQuery:
+        return self._with(redact(self.df, redactor, exclude, numeric, json, self.measures))
+
+    def result(self, redactor: Redactor = Redactor(), exclude: Sequence[str] = ("event_id",)) -> DataFrame:
+        """What may be shown of a query: its rows with personal data masked, unless the redactor is switched off.
+
+        ``dataframe`` gives the raw rows, for further steps.
+        """
+        return self.redacted(redactor, exclude).dataframe()
 
     def budgeted(self, *order: Column, layout: str = "rowset", **options: Any) -> EventQuery:
-        return self._with(budget(self.df, list(order), layout=layout, **options))
+        return self._with(budget(self.df, list(order), layout=layout, **{"measures": self.measures, **options}))
 
     def dataframe(self) -> DataFrame:
         return self.df
@@ -109,10 +135,11 @@ def query_stream(df: DataFrame, query: str, **args: Any) -> DataFrame:
     """
     spark = df.sparkSession
     view = f"stream_{uuid.uuid4().hex}"
-    own = re.match(r"\s*with\b", query, re.IGNORECASE)
+    own = re.match(r"\s*with\b(\s+recursive\b)?", query, re.IGNORECASE)
+    recursive = " RECURSIVE" if own and own[1] else ""
     rest = "," + query[own.end() :] if own else " " + query
     df.createOrReplaceTempView(view)
     try:
-        return spark.sql(f"WITH stream AS (SELECT * FROM {view}){rest}", args=args or None)
+        return spark.sql(f"WITH{recursive} stream AS (SELECT * FROM {view}){rest}", args=args or None)
     finally:
         spark.catalog.dropTempView(view)

@@ -25,7 +25,8 @@ from eventlens.functions.pii import (
 )
 from eventlens.operators.redact import pii_audit as audit
 from eventlens.operators.redact import redact, redact_json
-from eventlens.plans.dataset import log_events, table, with_tables
+from eventlens.plans.dataset import NOW, log_events, table, with_tables
+from eventlens.plans.event_query import EventQuery
 from eventlens.plans.registry import query
 
 E = with_tables("log_events")
@@ -118,12 +119,13 @@ def redact_email(spark, sf_dir):
 
 @query(f"WITH {redacted_sql('documents', 'doc_id')} SELECT doc_id, text FROM redacted")
 def redact_documents(spark, sf_dir):
-    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"), exclude=["doc_id"])
 
 
 @query(f"WITH {redacted_sql('conversations', 'conv_id, turn')} SELECT conv_id, turn, text FROM redacted")
 def redact_conversations(spark, sf_dir):
-    return redact(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return redact(turns, exclude=["conv_id", "turn"])
 
 
 def hits_sql(text: str, pattern: str, valid: Callable[[str], str]) -> str:
@@ -175,11 +177,11 @@ def identity_candidates(spark, sf_dir) -> DataFrame:
 
 
 @query(
-    f"""WITH {IDENTITY_SQL} SELECT o_orderkey, 'Pasient ' || CASE WHEN sep <> '-' AND {identity_valid_sql('six || five')}
-      THEN {mark_sql('FNR', 'six || sep || five')} ELSE six || sep || five END || ' innlagt' AS text FROM ids"""
+    f"""WITH {IDENTITY_SQL} SELECT o_orderkey, 'record ' || CASE WHEN sep <> '-' AND {identity_valid_sql('six || five')}
+      THEN {mark_sql('FNR', 'six || sep || five')} ELSE six || sep || five END || ' closed' AS text FROM ids"""
 )
 def redact_identity_numbers(spark, sf_dir):
-    text = F.concat(F.lit("Pasient "), F.col("six"), F.col("sep"), F.col("five"), F.lit(" innlagt"))
+    text = F.concat(F.lit("record "), F.col("six"), F.col("sep"), F.col("five"), F.lit(" closed"))
     ids = identity_candidates(spark, sf_dir)
     return ids.select("o_orderkey", REDACTOR.mask("FNR", text).alias("text"))
 
@@ -234,7 +236,7 @@ def phone_check() -> str:
         "'ø' || " + marked("s", mobile),
     ]
     cases = " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(expected))
-    return f"""SELECT o_orderkey, 'Ring ' || CASE o_orderkey % 9 {cases} END || ' i dag' AS text
+    return f"""SELECT o_orderkey, 'caller ' || CASE o_orderkey % 9 {cases} END || ' hung up' AS text
       FROM (SELECT o_orderkey, {PHONE_NUMBER.format(text='VARCHAR')} AS s FROM orders)"""
 
 
@@ -242,7 +244,7 @@ def phone_check() -> str:
 def redact_phones(spark, sf_dir):
     cases = " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(FORMS))
     orders = table(spark, sf_dir, "orders").withColumn("s", F.expr(PHONE_NUMBER.format(text="STRING")))
-    text = F.expr(f"'Ring ' || CASE o_orderkey % 9 {cases} END || ' i dag'")
+    text = F.expr(f"'caller ' || CASE o_orderkey % 9 {cases} END || ' hung up'")
     return orders.select("o_orderkey", REDACTOR.mask("PHONE", text).alias("text"))
 
 
@@ -270,16 +272,16 @@ def name_check() -> str:
 
     fa, la = alone("f", f), alone("l", l)
     return f"""WITH {NAMES_SQL} SELECT o_orderkey, CASE o_orderkey % 6
-      WHEN 0 THEN 'Pasient ' || {f} || ' ' || {l} || ' ble innlagt' WHEN 1 THEN 'pasient ' || lower(f) || ' ' || upper(l)
-      WHEN 2 THEN 'Melding ' || {fa} || ' sendt' WHEN 3 THEN {f} || '-' || {l}
+      WHEN 0 THEN 'owner ' || {f} || ' ' || {l} || ' logged in' WHEN 1 THEN 'owner ' || lower(f) || ' ' || upper(l)
+      WHEN 2 THEN 'mail ' || {fa} || ' sendt' WHEN 3 THEN {f} || '-' || {l}
       WHEN 4 THEN {fa} || ';' || {la} ELSE {fa} || '  ' || {la} END AS text FROM names"""
 
 
 @query(name_check())
 def redact_names(spark, sf_dir):
     text = F.expr(
-        """CASE o_orderkey % 6 WHEN 0 THEN 'Pasient ' || f || ' ' || l || ' ble innlagt' WHEN 1 THEN 'pasient ' || lower(f) || ' ' || upper(l)
-        WHEN 2 THEN 'Melding ' || f || ' sendt' WHEN 3 THEN f || '-' || l WHEN 4 THEN f || ';' || l ELSE f || '  ' || l END"""
+        """CASE o_orderkey % 6 WHEN 0 THEN 'owner ' || f || ' ' || l || ' logged in' WHEN 1 THEN 'owner ' || lower(f) || ' ' || upper(l)
+        WHEN 2 THEN 'mail ' || f || ' sendt' WHEN 3 THEN f || '-' || l WHEN 4 THEN f || ';' || l ELSE f || '  ' || l END"""
     )
     return named(spark, sf_dir).select("o_orderkey", REDACTOR.mask("NAME", text).alias("text"))
 
@@ -326,5 +328,67 @@ def redact_json_text(spark, sf_dir):
 @query(f"{E} SELECT {mark_sql('EMAIL', 'mail')} AS mail, n FROM (SELECT {MAIL_SQL} AS mail, count(*) AS n FROM log_events GROUP BY 1)")
 def redact_rowset(spark, sf_dir):
     """An aggregate result; keys with equal placeholders stay separate rows."""
-    counts = log_events(spark, sf_dir).groupBy(mail().alias("mail")).agg(F.count("*").alias("n"))
-    return redact(counts)
+    chain = EventQuery.on(log_events(spark, sf_dir).withColumn("mail", mail()), NOW).group("mail")
+    return chain.agg(F.count("*").alias("n")).result()
+
+
+@query("SELECT doc_id, text FROM documents")
+def redact_switched_off(spark, sf_dir):
+    """A redactor that is switched off changes nothing."""
+    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"), Redactor(enabled=False))
+
+
+VALID_SQL = identity_valid_sql("six || five")
+MARKED_SQL = f"CASE WHEN {VALID_SQL} THEN {mark_sql('FNR', 'six || five')}"
+
+
+@query(
+    f"""WITH {IDENTITY_SQL} SELECT o_orderkey, {MARKED_SQL} ELSE CAST(CAST(six || five AS BIGINT) AS VARCHAR) END AS held,
+      {MARKED_SQL} ELSE CAST(CAST(six || five AS BIGINT) AS VARCHAR) END AS inner_id,
+      {MARKED_SQL} ELSE CAST(CAST(six || five AS BIGINT) AS VARCHAR) END AS exact_id,
+      200 AS status, CAST(o_orderkey % 7 AS BIGINT) AS n FROM ids"""
+)
+def redact_numbers_at_any_depth(spark, sf_dir):
+    """Numbers of a table, a struct in an array, and a decimal, without any of them being named."""
+    number = F.concat("six", "five").cast("bigint")
+    held = identity_candidates(spark, sf_dir).select(
+        "o_orderkey",
+        number.alias("held"),
+        F.array(F.struct(F.struct(number.alias("id"), F.lit(200).alias("status")).alias("in"))).alias("nested"),
+        number.cast("decimal(20,2)").alias("exact_id"),
+        (F.col("o_orderkey") % 7).alias("n"),
+    )
+    masked = redact(held, exclude=["o_orderkey"], measures=["n"])
+    inner = F.get("nested", F.lit(0))["in"]
+    return masked.select("o_orderkey", "held", inner["id"].alias("inner_id"), "exact_id", inner["status"].alias("status"), "n")
+
+
+def json_number_sql(plain: str) -> str:
+    return f"CASE WHEN {VALID_SQL} THEN '\"' || {mark_sql('FNR', 'six || five')} || '\"' ELSE CAST(CAST(six || five AS BIGINT) AS VARCHAR) || '{plain}' END"
+
+
+def identity_json(spark, sf_dir) -> DataFrame:
+    number = F.concat("six", "five").cast("bigint").cast("string")
+    text = F.concat(F.lit('{"a":'), number, F.lit('.0,"b":['), number, F.lit(",1.5,true]}"))
+    return identity_candidates(spark, sf_dir).select("o_orderkey", text.alias("props"))
+
+
+@query(
+    f"""WITH {IDENTITY_SQL} SELECT o_orderkey,
+      '{{"a":' || {json_number_sql('.0')} || ',"b":[' || {json_number_sql('')} || ',1.5,true]}}' AS props FROM ids"""
+)
+def redact_json_numbers(spark, sf_dir):
+    """Identity numbers in JSON text, written as whole numbers with and without a fraction."""
+    return redact(identity_json(spark, sf_dir), exclude=["o_orderkey"])
+
+
+@query(
+    f"""{E} SELECT event_id, '{{"k":' || k || ',"mail":"' || {mark_sql('EMAIL', MAIL_SQL)} || '"}}' AS props,
+      '{{"k":' || k || ',"mail":"' || {mark_sql('EMAIL', MAIL_SQL)} || '"}}' AS bag FROM log_events"""
+)
+def redact_properties(spark, sf_dir):
+    """Free-form properties of the events, as JSON text and as a VARIANT."""
+    rows = log_events(spark, sf_dir).withColumn("mail", F.concat(F.lit(',"mail":"'), mail(), F.lit('"}')))
+    props = F.regexp_replace(F.replace("props", F.lit(" ")), r"\}$", F.col("mail"))
+    bags = rows.select("event_id", props.alias("props"), F.parse_json(props).alias("bag"))
+    return redact(bags).withColumn("bag", F.to_json("bag"))

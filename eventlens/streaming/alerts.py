@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from eventlens.functions.pii import Redactor
 from eventlens.functions.timerange import (
     EPOCH,
     MICROSECOND,
@@ -23,6 +24,7 @@ from eventlens.functions.timerange import (
     within,
 )
 from eventlens.operators.alerts import Rule, load_rules, state_of
+from eventlens.operators.redact import redact
 from eventlens.streaming.daily import DailyTable
 from eventlens.streaming.live import live_slices, with_watermark
 
@@ -86,12 +88,17 @@ def live_alerts(
 
 
 def current_alerts(
-    spark: SparkSession, path: str, rules: DataFrame, now: str | datetime, tick: str = "1s"
+    spark: SparkSession,
+    path: str,
+    rules: DataFrame,
+    now: str | datetime,
+    tick: str = "1s",
+    redactor: Redactor = Redactor(),
 ) -> DataFrame:
     """Alert state from the counts of ``live_alerts``, the same as ``alert_state`` gives for these events.
 
     ``now`` and the rules' windows must be whole ticks, as a count says no more.
-    Without rules the result is empty.
+    Without rules the result is empty.  Personal data in names is masked.
     """
     at, length = instant(now), slice_length(tick)
     loaded = load_rules(rules)
@@ -112,13 +119,14 @@ def current_alerts(
     observed = sums.agg(F.sum("n").alias("observed"))
     known = rules.select("rule_id", "threshold", F.col("suppress_until").cast("timestamp").alias("_until"))
     total = F.coalesce("observed", F.lit(0)).cast("bigint")
-    return known.join(observed, "rule_id", "left").select(
+    states = known.join(observed, "rule_id", "left").select(
         "rule_id",
         state_of(total, F.col("threshold"), F.col("_until"), as_of).alias("state"),
         total.alias("observed"),
         "threshold",
         as_of.alias("as_of"),
     )
+    return redact(states, redactor, numeric=())
 
 
 class AlertRing(StatefulProcessor):

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.pii import AMBIGUOUS_NAMES, FIRST_NAMES, SURNAMES, Redactor
 from eventlens.functions.splice import MARK
+from eventlens.operators.alerts import alert_state
+from eventlens.operators.filters import find_signals, signal_listing
 from eventlens.operators.redact import pii_audit, redact, redact_json
+from eventlens.plans.event_query import EventQuery
 
 R = Redactor()
 
@@ -22,40 +25,45 @@ def redacted(spark, values, redactor=R):
     return [r["t"] for r in rows]
 
 
+# Synthetic identity numbers (ordinary, written with a blank, H- and FH-number), one that has
+# lost its leading zero, and a number of eleven digits that is none.
+ORDINARY, SPACED, H_NUMBER, FH_NUMBER = "13116900216", "131169 00216", "13114690281", "81234567055"
+SHORTENED, NO_IDENTITY = 5069010042, "17000000000"
+
 MASKED = [
-    ("Pasient 13116900216 innlagt", "Pasient [FNR_#] innlagt"),
-    ("Fnr: 131169 00216", "Fnr: [FNR_#]"),
-    ("Hjelpenummer 13114690281 registrert", "Hjelpenummer [FNR_#] registrert"),
-    ("FH-nummer 81234567055 registrert", "FH-nummer [FNR_#] registrert"),
-    ("ø13116900216", "ø[FNR_#]"),
-    ("131169 00216", "[FNR_#]"),
-    ("Pasient Kari Nordmann ble innlagt", "Pasient [NAME_#] [NAME_#] ble innlagt"),
-    ("kontakt Ingrid Solberg-Haugen", "kontakt [NAME_#] [NAME_#]-[NAME_#]"),
-    ("Per Berg ringte", "[NAME_#] [NAME_#] ringte"),
+    (f"record {ORDINARY} closed", "record [FNR_#] closed"),
+    (f"id={SPACED}, retry", "id=[FNR_#], retry"),
+    (f"temporary number {H_NUMBER} assigned", "temporary number [FNR_#] assigned"),
+    (f"shared number {FH_NUMBER} assigned", "shared number [FNR_#] assigned"),
+    (f"ø{ORDINARY}", "ø[FNR_#]"),
+    (SPACED, "[FNR_#]"),
+    ("meeting with Marit Hansen moved", "meeting with [NAME_#] [NAME_#] moved"),
+    ("signed by Liv Dahl-Lunde", "signed by [NAME_#] [NAME_#]-[NAME_#]"),
+    ("Tom Strand logged in", "[NAME_#] [NAME_#] logged in"),
     ("JanKowalski", "[NAME_#]Kowalski"),
     (
-        "Lege Kari Nordmann; fnr 13116900216; e-post ola@klinikk.no; tlf +47 99 88 77 66",
-        "Lege [NAME_#] [NAME_#]; fnr [FNR_#]; e-post [EMAIL_#]; tlf [PHONE_#]",
+        f"owner Eva Moen; id {ORDINARY}; mail eva@firma.no; phone +47 41 23 45 67",
+        "owner [NAME_#] [NAME_#]; id [FNR_#]; mail [EMAIL_#]; phone [PHONE_#]",
     ),
-    ("linje1 Kari Nordmann\nlinje2 ola@klinikk.no", "linje1 [NAME_#] [NAME_#]\nlinje2 [EMAIL_#]"),
-    ("Kontakt kari.nordmann@klinikk.no for mer info", "Kontakt [EMAIL_#] for mer info"),
-    ("Ring meg på +47 99 88 77 66 i dag", "Ring meg på [PHONE_#] i dag"),
-    ("Ring 0047 99 88 77 66 i dag", "Ring [PHONE_#] i dag"),
+    ("first Rune Olsen\nsecond rune@firma.no", "first [NAME_#] [NAME_#]\nsecond [EMAIL_#]"),
+    ("write to eva.moen@firma.no before noon", "write to [EMAIL_#] before noon"),
+    ("caller +47 22 11 00 99 hung up", "caller [PHONE_#] hung up"),
+    ("caller 0047 22 11 00 99 hung up", "caller [PHONE_#] hung up"),
     ("22 33 44 55 og 412 34 567 og 90000001", "[PHONE_#] og [PHONE_#] og [PHONE_#]"),
-    (f"a{MARK}b Kari {MARK}{MARK} 13116900216", f"a{MARK}b [NAME_#] {MARK}{MARK} [FNR_#]"),
+    (f"a{MARK}b Kari {MARK}{MARK} {ORDINARY}", f"a{MARK}b [NAME_#] {MARK}{MARK} [FNR_#]"),
     ("a@x.example.com", "[EMAIL_#]"),
 ]
 UNCHANGED = [
-    "ts=17000000000",
-    "Else if request failed",
-    "Per second the rate was high",
-    "Tom buffer; Odd behaviour",
+    f"epoch {NO_IDENTITY} ms",
+    "Else branch skipped",
+    "Per minute limit reached",
+    "Tom list; Odd count",
     "Per\tBerg",
-    "131169\t00216",
-    "131169\n00216",
+    SPACED.replace(" ", "\t"),
+    SPACED.replace(" ", "\n"),
     "kari@example.com",
     "x@sub.test",
-    "ref +47 1234567890 end",
+    "offset +47 9876543210 bytes",
     "00 47 12 34",
     "12345678",
     "KARI kari",
@@ -79,7 +87,7 @@ def test_switched_off(spark):
 
 
 def test_placeholders_are_stable(spark):
-    found = redacted(spark, ["Kari", "møter Kari i dag", "Kari Nordmann"])
+    found = redacted(spark, ["Kari", "then Kari left", "Kari Olsen"])
     assert len({re.search(r"\[NAME_\d{4}\]", t)[0] for t in found}) == 1
 
 
@@ -90,38 +98,95 @@ def test_idempotent(spark):
 
 def test_custom_parts(spark):
     own = Redactor(names=["zoë", "o'hara"], ambiguous=["zoë"], exempt_domains=(), kinds=("NAME", "EMAIL"))
-    found = redacted(spark, ["Zoë spoke", "kari@example.com 13116900216"], own)
+    found = redacted(spark, ["Zoë spoke", f"kari@example.com {ORDINARY}"], own)
     assert found[0] == "Zoë spoke"
-    assert re.fullmatch(r"\[EMAIL_\d{4}\] 13116900216", found[1])
+    assert re.fullmatch(rf"\[EMAIL_\d{{4}}\] {ORDINARY}", found[1])
 
 
-def test_nested_and_numeric(spark):
-    nested = spark.sql(
-        """SELECT 'event-91234567' AS Id, 'Error' AS Level, 'Pasient Kari' AS RenderedMessage,
-        named_struct('StatusCode', 200, 'Notes', array('Ola ringte', 'ok', null), 'Extra', map('Kari', 'Kari')) AS Properties,
-        array(named_struct('a', 'Kari', 'b', true)) AS many, 13116900216 AS NationalId, 5069010042 AS Short, -13116900216 AS Neg, 7 AS n"""
+def nested_event(spark):
+    return spark.sql(
+        f"""SELECT 'event-91234567' AS Id, 'Error' AS Level, 'job of Kari' AS RenderedMessage,
+        named_struct('StatusCode', 200, 'Notes', array('Ola waits', 'ok', null), 'Extra', map('Kari', 'Kari')) AS Properties,
+        array(named_struct('a', 'Kari', 'b', true, 'c', array({ORDINARY}, 7L))) AS many, map('x', {ORDINARY}) AS held,
+        {ORDINARY} AS NationalId, {SHORTENED} AS Short, -{ORDINARY} AS Neg, 7 AS n, 12L AS Total, 2.5D AS elapsed"""
     )
-    row = redact(nested, exclude=["Id"], numeric=["NationalId", "Short", "Neg"]).first()
+
+
+def test_nested_and_numeric(spark):
+    row = redact(nested_event(spark), exclude=["Id"], numeric=["NationalId", "Short", "Neg"]).first()
     assert row["Id"] == "event-91234567" and row["Level"] == "Error" and row["n"] == 7
     assert "Kari" not in row["RenderedMessage"]
     assert row["Properties"]["StatusCode"] == 200
     assert row["Properties"]["Notes"][0].startswith("[NAME_") and row["Properties"]["Notes"][1:] == ["ok", None]
     assert list(row["Properties"]["Extra"]) == ["Kari"] and row["Properties"]["Extra"]["Kari"].startswith("[NAME_")
-    assert row["many"][0]["a"].startswith("[NAME_") and row["many"][0]["b"] is True
+    assert row["many"][0]["a"].startswith("[NAME_") and row["many"][0]["b"] is True and row["many"][0]["c"][1] == 7
     assert row["NationalId"].startswith("[FNR_") and row["Neg"] == row["NationalId"]
     assert row["Short"].startswith("[FNR_")
 
 
+def test_numbers_by_default_at_any_depth(spark):
+    masked = redact(nested_event(spark), exclude=["Id"], measures=["Total", "elapsed"])
+    row = masked.first()
+    assert row["NationalId"] == row["Neg"] == row["many"][0]["c"][0] == row["held"]["x"]
+    assert row["NationalId"].startswith("[FNR_") and row["Short"].startswith("[FNR_")
+    assert row["many"][0]["c"][1] == "7"
+    assert (row["n"], row["Total"], row["elapsed"], row["Properties"]["StatusCode"]) == (7, 12, 2.5, 200)
+    kept = redact(nested_event(spark), exclude=["Id"], numeric=())
+    assert kept.schema["NationalId"].dataType.simpleString() == "bigint"
+    off = redact(nested_event(spark), Redactor(enabled=False))
+    assert off.dtypes == nested_event(spark).dtypes and off.first() == nested_event(spark).first()
+    other = redact(nested_event(spark), Redactor(kinds=("EMAIL",)))
+    assert dict(other.dtypes)["NationalId"] == "bigint"
+
+
 def test_rowset(spark):
+    """An aggregate keeps its measures as numbers; its keys are masked."""
     rows = spark.createDataFrame(
-        [("ola.nordmann@hospital.no", 12), ("kari@example.com", 3)], "UserEmail string, Count bigint"
+        [("eva.moen@firma.no", i) for i in range(12)] + [("kari@example.com", i) for i in range(3)],
+        "UserEmail string, i int",
     )
-    found = redact(rows)
-    assert found.dtypes == rows.dtypes
+    found = EventQuery.on(rows, "2024-01-01T00:00:00Z").group("UserEmail").agg(F.count("*").alias("Count")).result()
+    assert dict(found.dtypes)["Count"] == "bigint"
     values = {r["Count"]: r["UserEmail"] for r in found.collect()}
     assert values[12].startswith("[EMAIL_") and values[3] == "kari@example.com"
 
 
+def test_signals_and_alerts_are_masked(spark):
+    schema = "signal_id string, title string, description string, predicate string, owner_id string, is_shared boolean"
+    row = ("signal-91234567", "cases of Eva Moen", None, "message like '%eva@firma.no%'", "91234567", True)
+    signals = spark.createDataFrame([row], schema)
+    found = find_signals(signals).first()
+    assert found["id"] == "signal-91234567" and found["owner_id"] == "91234567"
+    assert "Eva" not in found["title"] and "eva@" not in found["predicate"]
+    assert "Eva" not in signal_listing(signals).first()["title"]
+    assert find_signals(signals, redactor=Redactor(enabled=False)).first()["title"] == row[1]
+    rules = spark.createDataFrame(
+        [("watch Eva Moen", "true", "1h", 1, None)],
+        "rule_id string, predicate string, window string, threshold bigint, suppress_until timestamp_ntz",
+    )
+    events = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:30:00' AS ts")
+    state = alert_state(events, rules, "2024-01-01T01:00:00Z")
+    assert "Eva" not in state.first()["rule_id"] and state.first()["observed"] == 1
+    assert dict(state.dtypes)["observed"] == "bigint"
+
+
+def test_json_numbers(spark):
+    cases = [
+        (f'{{"a":{ORDINARY}.0}}', True),
+        (f'{{"a":{ORDINARY}.00,"b":1}}', True),
+        ('{"a":1.3116900216e10}', True),
+        (f'{{"a":-{ORDINARY}}}', True),
+        (f'{{"a":{SHORTENED}.0}}', True),
+        (f'{{"a":{ORDINARY}.5}}', False),
+        (f'{{"a":{NO_IDENTITY}.0,"b":0.13116900216}}', False),
+        ('{"a":1e400,"b":131169002160000}', False),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, j string")
+    for r in df.select("i", redact_json(F.col("j")).alias("j")).collect():
+        assert ("[FNR_" in r["j"]) == cases[r["i"]][1], r["j"]
+        assert cases[r["i"]][1] or r["j"] == cases[r["i"]][0]
+
+
 def test_json_text(spark):
     cases = [
         ('{"Kari": "Kari", "n": 13116900216}', r'\{"Kari": "\[NAME_\d{4}\]", "n": "\[FNR_\d{4}\]"\}'),
@@ -142,7 +207,7 @@ def test_json_text(spark):
 
 
 def test_numbers_of_other_types(spark):
-    df = spark.sql("SELECT 13116900216D AS d, CAST(13116900216 AS DECIMAL(20, 2)) AS e, 1.5D AS f, CAST(NULL AS DOUBLE) AS g")
+    df = spark.sql(f"SELECT {ORDINARY}D AS d, CAST({ORDINARY} AS DECIMAL(20, 2)) AS e, 1.5D AS f, CAST(NULL AS DOUBLE) AS g")
     row = redact(df, numeric=["d", "e", "f", "g"]).first()
     assert row["d"].startswith("[FNR_") and row["e"] == row["d"] and row["f"] == "1.5" and row["g"] is None
 
@@ -195,7 +260,7 @@ def mark_names(text):
 
 def test_names_against_yardstick(spark):
     rng = random.Random(7)
-    pieces = ["Kari", "Per", "Berg", "Tom", "Else", "Ola", "Pasient", "per", "X", "Lund", "Ås", "Bjørn", "Moen", "Moe"]
+    pieces = ["Kari", "Per", "Berg", "Tom", "Else", "Ola", "Owner", "per", "X", "Lund", "Ås", "Bjørn", "Moen", "Moe"]
     gaps = [" ", "-", "  ", "", ";", ", ", "\n"]
     values = ["".join(rng.choice(pieces) + rng.choice(gaps) for _ in range(rng.randint(1, 9))) for _ in range(600)]
     rows = texts(spark, values).select("i", R.mask("NAME", F.col("t")).alias("t")).orderBy("i").collect()

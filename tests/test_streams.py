@@ -79,7 +79,7 @@ def test_dedup(feed):
 
 
 def test_redaction(spark, feed):
-    feed.deliver([event(1, 1, message="Pasient Kari 13116900216"), event(2, 2, message="ok")])
+    feed.deliver([event(1, 1, message="job of Kari 13116900216"), event(2, 2, message="ok")])
     found = {r["event_id"]: r["message"] for r in feed.run(live_redaction(feed.stream())).collect()}
     batch = {r["event_id"]: r["message"] for r in redact(spark.createDataFrame(feed.rows, SCHEMA)).collect()}
     assert found == batch and "Kari" not in found[1]
