@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.functions.timerange import MICROSECOND, TimeWindow, align_down, slice_length, slice_start, ts_literal
+from eventlens.functions.timerange import (
+    MICROSECOND,
+    TimeWindow,
+    align_down,
+    slice_length,
+    slice_start,
+    ts_literal,
+    within,
+)
 from eventlens.session import materialize
 
 
@@ -41,6 +49,26 @@ def by_slice(df: DataFrame, slice: str, by: Sequence[str] = (), aggs: Sequence[C
     return df.groupBy(start.alias("slice_start"), *by).agg(*aggs)
 
 
+# Registers of a distinct-count sketch: 2 ** SKETCH_BITS, for a standard error of 0.8 % in 16 KB at most.
+SKETCH_BITS = 14
+
+
+def distinct_sketches(df: DataFrame, slice: str, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """A mergeable sketch of the distinct values per slice (and key), to be stored.
+
+    The distinct count of any range of slices follows from these rows without
+    another look at the events.
+    """
+    return by_slice(df, slice, by, [F.hll_sketch_agg(column, SKETCH_BITS).alias("sketch"), F.count("*").alias("n")])
+
+
+def distinct_over(sketches: DataFrame, window: TimeWindow, by: Sequence[str] = (), name: str = "distinct") -> DataFrame:
+    """Distinct values over the slices that start in ``window``, from stored sketches; within 2.5 % nearly always."""
+    scoped = within(sketches, window, "slice_start")
+    merged = scoped.groupBy(*by).agg(F.hll_union_agg("sketch").alias("_all"))
+    return merged.select(*by, F.coalesce(F.hll_sketch_estimate("_all"), F.lit(0)).alias(name))
+
+
 # Slots generated from one row at a time.
 SLOT_BLOCK = 10_000
 

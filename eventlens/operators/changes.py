@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.timerange import (
@@ -43,6 +43,26 @@ def new_exception_types(df: DataFrame, deploy_ts: str | datetime, *by: str) -> D
     return seen.agg(F.min("ts").alias("first_ts"), F.count("*").alias("n")).filter(F.col("first_ts") >= at)
 
 
+def roll_up_exceptions(df: DataFrame, path: str, *by: str) -> None:
+    """Keep the first sighting and the count of every exception per day in the table ``path``.
+
+    Days that occur in ``df`` are replaced, so a day that is delivered again, or
+    once more with late events, is right as long as it comes whole.
+    """
+    seen = df.filter(F.col("exception").isNotNull()).groupBy(F.to_date("ts").alias("day"), *by, "exception")
+    rolled = seen.agg(F.min("ts").alias("first_ts"), F.count("*").alias("n"))
+    writer = rolled.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day").parquet(path)
+
+
+def new_exception_types_kept(spark: SparkSession, path: str, deploy_ts: str | datetime, *by: str) -> DataFrame:
+    """``new_exception_types`` from the table of ``roll_up_exceptions``: a row per type and day is read, no events."""
+    rolled = spark.read.parquet(path)
+    at = ts_literal(rolled, instant(deploy_ts), "first_ts")
+    seen = rolled.groupBy(*by, "exception").agg(F.min("first_ts").alias("first_ts"), F.sum("n").alias("n"))
+    return seen.filter(F.col("first_ts") >= at)
+
+
 def asof_deployment(df: DataFrame, deployments: DataFrame, application: str = "application") -> DataFrame:
     """Add the latest deployment of the application at or before each event.
 

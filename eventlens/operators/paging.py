@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from eventlens.functions.jsonsize import INDENT, cells_length, json_length
 from eventlens.functions.pii import Redactor
 from eventlens.operators.redact import MEASURES, redact
+from eventlens.session import materialize
 
 # Page and payload limits, and the notes on a cut result (their
 # length counts towards the payload).
@@ -81,13 +82,18 @@ def budget(
     can never fit: a top-k brings the rest into one small task, where the
     running size is taken.  Redaction, if any, runs on those rows only
     and leaves ``measures`` numbers.  ``columns`` names the payload where ``order`` needs columns beyond it.
+
+    The top-k is run while the query is built and kept in the scratch folder.  A
+    result of fewer rows is thereby counted too, so its query runs once; only of
+    a longer one the rows are counted, without their payload.
     """
-    total = df.select(F.count("*").alias("n")).scalar()
-    top = df.orderBy(*order).limit(limit // 2 + 1)
+    most = limit // 2 + 1
     # The position is fixed before redaction can change a sort column.
+    top = df.orderBy(*order).limit(most)
     top = top.withColumn("_k", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    if columns is not None:
-        top = top.select(*columns, "_k")
+    top = materialize(top if columns is None else top.select(*columns, "_k"))
+    found = top.count()
+    total = F.lit(found if found < most else df.count()).cast("bigint")
     if redactor is not None:
         top = redact(top, redactor, ("_k", "event_id"), measures=measures)
     names = [c for c in top.columns if c != "_k"]

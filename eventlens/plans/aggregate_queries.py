@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventlens.functions.timerange import query_window, within
-from eventlens.operators.aggregates import by_slice, count_by, dense_slices, distinct_values, percentiles, top_k
+from eventlens.operators.aggregates import (
+    by_slice,
+    count_by,
+    dense_slices,
+    distinct_over,
+    distinct_sketches,
+    distinct_values,
+    percentiles,
+    top_k,
+)
 from eventlens.operators.filters import is_error
 from eventlens.operators.investigate import (
     affected_users as affected,
@@ -25,6 +34,7 @@ from eventlens.operators.tenants import with_tenant_name
 from eventlens.plans.dataset import NOW, log_events, table, tenants, with_tables
 from eventlens.plans.event_query import EventQuery
 from eventlens.plans.registry import query, rounded
+from eventlens.session import materialize
 
 E = with_tables("log_events")
 MONTH = "ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'"
@@ -229,6 +239,26 @@ def affected_users(spark, sf_dir):
     return affected(log_events(spark, sf_dir))
 
 
+@query(
+    f"""{E} SELECT days, environment, true AS close FROM (SELECT DISTINCT environment FROM log_events)
+    CROSS JOIN (VALUES (7), (14), (30)) t(days)
+    WHERE (SELECT count(*) FROM log_events e WHERE e.environment = environment AND ts >= TIMESTAMP '2024-01-24') > 0"""
+)
+def users_of_any_range(spark, sf_dir):
+    """Distinct users per tenant over several ranges from one stored table of sketches, against exact counts."""
+    events = log_events(spark, sf_dir)
+    stored = materialize(distinct_sketches(events, "1d", "user_id", ["environment"]))
+    found = None
+    for days in (7, 14, 30):
+        span = query_window(NOW, f"{days}d")
+        exact = within(events, span).groupBy("environment").agg(F.countDistinct("user_id").alias("exact"))
+        near = distinct_over(stored, span, ["environment"]).join(exact, "environment")
+        close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.025)
+        part = near.select(F.lit(days).alias("days"), "environment", close.alias("close"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query(f"{E} SELECT DISTINCT application, exception FROM log_events WHERE exception IS NOT NULL")
 def distinct_exceptions(spark, sf_dir):
     return distinct_values(log_events(spark, sf_dir), "exception", ["application"])

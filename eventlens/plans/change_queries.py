@@ -14,6 +14,7 @@ from eventlens.operators.severity import health_report as report
 from eventlens.plans.aggregate_queries import ERRORS, MONTH, bucket
 from eventlens.plans.dataset import NOW, deployments, log_events, rules, with_tables
 from eventlens.plans.registry import query, rounded
+from eventlens.session import scratch_dir
 
 E = with_tables("log_events")
 DEPLOY = "2024-01-20T00:00:00Z"
@@ -78,17 +79,28 @@ def before_after_deploy(spark, sf_dir):
     return rounded(found, "per_hour_before", "per_hour_after", "ratio")
 
 
-@query(
-    f"""{E} SELECT application, user_id, exception, min(ts) AS first_ts, count(*) AS n FROM log_events a
+NEW_TYPES_SQL = f"""{E} SELECT application, user_id, exception, min(ts) AS first_ts, count(*) AS n FROM log_events a
     WHERE exception IS NOT NULL AND NOT EXISTS (SELECT 1 FROM log_events b WHERE b.ts < TIMESTAMP '2024-01-20'
       AND b.application = a.application AND b.user_id = a.user_id AND b.exception = a.exception)
     GROUP BY application, user_id, exception"""
-)
+
+
+@query(NEW_TYPES_SQL)
 def new_exception_types(spark, sf_dir):
     """Exceptions per service and user that did not exist before the deployment."""
     return changes.new_exception_types(log_events(spark, sf_dir), DEPLOY, "application", "user_id")
 
 
+@query(NEW_TYPES_SQL)
+def new_exception_types_kept(spark, sf_dir):
+    """The same from a kept table of first sightings per day."""
+    path = scratch_dir(spark)
+    changes.roll_up_exceptions(log_events(spark, sf_dir), path, "application", "user_id")
+    return changes.new_exception_types_kept(spark, path, DEPLOY, "application", "user_id").select(
+        "application", "user_id", "exception", "first_ts", "n"
+    )
+
+
 @query(
     f"""{E}, {with_tables('deployments')[5:]}, unique_deployments AS (
       SELECT application, deploy_ts, max(version) AS version FROM deployments GROUP BY application, deploy_ts)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.functions.text import access_level, lenient_long, log_line, mask_url_query
 from eventlens.schema import EVENTS
+from eventlens.session import materialize, scratch_dir
 
 TEXT_FORMATS = ("json", "csv", "xml")
 PROBE_PATHS = ("/healthz",)
@@ -76,20 +80,79 @@ def map_events(raw: DataFrame, columns: dict[str, Column], schema: T.StructType
     )
 
 
-def write_events(df: DataFrame, path: str, ts: str = "ts", mode: str = "append", files: int | None = None) -> None:
-    """Store events by day, in time order.
+# Aimed size of a stored file, and rows written to find out how wide a row is.
+FILE_BYTES = 256 << 20
+SAMPLE_ROWS = 20_000
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
+def row_bytes(df: DataFrame, rows: int = SAMPLE_ROWS) -> float:
+    """Stored bytes per row, measured on a written sample; 0 for an empty table."""
+    sample = materialize(df.limit(rows).coalesce(1))
+    n = sample.count()
+    return stored_bytes(df.sparkSession, sample.inputFiles()[0]) / n if n else 0.0
+
+
+def write_events(
+    df: DataFrame, path: str, ts: str = "ts", mode: str = "append", files: int | None = None, file_bytes: int = FILE_BYTES
+) -> None:
+    """Store events by day, in time order, in files of about ``file_bytes``.
 
     Rows are range-partitioned by time, not hashed by day: a day that holds a
     third of all events is spread over as many files as its share, and the
-    min/max statistics of each file cover a narrow stretch of time.  A bloom
-    filter on the id lets a cursor lookup skip the row groups without it.
+    min/max statistics of each file cover a narrow stretch of time.  The number of
+    files follows from the rows and their width in a written sample, unless
+    ``files`` says it.  A bloom filter on the id lets a cursor lookup skip the row
+    groups without it.
     """
     dated = df.withColumn("event_date", F.to_date(ts))
-    spread = dated.repartitionByRange(files, ts) if files else dated.repartitionByRange(ts)
-    writer = spread.sortWithinPartitions(ts).write.mode(mode).partitionBy("event_date")
+    if files is None:
+        files = max(1, math.ceil(df.count() * row_bytes(df) / file_bytes))
+    _write_days(dated.repartitionByRange(files, ts), path, ts, mode)
+
+
+def _write_days(dated: DataFrame, path: str, ts: str, mode: str) -> None:
+    writer = dated.sortWithinPartitions(ts).write.mode(mode).partitionBy("event_date")
     writer.option("parquet.bloom.filter.enabled#event_id", "true").parquet(path)
 
 
+def compact_events(
+    spark: SparkSession, path: str, ts: str = "ts", file_bytes: int = FILE_BYTES, least_files: int = 2
+) -> list[str]:
+    """Rewrite the days that have more files than their size calls for; gives these days.
+
+    A stream or many small deliveries leave many small files.  A day is rewritten
+    if it has ``least_files`` files or more and twice the number that files of
+    ``file_bytes`` would be.  The new files are written beside the table and swap
+    in by day, so a run that is cut off leaves the old ones; readers that listed
+    them before may have to start anew.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted: dict[str, int] = {}
+    for day in store.listStatus(root):
+        name = day.getPath().getName()
+        if name.startswith("event_date="):
+            sizes = [f.getLen() for f in store.listStatus(day.getPath()) if f.getPath().getName().endswith(".parquet")]
+            needed = max(1, math.ceil(sum(sizes) / file_bytes))
+            if len(sizes) >= least_files and len(sizes) >= 2 * needed:
+                wanted[name.removeprefix("event_date=")] = needed
+    if not wanted:
+        return []
+    days = spark.read.parquet(path).filter(F.col("event_date").isin([date.fromisoformat(d) for d in wanted]))
+    aside = scratch_dir(spark)
+    _write_days(days.repartitionByRange(sum(wanted.values()), ts), aside, ts, "overwrite")
+    # The rewritten rows replace exactly the partitions they came from.
+    again = spark.read.parquet(aside)
+    writer = again.sortWithinPartitions(ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("parquet.bloom.filter.enabled#event_id", "true").partitionBy("event_date").parquet(path)
+    return sorted(wanted)
+
+
 def to_json_rows(df: DataFrame, column: str = "json") -> DataFrame:
     """One compact JSON object per row, NULL fields included."""
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(column))
