@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,7 @@ HELD_OUT_MODULUS = 5
 CALIBRATION_FOLD = 1  # of the training folds 1..4
 BINS_PER_UNIT = 4096
 PASSAGE, LONGEST_PASSAGE = 4, 64  # words of a passage, on average and at most
-HELD = 150_000  # different words or passages that a task holds before it passes them on
+HELD = 100_000  # different words or passages that a task holds before it passes them on
 EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_/\\"
 END = "\n"  # no word has one
 NEUTRAL = -0.5  # the largest logit of a text in which neither class stands out
@@ -69,7 +70,7 @@ def steps(word: str) -> Iterator[tuple[str, str]]:
 class Expressions(dict):
     """The plain form of a word as it is written, and whether a passage ends with it."""
 
-    LIMIT = 200_000
+    LIMIT = 120_000
 
     def __missing__(self, raw: bytes) -> tuple[str, bool]:
         if len(self) >= self.LIMIT:
@@ -132,8 +133,9 @@ def count_words(passages: DataFrame) -> DataFrame:
             return pd.DataFrame(table)
 
         for batch in batches:
-            for passage, flags in zip(batch["passage"], batch["flags"].tolist(), strict=True):
-                counts.setdefault(flags, Counter()).update(set(passage.split(" ")))
+            for flags, found in batch.groupby("flags")["passage"]:
+                words = map(set, found.str.split(" "))
+                counts.setdefault(flags, Counter()).update(chain.from_iterable(words))
             if sum(map(len, counts.values())) >= HELD:
                 yield counted()
                 counts = {}
@@ -198,7 +200,7 @@ class KneserNey:
 class Scorer(dict):
     """Scores texts; remembers a word as it is written with its plain form and its log ratio."""
 
-    LIMIT = 200_000
+    LIMIT = 120_000
 
     def __init__(self, model: KneserNey) -> None:
         super().__init__()
@@ -262,17 +264,19 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, f
     return float(beta[0] / scale), float(beta[1])
 
 
-def with_score(docs: DataFrame, model: KneserNey, name: str) -> DataFrame:
-    """``docs`` as they are, and the difference of the log-likelihoods per word in the column ``name``."""
+def with_score(docs: DataFrame, model: KneserNey, name: str, text: bool = True) -> DataFrame:
+    """``docs`` as they are, or without ``text``, and the difference of the log-likelihoods per word as ``name``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    kept = [f for f in docs.schema.fields if text or f.name != "text"]
+    schema = T.StructType([*kept, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             scores = pa.array([scorer.per_word(t.as_py()) for t in texts], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, scores], names=[*[f.name for f in kept], name])
 
     return docs.mapInArrow(run, schema)
 
@@ -297,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Colu
     first = model_of(counts.select("context", "spelling", *CLASSES))
     whole = [F.col(f"all_{c}").alias(c) for c in CLASSES]
     model = model_of(counts.select("context", "spelling", *whole))
-    scored = with_score(rows.where("apart").select("text", "label"), first, "per_word")
+    scored = with_score(rows.where("apart").select("text", "label"), first, "per_word", text=False)
     bins = scored.groupBy(F.round(F.col("per_word") * BINS_PER_UNIT).cast("long").alias("bin"), "label").count().toPandas()
     if len(bins):
         x, y = bins["bin"].to_numpy(dtype=float) / BINS_PER_UNIT, bins["label"].to_numpy(dtype=float)
@@ -317,7 +321,7 @@ def score(docs: DataFrame, model: KneserNey) -> DataFrame:
     Repeated rows are scored each; NULL doc_ids are passed on; columns other than
     doc_id and text are never looked at.
     """
-    rows = with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "per_word")
+    rows = with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "per_word", text=False)
     scored = rows.select("doc_id", "per_word", probability(model, F.col("per_word")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
