@@ -29,7 +29,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import BROADCAST_ROWS, WordHashes, frames, mix, multipliers, window_hashes, words_of
+from eventlens.llm.common import (
+    BROADCAST_ROWS,
+    WordHashes,
+    frames,
+    in_order,
+    mix,
+    multipliers,
+    text_tag,
+    unused_name,
+    window_hashes,
+    words_of,
+)
 from eventlens.llm.components import components
 from eventlens.session import materialize
 
@@ -102,11 +113,11 @@ def _differing_bound(least: float) -> int:
     return int(np.flatnonzero(estimate(np.arange(SKETCH_BITS // 2)) >= least)[-1])
 
 
-DESCRIBED = "doc_id long, n_shingles long, digest binary, keys array<long>, sketch array<long>"
+DESCRIBED = "doc_id long, tag long, n_shingles long, digest binary, keys array<long>, sketch array<long>"
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """Size, digest, band keys and odd sketch of the shingle set of each row; the last three NULL for an empty set."""
+    """Tag of the text, and size, digest, band keys and odd sketch of its shingle set; the last three NULL for an empty set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes_of = WordHashes()
@@ -116,45 +127,53 @@ def describe(docs: DataFrame) -> DataFrame:
             if not len(found):
                 return 0, None, None, None
             values = minhash(found)
-            digest = xxhash.xxh3_128_digest(found.tobytes())
-            return len(found), digest, band_keys(values).view(np.int64), odd_sketch(values).view(np.int64)
+            return len(found), digest_of(found), band_keys(values).view(np.int64), odd_sketch(values).view(np.int64)
 
         def build(batch: pd.DataFrame) -> pd.DataFrame:
             rows = [row(text) for text in batch["text"]]
             result = pd.DataFrame(rows, columns=["n_shingles", "digest", "keys", "sketch"])
             result.insert(0, "doc_id", batch["doc_id"].array)
+            result.insert(1, "tag", batch["tag"])
             return result
 
         yield from frames(batches, build)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, DESCRIBED)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag(F.col("text")).alias("tag"), "text")
+    return rows.mapInPandas(run, DESCRIBED)
 
 
-def _node(doc_id: Column) -> Column:
+def digest_of(found: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(found.tobytes())
+
+
+def _known(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the documents named by ``nodes``."""
-    few = nodes.count() <= BROADCAST_ROWS
-    rows = docs.select(_node(F.col("doc_id")).alias("node"), "text")
-    rows = rows.join(F.broadcast(nodes) if few else nodes, "node")
+def _sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes named by ``wanted``, from a document that has the set."""
+    named = materialize(wanted.join(nodes.select("node", "doc", "digest"), "node"))
+    few = named.count() <= BROADCAST_ROWS
+    rows = docs.select(_known(F.col("doc_id")).alias("doc"), "text").join(F.broadcast(named) if few else named, "doc")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes_of = WordHashes()
-        yield from frames(
-            batches,
-            lambda b: b[["node"]].assign(shingles=[shingles(t, hashes_of).view(np.int64) for t in b["text"]]),
-        )
+        for batch in batches:
+            found = [shingles(t, hashes_of) for t in batch["text"]]
+            # Other texts with the same doc_id have other sets.
+            same = np.array([digest_of(f) == d for f, d in zip(found, batch["digest"], strict=True)], dtype=bool)
+            if same.any():
+                sets = [f.view(np.int64) for f, is_same in zip(found, same, strict=True) if is_same]
+                yield pd.DataFrame({"node": batch["node"].to_numpy()[same], "shingles": sets})
 
     sets = rows.mapInPandas(run, "node long, shingles array<long>")
-    return sets.groupBy("node").agg(F.min_by("shingles", F.xxhash64("shingles")).alias("shingles"))
+    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
-def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirm(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    sets = materialize(_sets(docs, nodes))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = materialize(_sets(docs, wanted, nodes))
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
@@ -292,7 +311,7 @@ def _remaining_links(docs: DataFrame, members: DataFrame, labels: DataFrame, nod
     blocks = _blocks(rows.join(described.drop("n_shingles"), "node"), ["n_shingles", "component", "sketch"])
     involved = blocks.applyInPandas(_involved, "bucket long, node long").distinct()
     rows = materialize(rows.join(involved, ["bucket", "node"]))
-    sets = materialize(_sets(docs, materialize(rows.select("node").distinct())))
+    sets = materialize(_sets(docs, rows.select("node").distinct(), nodes))
     blocks = _blocks(rows.join(sets, "node"), ["component", "shingles"])
     return blocks.applyInPandas(_ties, "a long, b long").distinct()
 
@@ -300,7 +319,8 @@ def _remaining_links(docs: DataFrame, members: DataFrame, labels: DataFrame, nod
 def link_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that are tied to others.
 
-    ``nodes`` has node, n_shingles, keys and sketch, one row for each set.
+    ``nodes`` has node, n_shingles, keys and sketch, one row for each set, its
+    digest, and ``doc``, the smallest doc_id of the documents that have it.
     """
     entries = nodes.select(F.explode("keys").alias("key"), "node")
     buckets = entries.groupBy("key").agg(
@@ -312,7 +332,7 @@ def link_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     members = materialize(entries.join(buckets.select("key", "hub"), "key").select(F.col("key").alias("bucket"), "hub", "node"))
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     tested = materialize(_promising(stars, nodes))
-    labels = materialize(components(confirm(docs, tested)))
+    labels = materialize(components(confirm(docs, tested, nodes)))
 
     links = materialize(_remaining_links(docs, members.select("bucket", "node"), labels, nodes))
     if links.isEmpty():
@@ -336,23 +356,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing.  Repeated rows share their component and are kept or not alike.  A
     NULL doc_id is smaller than all others.  Other columns are ignored.
     """
+    return _placed(docs).drop("tag")
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with the tag of each row's text."""
     described = materialize(describe(docs))
-    sets = described.where(F.col("digest").isNotNull())
-    nodes = sets.groupBy("digest").agg(
-        F.min(_node(F.col("doc_id"))).alias("node"),
+    sets = described.where(F.col("digest").isNotNull()).groupBy("digest")
+    nodes = sets.agg(
+        F.min(_known(F.col("doc_id"))).alias("doc"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("keys").alias("keys"),
         F.first("sketch").alias("sketch"),
     )
-    nodes = materialize(nodes)
+    # A node is a set, whichever documents have it: its number is its place in the order of the digests.
+    nodes = in_order(nodes, "node", "digest")
     labels = link_components(docs, nodes)
-    placed = nodes.select("digest", "node").join(labels, "node", "left")
-    placed = placed.select("digest", F.coalesce("component", "node").alias("component"))
-    rows = described.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")
-    component = F.coalesce("component", _node(F.col("doc_id")))
+    members = nodes.select("digest", "doc", "node").join(labels, "node", "left")
+    members = materialize(members.select("digest", "doc", F.coalesce("component", "node").alias("component")))
+    smallest = members.groupBy("component").agg(F.min("doc").alias("smallest"))
+    placed = members.join(smallest, "component").select("digest", "smallest")
+    rows = described.select("doc_id", "tag", "n_shingles", "digest").join(placed, "digest", "left")
+    component = F.coalesce("smallest", _known(F.col("doc_id")))
     component = F.when(component != NO_ID, component)
     return rows.select(
         "doc_id",
+        "tag",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
@@ -360,6 +389,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest doc_id of each component."""
-    kept = near_duplicates(docs).where("kept").select(_node(F.col("doc_id")).alias("_id")).distinct()
-    return docs.withColumn("_id", _node(F.col("doc_id"))).join(kept, "_id", "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that stay: the smallest doc_id of each component, with all their columns.
+
+    Rows without a word stay, repeated rows alike, and so do rows that share the
+    smallest doc_id of their component.  An empty table stays empty; the columns
+    may have any names.
+    """
+    kept = _placed(docs).where("kept").select("doc_id", "tag").distinct()
+    doc, tag = unused_name(docs, "kept_doc"), unused_name(docs, "kept_tag")
+    kept = kept.select(_known(F.col("doc_id")).alias(doc), F.col("tag").alias(tag))
+    marked = docs.withColumns({doc: _known(F.col("doc_id")), tag: text_tag(F.col("text"))})
+    return marked.join(kept, [doc, tag], "left_semi").select(*docs.columns)

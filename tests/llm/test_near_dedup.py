@@ -78,6 +78,30 @@ def test_against_brute_force(docs_of, monkeypatch, blocks):
     assert got(near_duplicates(docs_of(rows))) == brute(rows)
 
 
+def test_texts_that_share_a_doc_id(docs_of, monkeypatch):
+    """Sets are told apart by themselves: a link of one text is not lost to another text of the same doc_id."""
+    rng = random.Random(8)
+    a, b, c = ([f"{name}{rng.randrange(10**6)}" for _ in range(120)] for name in "abc")
+    near = lambda words: " ".join([*words[:-1], "end"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (5, near(a)), (7, near(b)), (None, " ".join(c)), (None, "lone"), (9, near(c)), (1, "else")]
+    expected = brute(rows)
+    assert {(d, c) for d, _, c, _ in expected} >= {(5, 1), (7, 1), (9, None)}
+    for few in (10**6, 0):  # sent to the documents, or joined by shuffle
+        monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", few)
+        assert got(near_duplicates(docs_of(rows))) == expected
+    kept = sorted(((r.doc_id, r.text) for r in drop_near_duplicates(docs_of(rows)).collect()), key=repr)
+    assert kept == sorted([rows[0], rows[1], rows[4], rows[5], rows[7]], key=repr)
+
+
+def test_clashing_columns(docs_of):
+    docs = docs_of(chains()[:60])
+    names = ["node", "tag", "kept_doc", "kept_tag", "digest", "_id", "_sha", "component", "bucket"]
+    odd = docs.selectExpr("*", *[f"doc_id + 1 as {n}" for n in names])
+    out = drop_near_duplicates(odd)
+    assert out.columns == odd.columns and all(r[n] == r["doc_id"] + 1 for r in out.collect() for n in names)
+    assert out.count() == drop_near_duplicates(docs).count()
+
+
 def test_star_of_dissimilar_leaves(docs_of):
     """The smallest document is only a leaf: others hang together by a middle one it does not lead to at once."""
     rng = random.Random(1)
