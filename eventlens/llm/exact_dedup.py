@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.llm.common import unused_name
 from eventlens.session import materialize
 
 BLOCK_BYTES = 512
@@ -27,8 +28,9 @@ KEY = ["doc_id", "sha"]
 def _address(position: Column) -> Column:
     """An integer for a place: the document in the high digits, the position in the low ones."""
     document = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit("-9223372036854775809").cast("decimal(38,0)"))
-    tag = F.xxhash64("sha").bitwiseAND(F.lit(2**30 - 1))
-    low = F.shiftleft(tag, 31).bitwiseOR(position.cast("long"))
+    # A text has fewer than 2 ** 23 blocks; the other bits tell texts of one doc_id apart.
+    tag = F.xxhash64("sha").bitwiseAND(F.lit(2**38 - 1))
+    low = F.shiftleft(tag, 23).bitwiseOR(position.cast("long"))
     scale = F.lit(str(2**61)).cast("decimal(38,0)")
     return (document * scale + low.cast("decimal(38,0)")).cast("decimal(38,0)")
 
@@ -118,20 +120,24 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; repeated rows stay once."""
+    """The rows of ``docs`` that stay, with all their columns; repeated rows stay once.
+
+    NULLs as in ``exact_duplicates``; an empty table stays empty; the columns may
+    have any names.
+    """
     rows = materialize(identities(docs))
     groups = rows.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"))
     kept = rows.join(groups, ["level", "name"]).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    sha = F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256))
-    marked = docs.withColumn("_sha", sha)
+    sha, doc, key = (unused_name(docs, n) for n in ("sha", "doc", "key"))
+    marked = docs.withColumn(sha, F.unhex(F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)))
 
     def staying(chosen: DataFrame) -> DataFrame:
-        keys = chosen.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_key"))
-        same = marked["doc_id"].eqNullSafe(keys["_id"]) & (marked["_sha"] == keys["_key"])
+        keys = chosen.select(F.col("doc_id").alias(doc), F.col("sha").alias(key))
+        same = marked["doc_id"].eqNullSafe(keys[doc]) & (marked[sha] == keys[key])
         return marked.join(keys, same, "left_semi")
 
-    once = staying(kept.where("copies = 1")).drop("_sha")
+    once = staying(kept.where("copies = 1")).drop(sha)
     repeated = kept.where("copies > 1")
     if repeated.isEmpty():
         return once
-    return once.unionByName(staying(repeated).dropDuplicates(["doc_id", "_sha"]).drop("_sha"))
+    return once.unionByName(staying(repeated).dropDuplicates(["doc_id", sha]).drop(sha))

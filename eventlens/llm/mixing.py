@@ -21,10 +21,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import WORD_PATTERN, text_tag
+from eventlens.llm.common import WORD_PATTERN, in_order, text_tag, unused_name
 from eventlens.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -213,21 +213,30 @@ def mix_sources(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as the mix takes them, each as often as its copies say."""
-    taken = mix_sources(docs).groupBy("doc_id", "tag").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    taken = materialize(taken).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_key"), "_copies", "_rows")
-    marked = docs.withColumn("_tag", text_tag(F.col("text")))
-    same = marked["doc_id"].eqNullSafe(taken["_id"]) & (marked["_tag"] == taken["_key"])
+    """The rows of ``docs`` as the mix takes them, each as often as its copies say, with all their columns.
 
-    def repeated(rows: DataFrame) -> DataFrame:
-        return rows.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))).alias("_n")).drop("_n")
+    NULLs as in ``mix_sources``.  Rows with equal doc_id and text share what was
+    taken of them, as evenly as it goes; an empty table stays empty; the columns
+    may have any names.
+    """
+    key, tag, copies, rows, nth, row = (unused_name(docs, n) for n in ("key", "tag", "copies", "rows", "nth", "row"))
+    taken = mix_sources(docs).groupBy("doc_id", "tag").agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    taken = materialize(taken).select(F.col("doc_id").alias(key), F.col("tag").alias(f"{tag}_of"), copies, rows)
+    marked = docs.withColumn(tag, text_tag(F.col("text")))
+    same = marked["doc_id"].eqNullSafe(taken[key]) & (marked[tag] == taken[f"{tag}_of"])
+
+    def repeated(found: DataFrame, times: Column) -> DataFrame:
+        return found.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias(nth)).drop(nth)
 
-    once = repeated(marked.join(taken.where("_rows = 1"), same))
-    several = taken.where("_rows > 1")
+    once = repeated(marked.join(taken.where(F.col(rows) == 1), same), F.col(copies))
+    several = taken.where(F.col(rows) > 1)
     if several.isEmpty():
         return once
-    # Equal rows share what was taken of them.
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_tag").orderBy("_tag"))
-    shared = marked.join(several, same).withColumn("_nth", nth)
-    share = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") <= F.col("_copies") % F.col("_rows")).cast("int")
-    return once.unionByName(repeated(shared.withColumn("_copies", share)))
+    shared = materialize(marked.join(several, same).withColumn(row, F.monotonically_increasing_id()))
+    # The place among equal rows, by range: a thousand equal rows need not meet in one task.
+    placed = in_order(shared.select(F.col(key).alias("a"), F.col(tag).alias("b"), F.col(row).alias("c")), "at", "a", "b", "c")
+    first = placed.groupBy("a", "b").agg(F.min("at").alias("first"))
+    nths = placed.alias("l").join(first.alias("r"), F.col("l.a").eqNullSafe(F.col("r.a")) & (F.col("l.b") == F.col("r.b")))
+    nths = nths.select(F.col("l.c").alias(row), (F.col("at") - F.col("first")).alias(nth))
+    share = F.floor(F.col(copies) / F.col(rows)) + (F.col(nth) < F.col(copies) % F.col(rows)).cast("int")
+    return once.unionByName(repeated(shared.join(nths, row), share))

@@ -182,6 +182,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     others; repeated rows, and others that share a doc_id, take nothing from
     each other.  Other columns are ignored.
     """
+    docs = docs.select("doc_id", "text")
     scanned = materialize(_scan(docs))
     repeated = repeated_windows(docs, scanned)
     first = scanned.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -192,7 +193,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         .groupBy("doc")
         .agg(F.flatten(F.collect_list("hashes")).alias("hashes"), F.flatten(F.collect_list("digests")).alias("digests"))
     )
-    rows = _beside(docs.select("doc_id", "text"), materialize(known), "left")
+    rows = _beside(docs, materialize(known), "left")
     schema = REMOVED + (", text string" if with_text else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
