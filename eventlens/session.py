@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -9,9 +10,10 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that hold on a laptop and on a cluster alike.  AQE merges small shuffle
-# partitions but never splits those of an aggregate, so a large table needs
-# ``spark.sql.shuffle.partitions`` above Spark's 200: about one per 200 MB shuffled.
+# Shuffled data per partition.  AQE merges small partitions but never splits those of an aggregate or of a stream's state.
+PARTITION_MB = 200
+
+# Settings that hold on a laptop and on a cluster alike.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -25,11 +27,22 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(app: str = "eventlens", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "eventlens", master: str | None = None, shuffled_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings this library counts on.
+
+    ``shuffled_gb`` is what the largest shuffle moves, or what a stream keeps as
+    state: it gives the number of shuffle partitions, Spark's 200 at least.  A
+    stream keeps the number it was first started with.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **conf}.items():
+    settings = dict(DEFAULT_CONF)
+    if shuffled_gb is not None:
+        settings["spark.sql.shuffle.partitions"] = str(max(200, math.ceil(shuffled_gb * 1024 / PARTITION_MB)))
+    for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -39,18 +52,28 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="eventlens-")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        root = _local_root()
+    return os.path.join(root, f"eventlens-{spark.sparkContext.applicationId}")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
     The cluster names the parent in ``spark.checkpoint.dir``.  Only a local
     session without that setting falls back to this machine's temp folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = _local_root()
-    return os.path.join(root, f"eventlens-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_root(spark), uuid.uuid4().hex)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that still read them must be written before."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

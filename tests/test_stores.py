@@ -105,3 +105,24 @@ def test_budget_runs_a_short_result_once(spark, tmp_path):
     cut = budget(spark.read.parquet(path), [F.asc("event_id")], limit=5000)
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert path not in plan and cut.first()["truncated"]
+
+
+def test_scratch_tables_are_released(spark, tmp_path, monkeypatch):
+    from eventlens import session
+
+    monkeypatch.setattr(session, "_scratch_root", lambda _: str(tmp_path / "mine"))
+    kept = session.materialize(spark.range(5))
+    assert kept.count() == 5 and os.listdir(tmp_path / "mine")
+    session.release_scratch(spark)
+    assert not os.path.exists(tmp_path / "mine")
+
+
+def test_partitions_follow_the_data(spark):
+    from eventlens.session import build_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert build_session(shuffled_gb=1000).conf.get("spark.sql.shuffle.partitions") == "5120"
+        assert build_session(shuffled_gb=1).conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
