@@ -37,6 +37,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _MARKS = re.compile(rb"(.*[a-z0-9])([.,;:!?]+)\Z", re.DOTALL)
 
 
+# Lower-case Latin letters, as UTF-8: the tokeniser never cuts between them.
+_LETTERS = re.compile("(?:[a-z]|{})+".format("|".join(filter(str.isalpha, map(chr, range(0xDF, 0x100))))).encode("utf-8"))
+WORD_END = "</w>"
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -52,25 +57,46 @@ class UnitIds:
 
     LIMIT = 1_000_000
     CHUNK_BYTES = 1 << 20
+    TOGETHER = 1_000  # stems of letters encoded in one call
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _learn(self, units: set[bytes]) -> None:
-        missing = units - self.known.keys()
+        missing = units.difference(self.known)  # looks up the units, not all that is known
         if len(self.known) + len(missing) > self.LIMIT:
             self.known.clear()
             missing = units
         parts = {unit: self._parts(unit) for unit in missing}
-        stems = list({part for some in parts.values() for part in some} - self.known.keys())
-        encoded = self.tokenizer.encode_batch_fast([s.decode("utf-8") for s in stems], add_special_tokens=False)
-        for stem, encoding in zip(stems, encoded, strict=True):
+        stems = {part for some in parts.values() for part in some}.difference(self.known)
+        plain = [s for s in stems if _LETTERS.fullmatch(s)]
+        for at in range(0, len(plain), self.TOGETHER):
+            stems.difference_update(self._learn_together(plain[at : at + self.TOGETHER]))
+        others = list(stems)
+        encoded = self.tokenizer.encode_batch_fast([s.decode("utf-8") for s in others], add_special_tokens=False)
+        for stem, encoding in zip(others, encoded, strict=True):
             self.known[stem] = np.asarray(encoding.ids, dtype="<u4").tobytes()
         for unit, some in parts.items():
             if len(some) > 1:
                 self.known[unit] = b"".join(map(self.known.__getitem__, some))
 
+    def _learn_together(self, stems: list[bytes]) -> list[bytes]:
+        """Learn stems of letters in one call; those it could not tell apart, all or none, are left out.
+
+        Each of them is one word, whose last id alone is that of a word's end.
+        """
+        ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(stems).decode("utf-8")], add_special_tokens=False)[0].ids)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(stems) or ends[-1] != len(ids):
+            return []
+        data, starts = ids.astype("<u4").tobytes(), [0, *ends[:-1].tolist()]
+        self.known.update((s, data[4 * a : 4 * b]) for s, a, b in zip(stems, starts, ends.tolist(), strict=True))
+        return stems
+
     @staticmethod
     def _parts(unit: bytes) -> tuple[bytes, ...]:
         found = _MARKS.match(unit) if unit[-1] in b".,;:!?" else None
