@@ -57,7 +57,51 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query()
+_LENGTHS = range(5, 11)
+_SPACE = "[\\x20\\x09-\\x0D]"
+
+
+def _covered(n: int) -> str:
+    """Characters and words of each document inside windows of n words that occur twice or more."""
+    return f"""
+windows{n} AS (
+  SELECT doc_id, i, word, passage IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, passage) > 1 AS again
+  FROM (SELECT doc_id, i, word, {" || ' ' || ".join(["word", *(f"w{k}" for k in range(1, n))])} AS passage FROM places)
+), covered{n} AS (
+  SELECT doc_id, coalesce(sum(length(word)) FILTER (inside), 0) AS chars, count(*) FILTER (inside) AS words
+  FROM (SELECT doc_id, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside
+        FROM windows{n}) GROUP BY doc_id
+)"""
+
+
+OP7_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), places AS (
+  SELECT *, {", ".join(f"lead(word, {k}) OVER doc AS w{k}" for k in range(1, 10))}
+  FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs)
+  WINDOW doc AS (PARTITION BY doc_id ORDER BY i)
+), {", ".join(map(_covered, _LENGTHS))}, lines AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS nth
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs)
+), again AS (
+  SELECT doc_id, count(*) AS n, CAST(sum(length(regexp_replace(line, '{_SPACE}', '', 'g'))) AS BIGINT) AS chars
+  FROM lines WHERE nth > 1 AND regexp_replace(line, '{_SPACE}', '', 'g') <> '' GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(again.n, 0) AS n_dup_lines,
+    coalesce(covered8.words, 0) AS n_repeat_words, coalesce(again.chars, 0) AS dup_line_chars,
+    {", ".join(f"CAST(coalesce(covered{n}.chars, 0) AS BIGINT) AS dup_chars_{n}" for n in _LENGTHS)}
+  FROM docs LEFT JOIN again USING (doc_id) {" ".join(f"LEFT JOIN covered{n} USING (doc_id)" for n in _LENGTHS)}
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND dup_line_chars <= 0.20::DOUBLE * word_chars
+    AND {" AND ".join(f"dup_chars_{n} <= {(20 - n) / 100:.2f}::DOUBLE * word_chars" for n in _LENGTHS)} AS kept
+FROM measured
+"""
+
+
+@query(OP7_SQL)
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdict of all documents."""
     return repetition_report(table(spark, sf_dir, "documents"))
@@ -124,13 +168,69 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+_WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP9_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, {_WORDS.format(_LOWERED)} AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM docs
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), common AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.r < y.r GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b WHERE 100 * c >= 85 * (p.n + q.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT r, r AS other FROM docs
+  UNION
+  SELECT reached.r, edges.b FROM reached JOIN edges ON edges.a = reached.other
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id, d.doc_id = min(o.doc_id) AS kept
+FROM docs d JOIN reached ON reached.r = d.r JOIN docs o ON o.r = reached.other LEFT JOIN sizes ON sizes.r = d.r
+GROUP BY d.r, d.doc_id
+"""
+
+
+@query(OP9_SQL)
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query()
+def _passages(n: int) -> str:
+    """The passages of n words that start at each word of ``w``; NULL where there are fewer."""
+    return f"list_transform(range(1, len(w) + 1), lambda i: CASE WHEN i + {n - 1} <= len(w) THEN array_to_string(w[i : i + {n - 1}], ' ') END)"
+
+
+OP3_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), places AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word, unnest({_passages(50)}) AS passage FROM docs
+), firsts AS (
+  SELECT passage, min(doc_id) AS first FROM places WHERE passage IS NOT NULL GROUP BY passage
+), starts AS (
+  SELECT p.doc_id, p.i, p.word, coalesce(f.first < p.doc_id, false) AS repeated
+  FROM places p LEFT JOIN firsts f ON f.passage = p.passage
+), covered AS (
+  SELECT doc_id, i, word, bool_or(repeated) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM starts
+), kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+  FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+@query(OP3_SQL)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages that smaller documents have too."""
     return remove_repeats(table(spark, sf_dir, "documents"))
