@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventlens.functions.splice import apply, bind, literal, matches, placeholder, splice
+from eventlens.functions.splice import MARK, SEPARATOR, apply, bind, literal, placeholder, splice
 
 # ---------------------------------------------------------------- fixed values
 # Common Norwegian first names.
@@ -201,37 +201,69 @@ class Redactor:
         first = next((i for i, k in enumerate(kinds) if self.needs(k) is None), len(kinds))
         return kinds[:first], kinds[first:]
 
-    def _any_of(self, kinds: list[str]) -> str:
-        """One regex that matches wherever one of ``kinds`` might.
-
-        Its leading lookahead rules out most positions by their first character.
+    def _one_after_the_other(
+        self, kinds: list[str], text: str, hits: list[str], last: Callable[[str, list[str]], str]
+    ) -> str:
+        """Every kind in turn, each on the text left by the earlier ones (SQL)."""
+        if not kinds:
+            return last(text, hits)
+        kind, *others = kinds
+        name = f"after_{kind.lower()}"
+        following = self._one_after_the_other(others, f"{name}.text", [*hits, f"{name}.hits"], last)
+        return bind(bind(text, "t", self._step(kind, "t")), name, following)
+
+    def _together(self, kinds: list[str], text: str) -> str:
+        """Struct of the variable ``text`` with all ``kinds`` masked and the number of values of each (SQL).
+
+        One search with a branch per kind; which branch matched shows in the
+        place of the match between separators, and picks the check and the
+        placeholder.  A number that begins like an identity number and like a
+        phone number can be a phone number only, so that branch goes first.  What
+        a check rejects may hide a match of a later kind: such a text, and one
+        that holds the marks themselves, goes kind by kind, so the result is the
+        same.
         """
-        starts = "".join(FIRST_CHARACTERS[k] for k in kinds)
-        return f"(?=[{starts}])(?:" + "|".join(f"(?:{self.pattern(k)})" for k in kinds) + ")"
+        branches = [k for k in ("PHONE", "FNR", "NAME") if k in kinds]
+        starts = "".join(FIRST_CHARACTERS[k] for k in branches)
+        pattern = f"(?=[{starts}])(?:" + "|".join(f"({self.pattern(k)})" for k in branches) + ")"
+        groups = SEPARATOR.join(f"${i}" for i in range(1, len(branches) + 1))
+        marked = f"regexp_replace({text}, {literal(pattern)}, {literal(MARK + groups + MARK)})"
+
+        def by_branch(of: Callable[[str], str]) -> str:
+            return "CASE x.branch " + " ".join(f"WHEN {i} THEN {of(k)}" for i, k in enumerate(branches)) + " END"
+
+        found = " ".join(f"WHEN NOT startswith(p, {literal(SEPARATOR * (i + 1))}) THEN {i}" for i in range(len(branches)))
+        cut = f"transform(split(all_marked, {literal(MARK)}, -1), (p, i) -> named_struct('branch', CASE WHEN i % 2 = 0 THEN -1 {found} END, 'token', replace(p, {literal(SEPARATOR)}, '')))"
+        right = by_branch(lambda k: "true" if k == "NAME" else f"({self.accepts(k, 'x.token')})")
+        left = by_branch(lambda k: placeholder(k, "x.token"))
+        counts = ", ".join(f"size(filter(parts, x -> x.branch = {branches.index(k)}))" for k in kinds)
+        masked = f"named_struct('text', array_join(transform(parts, x -> coalesce({left}, x.token)), ''), 'hits', array({counts}))"
+        in_turn = self._one_after_the_other(
+            kinds, text, [], lambda rest, hits: f"named_struct('text', {rest}, 'hits', array({', '.join(hits)}))"
+        )
+        clean = f"named_struct('text', {text}, 'hits', array({', '.join('0' for _ in kinds)}))"
+        # An identity number may stand right before a plus sign, where a phone number begins once it is masked.
+        joined = f"contains({text}, '+') AND exists(parts, x -> x.branch = {branches.index('FNR')})" if "FNR" in kinds else "false"
+        unsure = f"exists(parts, x -> NOT coalesce({right}, true)) OR ({joined})"
+        checked = bind(cut, "parts", f"CASE WHEN {unsure} THEN {in_turn} ELSE {masked} END")
+        odd = f"contains({text}, {literal(MARK)}) OR contains({text}, {literal(SEPARATOR)})"
+        searched = bind(marked, "all_marked", f"CASE WHEN all_marked <> {text} THEN {checked} ELSE {clean} END")
+        return f"CASE WHEN {odd} THEN {in_turn} ELSE {searched} END"
 
     def _all_steps(self, finish: Callable[[str, list[str]], str]) -> str:
-        """Every kind in turn, each on the text left by the earlier ones (SQL).
+        """All kinds masked (SQL); ``finish`` makes the result from the text and the hits per kind.
 
-        ``finish`` makes the result from the last text and the hits per kind.  A
-        text without any match is found out by a single search for all kinds.
+        Kinds that a plain substring rules out go first, the others in one search.
         """
         cheap, rest = self._split_kinds()
+        if rest not in (["FNR", "PHONE"], ["FNR", "NAME"], ["PHONE", "NAME"], ["FNR", "PHONE", "NAME"]):
+            return self._one_after_the_other([*cheap, *rest], "whole", [], finish)
+
+        def remaining(text: str, hits: list[str]) -> str:
+            body = finish("others.text", [*hits, *[f"others.hits[{i}]" for i in range(len(rest))]])
+            return bind(bind(text, "plain", self._together(rest, "plain")), "others", body)
 
-        def run(kinds: list[str], text: str, hits: list[str], last: Callable[[str, list[str]], str]) -> str:
-            if not kinds:
-                return last(text, hits)
-            kind, *others = kinds
-            name = f"after_{kind.lower()}"
-            following = run(others, f"{name}.text", [*hits, f"{name}.hits"], last)
-            return bind(bind(text, "t", self._step(kind, "t")), name, following)
-
-        def guarded(text: str, hits: list[str]) -> str:
-            if not rest:
-                return finish(text, hits)
-            clean = finish(text, [*hits, *["0" for _ in rest]])
-            return f"CASE WHEN {matches(text, self._any_of(rest))} THEN {run(rest, text, hits, finish)} ELSE {clean} END"
-
-        return run(cheap, "whole", [], guarded)
+        return self._one_after_the_other(cheap, "whole", [], remaining)
 
     def text(self, text: Column) -> Column:
         """Mask every kind."""

@@ -16,8 +16,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A code point that Unicode reserves as "not a character".
+# Code points that Unicode reserves as "not a character": around a match, and between its branches.
 MARK = "￿"
+SEPARATOR = "\ufdd0"
 
 
 def literal(text: str) -> str:
@@ -35,15 +36,6 @@ def apply(value: Column, name: str, body: str) -> Column:
     return F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}"))[0]
 
 
-def matches(text: str, pattern: str) -> str:
-    """Whether ``pattern`` (never empty) occurs.
-
-    Inside lambdas ``rlike`` decodes the pattern for every row, which for a long
-    one takes longer than the search; ``regexp_extract`` keeps it.
-    """
-    return f"regexp_extract({text}, {literal(pattern)}, 0) <> ''"
-
-
 def splice(
     text: str,
     pattern: str,

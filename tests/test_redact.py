@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlens.functions.pii import AMBIGUOUS_NAMES, FIRST_NAMES, SURNAMES, Redactor
-from eventlens.functions.splice import MARK
+from eventlens.functions.splice import MARK, SEPARATOR
 from eventlens.operators.alerts import alert_state
 from eventlens.operators.filters import find_signals, signal_listing
 from eventlens.operators.redact import pii_audit, redact, redact_json
@@ -286,6 +286,28 @@ def test_identity_numbers_against_yardstick(spark):
     assert [r["n"] == 1 for r in rows] == expected
 
 
+def test_one_search_equals_kind_by_kind(spark):
+    """Random mixtures of everything that might match, with rejected numbers between and the marks themselves."""
+    rng = random.Random(21)
+    pieces = [
+        ORDINARY, SPACED, FH_NUMBER, NO_IDENTITY, "131169 00217", "004712 34567", "004712 34567 8", "+47 22 11 00 99", "0047 22110099",
+        "22 33 44 55", "00 47 12 34", "412 34 567", "90000001", "12345678", "Kari", "Per", "Berg", "Ola", "Tom", "Owner", "ø", "x",
+        "eva@firma.no", "Kari@example.com", MARK, SEPARATOR, "5", "123456 00471 2345678", "",
+    ]
+    values = ["".join(rng.choice(pieces) + rng.choice([" ", "", "-", ";", "  ", "\n"]) for _ in range(rng.randint(1, 7))) for _ in range(3000)]
+    rows = texts(spark, values)
+    t = F.col("t")
+    for kinds in (("EMAIL", "FNR", "PHONE", "NAME"), ("FNR", "NAME"), ("PHONE", "NAME")):
+        redactor = Redactor(kinds=kinds)
+        in_turn = t
+        for kind in kinds:
+            in_turn = redactor.mask(kind, in_turn)
+        found = rows.select("t", redactor.text(t).alias("one"), in_turn.alias("many"), redactor.findings(t).alias("n")).collect()
+        assert [r["t"] for r in found if r["one"] != r["many"]] == []
+        for r in found:
+            assert [r["one"].count(f"[{k}_") for k in kinds] == r["n"]
+
+
 @pytest.mark.parametrize("sf", ["0.001"])
 def test_no_valid_number_survives(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
