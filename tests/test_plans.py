@@ -118,3 +118,26 @@ def test_csv_events(spark, tmp_path):
     found = {r["event_id"]: r for r in read_events(spark, str(tmp_path / "csv"), "csv", escape='"').collect()}
     assert found["e1"]["message_tokens"][0]["text"] == "hi" and found["e2"]["message_tokens"] is None
     assert found["e1"]["level"] == "Error"
+
+
+def test_recursive_queries(spark):
+    events = log_events(spark, SF)
+    rows = "WITH RECURSIVE n(i) AS (SELECT 1 UNION ALL SELECT i + 1 FROM n WHERE i < 3) SELECT i, count(*) AS c FROM n, stream GROUP BY i"
+    found = {r["i"]: r["c"] for r in query_stream(events, rows).collect()}
+    assert found == {i: events.count() for i in (1, 2, 3)}
+
+
+def test_rendered_and_shown_results(spark):
+    rows = [("e1", [("job of Kari took ", None), (None, "ms"), (None, "gone"), (None, None)], '{"ms": 12, "who": "Kari"}', 13116900216, 2.5)]
+    schema = "event_id string, message_tokens array<struct<text string, property_name string>>, props string, ref long, elapsed double"
+    events = spark.createDataFrame(rows, schema).withColumn("ts", F.lit("2024-01-30T23:30:00").cast("timestamp_ntz"))
+    page = EventQuery.on(events, NOW).recent("1h").page(5, render=True)
+    assert page.dataframe().first()["rendered_message"] == "job of Kari took 12{gone}"
+    shown = page.result().first()
+    assert "Kari" not in shown["rendered_message"] and shown["rendered_message"].endswith("took 12{gone}")
+    assert shown["event_id"] == "e1" and shown["elapsed"] == 2.5 and shown["ref"].startswith("[FNR_")
+    assert "Kari" not in shown["props"] and "Kari" not in str(shown["message_tokens"])
+    as_map = events.withColumn("props", F.from_json("props", "map<string,string>"))
+    assert EventQuery.on(as_map, NOW).rendered().dataframe().first()["rendered_message"] == "job of Kari took 12{gone}"
+    counted = EventQuery.on(events, NOW).group("ref").agg(F.count("*").alias("n"), F.max("ref").alias("top")).result().first()
+    assert counted["n"] == 1 and counted["top"] == 13116900216 and counted["ref"].startswith("[FNR_")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.text import (
     access_level,
+    code_record,
     error_code,
+    error_record,
     lenient_long,
     level_name,
     log_line,
@@ -95,3 +97,17 @@ def test_access_log_keeps_a_missing_url(spark):
         [("GET", None, 200, "5", 1)], "method string, url string, status int, content_length string, ms int"
     )
     assert [tuple(r) for r in access_log(df).collect()] == [("info", "GET", None, 200, 5, 1)]
+
+
+def test_error_records(spark):
+    rows = [("TypeError", None, "no such key"), ("HttpError", 500, "body with eva@firma.no"), (None, None, None)]
+    df = spark.createDataFrame(rows, "name string, status int, message string")
+    found = [tuple(r) for r in df.select(error_record(F.col("name"), F.col("status"), F.col("message")).alias("r")).select("r.*").collect()]
+    assert found == [("TypeError", None, "no such key"), ("HttpError", 500, "request failed (HTTP 500)"), (None, None, None)]
+
+
+def test_code_records(spark):
+    rows = [("AuthError", "bad_grant", "AADSTS50020 for eva@firma.no AADSTS1"), ("", "", "no code"), (None, None, None)]
+    df = spark.createDataFrame(rows, "name string, code string, message string")
+    found = [tuple(r) for r in df.select(code_record(F.col("name"), F.col("code"), F.col("message")).alias("r")).select("r.*").collect()]
+    assert found == [("AuthError", "bad_grant", "AADSTS50020"), (None, None, None), (None, None, None)]
