@@ -8,11 +8,13 @@ rows that share a ``doc_id`` with different texts do not run together.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +102,23 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def returning_memory(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a partition, after which the worker gives what it no longer needs back to the system.
+
+    A Python worker lives on between tasks and stages; without this it keeps the
+    most it ever held, beside the JVM of the executor.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def frames(batches: Iterator[pd.DataFrame], build) -> Iterator[pd.DataFrame]:
     """Apply ``build`` to every batch that has rows."""
     for batch in batches:

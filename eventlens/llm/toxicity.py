@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlens.llm.common import fold, join_labels, unused_name, words_of
+from eventlens.llm.common import fold, join_labels, returning_memory, unused_name, words_of
 from eventlens.session import materialize
 
 DEPTH = 8  # characters of a word that are followed one by one; the rest is one step
@@ -114,7 +114,7 @@ def passages(rows: DataFrame) -> DataFrame:
                     held.clear()
         yield found()
 
-    cut = rows.select("text", "label", "apart").mapInPandas(run, "passage string, flags int")
+    cut = rows.select("text", "label", "apart").mapInPandas(returning_memory(run), "passage string, flags int")
     return cut.groupBy("passage").agg(F.bit_or("flags").alias("flags"))
 
 
@@ -142,7 +142,7 @@ def count_words(passages: DataFrame) -> DataFrame:
         yield counted()
 
     schema = "word string, " + ", ".join(f"{c} long" for c in COUNTS)
-    return passages.mapInPandas(run, schema).groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return passages.mapInPandas(returning_memory(run), schema).groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def spellings(words: DataFrame) -> DataFrame:
@@ -278,7 +278,7 @@ def with_score(docs: DataFrame, model: KneserNey, name: str, text: bool = True)
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, scores], names=[*[f.name for f in kept], name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(returning_memory(run), schema)
 
 
 def probability(model: KneserNey, per_word: Column) -> Column:
