@@ -164,6 +164,13 @@ def signal_scope(spark, sf_dir):
     return chain.group("environment").agg(F.count("*").alias("n")).dataframe()
 
 
+@query(f"{E} SELECT level, count(*) AS n FROM log_events WHERE environment = 'tenant-5' AND {span('2024-01-24', '2024-01-31')} GROUP BY level")
+def tenant_events(spark, sf_dir):
+    """The last week of one tenant."""
+    chain = EventQuery.on(log_events(spark, sf_dir), NOW).between("7d").tenant("tenant-5").group("level")
+    return chain.agg(F.count("*").alias("n")).result()
+
+
 @query(
     f"""{S}, {E[5:]} SELECT environment, count(*) AS n FROM log_events
     WHERE environment = 'tenant-2' GROUP BY environment"""
@@ -459,7 +466,9 @@ def error_codes(spark, sf_dir):
     f"""{E} SELECT kind, identifier, count(*) AS n FROM (
       SELECT 'request' AS kind, 'r-' || user_id AS identifier FROM log_events
       UNION ALL SELECT 'workspace', lpad(CAST(k AS VARCHAR), 8, '0') FROM log_events WHERE level = 'Error'
-      UNION ALL SELECT 'source_line', 'Handler' || (k % 6) || '.cs:' || k FROM log_events WHERE exception IS NOT NULL)
+      UNION ALL SELECT 'source_line', 'Handler' || (k % 6) || '.cs:' || k FROM log_events WHERE exception IS NOT NULL
+      UNION ALL SELECT 'transaction', CAST(event_id % 50 AS VARCHAR) FROM log_events WHERE level = 'Fatal'
+      UNION ALL SELECT 'function', 'sync-' || (k % 9) FROM log_events WHERE level = 'Warning')
     GROUP BY kind, identifier"""
 )
 def identifier_report(spark, sf_dir):
@@ -470,6 +479,8 @@ def identifier_report(spark, sf_dir):
         F.concat(F.lit("RequestId: r-"), F.col("user_id").cast("string")),
         F.when(F.col("level") == "Error", F.concat(F.lit("(WorkspaceId="), F.lpad(k, 8, "0"), F.lit(")"))),
         F.when(F.col("exception").isNotNull(), F.concat(F.lit("at Handler"), (F.col("k") % 6).cast("string"), F.lit(".cs:"), k)),
+        F.when(F.col("level") == "Fatal", F.concat(F.lit("transaction_id="), (F.col("event_id") % 50).cast("string"))),
+        F.when(F.col("level") == "Warning", F.concat(F.lit("Lambda: sync-"), (F.col("k") % 9).cast("string"))),
     )
     return identifiers(log_events(spark, sf_dir).select(text.alias("text")), "text")
 
