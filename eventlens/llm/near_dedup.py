@@ -73,7 +73,8 @@ def shingles(text: str | None, hashes_of: WordHashes, size: int = SHINGLE) -> np
     hashes = hashes_of.of(words)
     if len(words) < size:
         # Marked by their number of words, so that they differ from longer shingles.
-        return mix(window_hashes(hashes, len(words), _FACTORS) + np.uint64(len(words)) * _FACTORS[-1])
+        mark = np.uint64(len(words) * int(_FACTORS[-1]) % 2**64)
+        return mix(window_hashes(hashes, len(words), _FACTORS) + mark)
     return np.unique(window_hashes(hashes, size, _FACTORS))
 
 

@@ -34,7 +34,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # Marks at the end of a unit, after a letter or digit, are a token of their own:
 # the unit has the ids of what comes before and then those of the marks.
-_MARKS = re.compile(rb"(.*[a-z0-9])([.,;:!?]+)\Z", re.DOTALL)
+_MARKS = re.compile(rb"([.,;:!?])(?<=[a-z0-9].)([.,;:!?]*)(?=\s|\Z)", re.DOTALL)
 
 
 # Lower-case Latin letters, as UTF-8: the tokeniser never cuts between them.
@@ -57,7 +57,7 @@ class UnitIds:
 
     LIMIT = 1_000_000
     CHUNK_BYTES = 1 << 20
-    TOGETHER = 1_000  # stems of letters encoded in one call
+    TOGETHER = 1_000  # units of letters encoded in one call
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
@@ -70,42 +70,32 @@ class UnitIds:
         missing = units.difference(self.known)  # looks up the units, not all that is known
         if len(self.known) + len(missing) > self.LIMIT:
             self.known.clear()
-            missing = units
-        parts = {unit: self._parts(unit) for unit in missing}
-        stems = {part for some in parts.values() for part in some}.difference(self.known)
-        plain = [s for s in stems if _LETTERS.fullmatch(s)]
+            missing = set(units)
+        plain = list(filter(_LETTERS.fullmatch, missing))
         for at in range(0, len(plain), self.TOGETHER):
-            stems.difference_update(self._learn_together(plain[at : at + self.TOGETHER]))
-        others = list(stems)
-        encoded = self.tokenizer.encode_batch_fast([s.decode("utf-8") for s in others], add_special_tokens=False)
-        for stem, encoding in zip(others, encoded, strict=True):
-            self.known[stem] = np.asarray(encoding.ids, dtype="<u4").tobytes()
-        for unit, some in parts.items():
-            if len(some) > 1:
-                self.known[unit] = b"".join(map(self.known.__getitem__, some))
-
-    def _learn_together(self, stems: list[bytes]) -> list[bytes]:
-        """Learn stems of letters in one call; those it could not tell apart, all or none, are left out.
+            missing.difference_update(self._learn_together(plain[at : at + self.TOGETHER]))
+        others = list(missing)
+        encoded = self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in others], add_special_tokens=False)
+        for unit, encoding in zip(others, encoded, strict=True):
+            self.known[unit] = np.asarray(encoding.ids, dtype="<u4").tobytes()
+
+    def _learn_together(self, units: list[bytes]) -> list[bytes]:
+        """Learn units of letters in one call; those it could not tell apart, all or none, are left out.
 
         Each of them is one word, whose last id alone is that of a word's end.
         """
-        ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(stems).decode("utf-8")], add_special_tokens=False)[0].ids)
+        ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(units).decode("utf-8")], add_special_tokens=False)[0].ids)
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(stems) or ends[-1] != len(ids):
+        if len(ends) != len(units) or ends[-1] != len(ids):
             return []
         data, starts = ids.astype("<u4").tobytes(), [0, *ends[:-1].tolist()]
-        self.known.update((s, data[4 * a : 4 * b]) for s, a, b in zip(stems, starts, ends.tolist(), strict=True))
-        return stems
-
-    @staticmethod
-    def _parts(unit: bytes) -> tuple[bytes, ...]:
-        found = _MARKS.match(unit) if unit[-1] in b".,;:!?" else None
-        return found.groups() if found else (unit,)
+        self.known.update((s, data[4 * a : 4 * b]) for s, a, b in zip(units, starts, ends.tolist(), strict=True))
+        return units
 
     def of(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text.  Only units of about ``CHUNK_BYTES`` of text are looked up at a time."""
         for first, last in _chunks([len(t or "") for t in texts], self.CHUNK_BYTES):
-            units = [(t or "").encode("utf-8").lower().split() for t in texts[first:last]]
+            units = [_MARKS.sub(rb" \1\2", (t or "").encode("utf-8").lower()).split() for t in texts[first:last]]
             self._learn(set().union(*units))
             for one in units:
                 yield b"".join(map(self.known.__getitem__, one))
