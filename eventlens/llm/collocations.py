@@ -153,12 +153,18 @@ class Tally:
 
     def rows(self) -> pd.DataFrame:
         parts = [
-            pd.DataFrame({"lang": lang, "phrase": [p.decode("utf-8") for p in counts], "n": list(counts.values())})
+            counted([lang] * len(counts), [p.decode("utf-8") for p in counts], list(counts.values()))
             for lang, counts in self.counts.items()
             if counts
         ]
         self.counts = {}
-        return pd.concat(parts) if parts else pd.DataFrame({"lang": [], "phrase": [], "n": []})
+        return pd.concat(parts) if parts else counted([], [], [])
+
+
+def counted(langs: list[str], phrases: list[str | None], n: list[int]) -> pd.DataFrame:
+    """A frame whose columns have their types even without rows."""
+    texts = {"lang": np.array(langs, dtype=object), "phrase": np.array(phrases, dtype=object)}
+    return pd.DataFrame(texts | {"n": np.array(n, dtype=np.int64)})
 
 
 def word_counts(texts: DataFrame, least: int) -> DataFrame:
@@ -173,10 +179,10 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
             if tally.full():
                 yield tally.rows()
         yield tally.rows()
-        yield pd.DataFrame({"lang": list(totals), "phrase": [None] * len(totals), "n": list(totals.values())})
+        yield counted(list(totals), [None] * len(totals), list(totals.values()))
 
-    counted = texts.mapInPandas(run, "lang string, phrase string, n long").groupBy("lang", "phrase")
-    summed = counted.agg(F.sum("n").alias("n"))
+    parts = texts.mapInPandas(run, "lang string, phrase string, n long").groupBy("lang", "phrase")
+    summed = parts.agg(F.sum("n").alias("n"))
     return materialize(summed.where(F.col("phrase").isNull() | (F.col("n") >= least)))
 
 
@@ -206,7 +212,7 @@ def pair_filter(texts: DataFrame, words: Filter, least: int, width: int) -> Filt
     """Counts of pairs by hash; a bucket counts at least what each of its pairs does."""
     sent = texts.sparkSession.sparkContext.broadcast(words)
 
-    def counted(held: list[np.ndarray]) -> pd.DataFrame:
+    def buckets(held: list[np.ndarray]) -> pd.DataFrame:
         bucket, n = np.unique(np.concatenate(held), return_counts=True)
         return pd.DataFrame({"bucket": bucket.astype(np.int32), "n": n.astype(np.int64)})
 
@@ -218,10 +224,10 @@ def pair_filter(texts: DataFrame, words: Filter, least: int, width: int) -> Filt
             held.append((pairs >> np.uint64(64 - width)).astype(np.uint32))
             size += len(pairs)
             if size >= PAIRS_HELD:
-                yield counted(held)
+                yield buckets(held)
                 held, size = [], 0
         if held:
-            yield counted(held)
+            yield buckets(held)
 
     sums = texts.mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     return _bitmap(sums.where(F.col("n") >= least), width)
@@ -339,14 +345,10 @@ def _sort_group(group: pd.DataFrame, least: int) -> pd.DataFrame:
     keys[row, np.arange(len(flat)) - starts[row] + 1] = flat + 1
     weights = group["n"].to_numpy(dtype=np.int64)
     found = list(multikey_quicksort(keys, weights, least, int(group["depth"].iloc[0])))
-    return pd.DataFrame(
-        {
-            "lang": [langs[i] for i, _, _ in found],
-            "phrase": [" ".join(lists[i][:size]) for i, size, _ in found],
-            "size": np.array([size for _, size, _ in found], dtype=np.int32),
-            "a": np.array([weight for _, _, weight in found], dtype=np.int64),
-        }
-    )
+    phrases = [" ".join(lists[i][:size]) for i, size, _ in found]
+    result = counted([langs[i] for i, _, _ in found], phrases, [weight for _, _, weight in found]).rename(columns={"n": "a"})
+    result.insert(2, "size", np.array([size for _, size, _ in found], dtype=np.int32))
+    return result
 
 
 def phrase_counts(rows: DataFrame, least: int, limit: int = ROUTED_ROWS) -> DataFrame:
@@ -411,9 +413,9 @@ def collocations(
     never looked at.  Texts are read whole, a piece at a time at least.
     """
     texts = _texts(docs)
-    counted = word_counts(texts, least)
-    words = counted.where(F.col("phrase").isNotNull())
-    totals = counted.where(F.col("phrase").isNull()).select("lang", "n")
+    tallied = word_counts(texts, least)
+    words = tallied.where(F.col("phrase").isNotNull())
+    totals = tallied.where(F.col("phrase").isNull()).select("lang", "n")
     known = word_filter(words, width)
     likely = pair_filter(texts, known, least, width)
     phrases = phrase_counts(suffixes(texts, known, likely), least, limit)
