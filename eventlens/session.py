@@ -6,6 +6,9 @@ import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +55,17 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="eventlens-")
 
 
+# The part of the scratch folder that is used at the moment; the whole folder unless ``temporary_scratch`` says otherwise.
+_scope: ContextVar[str] = ContextVar("scratch_scope", default="")
+
+
 def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = _local_root()
-    return os.path.join(root, f"eventlens-{spark.sparkContext.applicationId}")
+    return os.path.join(root, f"eventlens-{spark.sparkContext.applicationId}", _scope.get())
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -76,6 +83,17 @@ def release_scratch(spark: SparkSession) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def temporary_scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end; for what a stream does with every micro-batch."""
+    token = _scope.set(os.path.join(_scope.get(), uuid.uuid4().hex))
+    try:
+        yield
+    finally:
+        release_scratch(spark)
+        _scope.reset(token)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 

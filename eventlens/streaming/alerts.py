@@ -129,57 +129,83 @@ def current_alerts(
     return redact(states, redactor, numeric=())
 
 
+# Ticks that are kept in one piece of state.
+BUCKET = 3_600
+
+
 class AlertRing(StatefulProcessor):
     """State of one rule: the counts of the ticks in its window, and how far it has been followed.
 
     A tick enters the window one tick later and leaves it after the window.  What
     happens up to the watermark is final; the next thing to happen is a timer, so
-    that an alert ends although no event arrives any more.
+    that an alert ends although no event arrives any more.  Ticks are kept in
+    buckets, so a micro-batch reads those at both ends of the window only.
     """
 
-    def __init__(self, rules: dict[str, tuple[int, int, int | None]], tick_ms: int) -> None:
-        self.rules, self.tick_ms = rules, tick_ms
+    def __init__(self, rules: dict[str, tuple[int, int, int | None]], tick_ms: int, bucket: int) -> None:
+        self.rules, self.tick_ms, self.bucket = rules, tick_ms, bucket
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ring = handle.getMapState("ring", "tick bigint", "n bigint")
-        self.place = handle.getValueState("place", "upto bigint, observed bigint, state string, timer bigint")
+        self.ring = handle.getMapState("ring", "bucket bigint", "ticks array<bigint>, counts array<bigint>")
+        self.place = handle.getValueState(
+            "place", "upto bigint, observed bigint, state string, timer bigint, buckets array<bigint>"
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         added: Counter = Counter()
         for frame in rows:
             for tick, n in zip(frame["number"].tolist(), frame["n"].tolist(), strict=True):
                 added[tick] += n
-        for tick, n in added.items():
-            known = self.ring.getValue((tick,)) if self.ring.containsKey((tick,)) else (0,)
-            self.ring.updateValue((tick,), (known[0] + n,))
-        yield self._follow(key[0], timerValues.getCurrentWatermarkInMs())
+        yield self._follow(key[0], timerValues.getCurrentWatermarkInMs(), added)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._follow(key[0], timerValues.getCurrentWatermarkInMs())
+        yield self._follow(key[0], timerValues.getCurrentWatermarkInMs(), Counter())
 
-    def _follow(self, rule: str, watermark_ms: int) -> pd.DataFrame:
+    def _stored(self, bucket: int) -> dict[int, int]:
+        if not self.ring.containsKey((bucket,)):
+            return {}
+        ticks, counts = self.ring.getValue((bucket,))
+        return dict(zip(map(int, ticks), map(int, counts), strict=True))
+
+    def _add(self, added: Counter, buckets: set[int]) -> None:
+        pieces: dict[int, Counter] = defaultdict(Counter)
+        for tick, n in added.items():
+            pieces[tick // self.bucket][tick] = n
+        for bucket, some in pieces.items():
+            ticks = sorted((some + Counter(self._stored(bucket))).items())
+            self.ring.updateValue((bucket,), ([t for t, _ in ticks], [n for _, n in ticks]))
+            buckets.add(bucket)
+
+    def _between(self, first: int, last: int, buckets: set[int]) -> dict[int, int]:
+        """The counts of the ticks from ``first`` to ``last``."""
+        touched = [b for b in buckets if first // self.bucket <= b <= last // self.bucket]
+        return {t: n for b in touched for t, n in self._stored(b).items() if first <= t <= last}
+
+    def _first_from(self, tick: int, buckets: set[int]) -> int | None:
+        for bucket in sorted(b for b in buckets if b >= tick // self.bucket):
+            later = [t for t in self._stored(bucket) if t >= tick]
+            if later:
+                return min(later)
+        return None
+
+    def _follow(self, rule: str, watermark_ms: int, added: Counter) -> pd.DataFrame:
         window, threshold, until = self.rules[rule]
         now = watermark_ms // self.tick_ms
         if self.place.exists():
-            upto, observed, state, timer = self.place.get()
+            upto, observed, state, timer, known = self.place.get()
         else:
-            upto, observed, state, timer = 0, 0, "ok" if until is None else "suppressed", 0
+            upto, observed, state, timer, known = 0, 0, "ok" if until is None else "suppressed", 0, []
+        buckets = set(map(int, known))
+        self._add(added, buckets)
         changes: dict[int, int] = defaultdict(int)
-        left, ahead = [], []
-        for (tick,), (n,) in self.ring.iterator():
-            for at, change in ((tick + 1, n), (tick + window + 1, -n)):
-                if upto < at <= now:
-                    changes[at] += change
-                elif at > now:
-                    ahead.append(at)
-            if tick + window + 1 <= now:
-                left.append(tick)
-        if until is not None and until > upto:
-            if until <= now:
+        if now > upto:
+            for tick, n in self._between(upto, now - 1, buckets).items():
+                changes[tick + 1] += n
+            for tick, n in self._between(upto - window, now - window - 1, buckets).items():
+                changes[tick + window + 1] -= n
+            if until is not None and upto < until <= now:
                 changes[until] += 0
-            else:
-                ahead.append(until)
         found = []
         for at in sorted(changes):
             observed += changes[at]
@@ -187,14 +213,20 @@ class AlertRing(StatefulProcessor):
             if after != state:
                 state = after
                 found.append((rule, at * self.tick_ms, state, observed, threshold))
-        for tick in left:
-            self.ring.removeKey((tick,))
+        upto = max(upto, now)
+        for bucket in [b for b in buckets if (b + 1) * self.bucket <= upto - window]:
+            self.ring.removeKey((bucket,))
+            buckets.remove(bucket)
+        entering, leaving = self._first_from(upto, buckets), self._first_from(upto - window, buckets)
+        ahead = [entering + 1] if entering is not None else []
+        ahead += [leaving + window + 1] if leaving is not None else []
+        ahead += [until] if until is not None and until > upto else []
         if timer > now:
             self.handle.deleteTimer(timer * self.tick_ms)
         timer = min(ahead, default=0)
         if timer:
             self.handle.registerTimer(timer * self.tick_ms)
-        self.place.update((max(upto, now), observed, state, timer))
+        self.place.update((upto, observed, state, timer, sorted(buckets)))
         return pd.DataFrame(found, columns=["rule_id", "at_ms", "state", "observed", "threshold"])
 
 
@@ -233,7 +265,7 @@ def live_transitions(stream: DataFrame, rules: DataFrame, tick: str = "1s", wate
     micros = F.col("number") * (length // MICROSECOND)
     timed = with_watermark(counted.withColumn("ts", F.timestamp_micros(micros)), watermark)
     followed = timed.groupBy("rule_id").transformWithStateInPandas(
-        AlertRing(known, length // MILLISECOND),
+        AlertRing(known, length // MILLISECOND, BUCKET),
         "rule_id string, at_ms long, state string, observed long, threshold long",
         "Append",
         "EventTime",

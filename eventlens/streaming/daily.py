@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Rows of a merged file, about.
+MERGED_ROWS = 2_000_000
+
+
 class DailyTable:
     def __init__(self, spark: SparkSession, path: str, at: str, keys: Sequence[str]) -> None:
         """``at`` is the timestamp whose UTC day a row belongs to; ``keys`` tell rows apart and include it."""
@@ -80,7 +84,8 @@ class DailyTable:
         """Write the latest versions of a day's rows in one place and delete what they replace."""
         if version not in self.versions("merged", day):
             latest = self.read(schema, day, day)
-            latest.coalesce(1).write.mode("overwrite").parquet(self._folder("merged", day, version))
+            files = 1 + latest.count() // MERGED_ROWS
+            latest.repartition(files, *self.keys).write.mode("overwrite").parquet(self._folder("merged", day, version))
         for kind, below in (("recent", version + 1), ("merged", version)):
             for old in self.versions(kind, day):
                 if old < below:

@@ -14,7 +14,7 @@ from eventlens.functions.pii import Redactor
 from eventlens.functions.timerange import interval, slice_length
 from eventlens.operators.aggregates import percentiles
 from eventlens.operators.redact import redact
-from eventlens.session import materialize
+from eventlens.session import materialize, temporary_scratch
 from eventlens.streaming.daily import DailyTable
 
 
@@ -99,11 +99,12 @@ def live_percentiles(
     group = ["slice_start", "slice_end", *by]
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        # The rank selection reads the counts several times; the stream must run once.
-        closed = materialize(batch)
-        if not closed.isEmpty():
-            found = percentiles(closed, group, "_value", points, [F.sum("n").alias("n")], weight="n")
-            _closed(batch.sparkSession, path, group).save(found, batch_id)
+        with temporary_scratch(batch.sparkSession):
+            # The rank selection reads the counts several times; the stream must run once.
+            closed = materialize(batch)
+            if not closed.isEmpty():
+                found = percentiles(closed, group, "_value", points, [F.sum("n").alias("n")], weight="n")
+                _closed(batch.sparkSession, path, group).save(found, batch_id)
 
     return (
         counted.writeStream.outputMode("append")

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from eventlens.operators.aggregates import by_slice
 from eventlens.operators.alerts import alert_state
 from eventlens.operators.redact import redact
+from eventlens.session import scratch_dir
 from eventlens.sources.tables import stream_events
+from eventlens.streaming import alerts
 from eventlens.streaming.alerts import current_alerts, live_alerts, live_transitions
 from eventlens.streaming.daily import DailyTable
 from eventlens.streaming.live import (
@@ -199,12 +201,13 @@ def steps(rows, window, threshold, until, upto):
     return found
 
 
-def test_transitions(spark, feed):
+def test_transitions(spark, feed, monkeypatch):
     """Events out of order, over several runs, against a look at every second."""
     rules = spark.createDataFrame(
         [("a", "level = 'Error'", "5m", 4, None), ("b", "level = 'Error'", "1m", 2, START + timedelta(minutes=9)), ("c", "level = 'x'", "1m", 1, None)],
         ALERT_SCHEMA,
     )
+    monkeypatch.setattr(alerts, "BUCKET", 100)
     rng = random.Random(6)
     seconds = [int(rng.random() * 3000) for _ in range(120)]
     for i in range(3):
@@ -237,11 +240,16 @@ def test_exact_percentiles_of_a_stream(spark, feed, tmp_path):
     rows += [event(1000 + i, 7, "a", None) for i in range(5)] + [event(2000, 500, "a", "1")]
     rows.sort(key=lambda r: r[1])
     path, points = str(tmp_path / "p"), {"p0": 0, "p50": 50, "p95": 95}
+    root = os.path.dirname(scratch_dir(spark))
+    scratch = lambda: os.listdir(root) if os.path.exists(root) else []
+    before = set(scratch())
     for part in (rows[:200], rows[200:]):
         feed.deliver(part)
         live_percentiles(
             feed.stream(), "1h", "10m", "message", points, path, str(tmp_path / "cp"), ["level"], slide="30m"
         ).awaitTermination()
+    # Nothing that a micro-batch has kept for itself stays behind.
+    assert set(scratch()) <= before
     found = closed_slices(spark, path, list(points), {"level": "string"}).collect()
     groups = {}
     for _, at, level, value in rows[:-1]:
