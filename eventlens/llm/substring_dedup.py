@@ -13,7 +13,9 @@ task before the shuffle, and looking the counts up is an equi-join, so a passage
 that many documents share is no hot spot.  Documents with equal words are one
 document to the levels: all but the smallest are removed whole.
 
-Windows are compared by 64-bit hashes of their words.
+The levels below compare windows by 64-bit hashes, which can only let too much
+through.  Full windows are compared by 128 bits, two hashes with factors of their
+own, so among 10^13 windows no two unequal ones are expected to meet.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ REACH = WINDOW - QUARTER + 1  # starts of short windows inside a full one
 NO_ID = -(2**63)
 
 _FACTORS = multipliers(64, seed=3)
+_CHECK_FACTORS = multipliers(64, seed=33)
 
 
 def own_anchors(short: np.ndarray) -> np.ndarray:
@@ -71,12 +74,12 @@ def extensions(hashes: np.ndarray, survivors: np.ndarray) -> np.ndarray:
     return np.unique(window_hashes(hashes, HALF, _FACTORS)[at[at >= 0]]) if len(at) else np.empty(0, dtype=np.uint64)
 
 
-def candidates(hashes: np.ndarray, survivors: np.ndarray, longer: np.ndarray) -> np.ndarray:
-    """Hashes of the full windows whose anchor, and its extensions inside the window, occur elsewhere."""
+def candidates(hashes: np.ndarray, survivors: np.ndarray, longer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of the full windows whose anchor, and its extensions inside the window, occur elsewhere."""
     short = window_hashes(hashes, QUARTER, _FACTORS)
     own = own_anchors(short)
     if not len(own):
-        return np.empty(0, dtype=np.uint64)
+        return own.astype(np.uint64), own.astype(np.uint64)
     starts, at = np.unique(own, return_inverse=True)
     alive = np.isin(short[starts], survivors)
     half = window_hashes(hashes, HALF, _FACTORS)
@@ -87,7 +90,10 @@ def candidates(hashes: np.ndarray, survivors: np.ndarray, longer: np.ndarray) ->
     open_ = alive[at]
     open_ &= right_alive[at] | (inside > WINDOW - HALF)
     open_ &= left_alive[at] | (inside < HALF - QUARTER)
-    return np.unique(window_hashes(hashes, WINDOW, _FACTORS)[open_]) if open_.any() else np.empty(0, dtype=np.uint64)
+    if not open_.any():
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)
+    found, first = np.unique(window_hashes(hashes, WINDOW, _FACTORS)[open_], return_index=True)
+    return found, window_hashes(hashes, WINDOW, _CHECK_FACTORS)[open_][first]
 
 
 def _id(doc_id: Column) -> Column:
@@ -115,16 +121,20 @@ def _scan(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "doc long, digest binary, hashes array<long>")
 
 
-def _elsewhere(found: DataFrame, only_larger: bool = False) -> DataFrame:
-    """Per document, the hashes that other documents have too; with ``only_larger``, that smaller ones have.
-
-    ``found`` has doc and ``hashes``, each hash once.
-    """
+def _elsewhere(found: DataFrame) -> DataFrame:
+    """Per document, the hashes that other documents have too.  ``found`` has doc and ``hashes``, each hash once."""
     entries = found.select("doc", F.explode("hashes").alias("hash"))
     spans = entries.groupBy("hash").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    shared = entries.join(spans, "hash")
-    if only_larger:
-        shared = shared.where("doc > low")
+    return entries.join(spans, "hash").groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
+
+
+def _in_smaller(found: DataFrame) -> DataFrame:
+    """Per document, the hashes of its full windows that smaller documents have too, by both hashes."""
+    entries = found.select("doc", F.inline(F.arrays_zip("hashes", "checks"))).withColumnsRenamed(
+        {"hashes": "hash", "checks": "check"}
+    )
+    spans = entries.groupBy("hash", "check").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    shared = entries.join(spans, ["hash", "check"]).where("doc > low")
     return shared.groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
 
 
@@ -133,8 +143,10 @@ def _beside(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:
     return docs.withColumn("doc", _id(F.col("doc_id"))).join(side.hint("shuffle_hash"), "doc", how)
 
 
-def _per_document(rows: DataFrame, columns: list[str], of: Callable[..., np.ndarray]) -> DataFrame:
-    """doc and ``hashes``: what ``of`` makes of the word hashes and the ``columns`` of each row."""
+def _per_document(
+    rows: DataFrame, columns: list[str], of: Callable[..., tuple[np.ndarray, ...]], names: tuple[str, ...] = ("hashes",)
+) -> DataFrame:
+    """doc and ``names``: what ``of`` makes of the word hashes and the ``columns`` of each row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes_of = WordHashes()
@@ -143,12 +155,13 @@ def _per_document(rows: DataFrame, columns: list[str], of: Callable[..., np.ndar
             made = []
             for text, *known in zip(batch["text"], *(batch[c] for c in columns), strict=True):
                 arrays = [np.asarray(k, dtype=np.int64).view(np.uint64) for k in known]
-                made.append(of(hashes_of.of(words_of(text)), *arrays).view(np.int64))
-            return batch[["doc"]].assign(hashes=made)
+                made.append(of(hashes_of.of(words_of(text)), *arrays))
+            return batch[["doc"]].assign(**{n: [m[i].view(np.int64) for m in made] for i, n in enumerate(names)})
 
         yield from frames(batches, build)
 
-    return rows.select("doc", "text", *columns).mapInPandas(run, "doc long, hashes array<long>")
+    schema = "doc long, " + ", ".join(f"{n} array<long>" for n in names)
+    return rows.select("doc", "text", *columns).mapInPandas(run, schema)
 
 
 def repeated_windows(docs: DataFrame, scanned: DataFrame) -> DataFrame:
@@ -160,14 +173,15 @@ def repeated_windows(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     if short.isEmpty():
         return short
     rows = _beside(docs, short.withColumnRenamed("hashes", "short"), "inner")
-    longer = materialize(_elsewhere(_per_document(rows, ["short"], extensions)))
+    longer = materialize(_elsewhere(_per_document(rows, ["short"], lambda *known: (extensions(*known),))))
     if longer.isEmpty():
         return longer
     both = materialize(
         short.withColumnRenamed("hashes", "short").join(longer.withColumnRenamed("hashes", "longer"), "doc")
     )
     rows = _beside(docs, both, "inner")
-    return materialize(_elsewhere(_per_document(rows, ["short", "longer"], candidates), only_larger=True))
+    full = _per_document(rows, ["short", "longer"], candidates, ("hashes", "checks"))
+    return materialize(_in_smaller(full))
 
 
 REMOVED = "doc_id long, n_words long, n_removed long, kept_sha256 string"

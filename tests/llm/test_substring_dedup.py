@@ -7,7 +7,9 @@ import re
 import numpy as np
 
 import __spark_entry__ as contract
-from eventlens.llm.substring_dedup import REACH, WINDOW, anchors, remove_repeats
+from eventlens.llm import substring_dedup
+from eventlens.llm.common import window_hashes
+from eventlens.llm.substring_dedup import REACH, WINDOW, _in_smaller, anchors, remove_repeats
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,3 +90,12 @@ def test_every_window_has_an_anchor():
     for first in range(len(hashes) - WINDOW + 1):
         assert ((starts >= first) & (starts < first + REACH)).any()
     assert len(starts) < 3 * len(hashes) / REACH
+
+
+def test_windows_are_told_apart_by_both_hashes(spark):
+    rows = [(1, [7, 8], [70, 80]), (2, [7, 8], [71, 80]), (3, [7], [71])]
+    found = _in_smaller(spark.createDataFrame(rows, "doc long, hashes array<long>, checks array<long>")).collect()
+    assert {(r["doc"], tuple(r["hashes"])) for r in found} == {(2, (8,)), (3, (7,))}
+    words = np.arange(1, 200, dtype=np.uint64)
+    found, checks = (window_hashes(words, WINDOW, f) for f in (substring_dedup._FACTORS, substring_dedup._CHECK_FACTORS))
+    assert len(found) == 150 and not np.isin(found, checks).any()
