@@ -59,7 +59,7 @@ def alert_state(df: DataFrame, rules: DataFrame, now: str | datetime, redactor:
         states = reduce(DataFrame.unionByName, [_state(df, rules, group, now) for group in groups])
     else:
         states = _state(df, rules, loaded, now)
-    return redact(states, redactor, numeric=())
+    return redact(states, redactor, exclude=("state",), numeric=())
 
 
 def _state(df: DataFrame, rules: DataFrame, loaded: list[Rule], now: str | datetime) -> DataFrame:

@@ -126,7 +126,7 @@ def current_alerts(
         "threshold",
         as_of.alias("as_of"),
     )
-    return redact(states, redactor, numeric=())
+    return redact(states, redactor, exclude=("state",), numeric=())
 
 
 # Ticks that are kept in one piece of state.
