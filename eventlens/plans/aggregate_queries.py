@@ -240,9 +240,10 @@ def affected_users(spark, sf_dir):
 
 
 @query(
-    f"""{E} SELECT days, environment, true AS close FROM (SELECT DISTINCT environment FROM log_events)
+    f"""{E} SELECT days, o.environment, true AS close FROM (SELECT DISTINCT environment FROM log_events) o
     CROSS JOIN (VALUES (7), (14), (30)) t(days)
-    WHERE (SELECT count(*) FROM log_events e WHERE e.environment = environment AND ts >= TIMESTAMP '2024-01-24') > 0"""
+    WHERE EXISTS (SELECT 1 FROM log_events e WHERE e.environment = o.environment
+      AND e.ts >= TIMESTAMP '2024-01-31' - to_days(days) AND e.ts < TIMESTAMP '2024-01-31')"""
 )
 def users_of_any_range(spark, sf_dir):
     """Distinct users per tenant over several ranges from one stored table of sketches, against exact counts."""
