@@ -22,34 +22,35 @@ from eventlens.llm.common import unused_name
 from eventlens.session import materialize
 
 BLOCK_BYTES = 512
-KEY = ["doc_id", "sha"]
+KEY = ["doc_id", "tag"]
 
 
 def _address(position: Column) -> Column:
     """An integer for a place: the document in the high digits, the position in the low ones."""
     document = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit("-9223372036854775809").cast("decimal(38,0)"))
     # A text has fewer than 2 ** 23 blocks; the other bits tell texts of one doc_id apart.
-    tag = F.xxhash64("sha").bitwiseAND(F.lit(2**38 - 1))
+    tag = F.col("tag").bitwiseAND(F.lit(2**38 - 1))
     low = F.shiftleft(tag, 23).bitwiseOR(position.cast("long"))
     scale = F.lit(str(2**61)).cast("decimal(38,0)")
     return (document * scale + low.cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """A row per block; an empty or NULL text is one empty block."""
+    """A row per block, the first with the text's SHA-256; an empty or NULL text is one empty block."""
     data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), data.alias("data"))
-    rows = rows.withColumn("sha", F.unhex(F.sha2("data", 256)))
+    rows = rows.withColumn("sha", F.unhex(F.sha2("data", 256))).withColumn("tag", F.xxhash64("sha"))
     starts = F.sequence(F.lit(1), F.greatest(F.length("data"), F.lit(1)), F.lit(BLOCK_BYTES))
     pieces = F.transform(starts, lambda s: F.substring(F.col("data"), s, F.lit(BLOCK_BYTES)))
-    return rows.select("doc_id", "sha", F.posexplode(pieces).alias("position", "block"))
+    placed = rows.select(*KEY, "sha", F.posexplode(pieces).alias("position", "block"))
+    return placed.withColumn("sha", F.when(F.col("position") == 0, F.col("sha")))
 
 
 def _named(places: DataFrame, content: list[str]) -> DataFrame:
     """Per document, the names of its places in order, and how often the row occurs.
 
     ``places`` has the document's key, ``position`` and the ``content`` columns;
-    ``copies`` counts identical rows of the input.
+    ``copies`` counts identical rows of the input, ``sha`` is in the first place only.
     """
     names = places.groupBy(*content).agg(F.min(_address(F.col("position"))).alias("name"))
     looked_up = places.join(names, content)
@@ -58,8 +59,9 @@ def _named(places: DataFrame, content: list[str]) -> DataFrame:
         .agg(
             F.array_sort(F.collect_set(F.struct("position", "name"))).alias("found"),
             F.sum(F.when(F.col("position") == 0, F.col("copies"))).alias("copies"),
+            F.max("sha").alias("sha"),
         )
-        .select(*KEY, "copies", F.transform("found", lambda x: x["name"]).alias("names"))
+        .select(*KEY, "sha", "copies", F.transform("found", lambda x: x["name"]).alias("names"))
     )
 
 
@@ -74,19 +76,20 @@ def _pairs(level: DataFrame) -> DataFrame:
             F.coalesce(F.try_element_at(F.col("names"), i + 1), alone).alias("right"),
         ),
     )
-    rows = level.select(*KEY, "copies", F.posexplode(pairs).alias("position", "pair"))
-    return rows.select(*KEY, "copies", "position", "pair.left", "pair.right")
+    rows = level.select(*KEY, "sha", "copies", F.posexplode(pairs).alias("position", "pair"))
+    first = F.when(F.col("position") == 0, F.col("sha")).alias("sha")
+    return rows.select(*KEY, first, "copies", "position", "pair.left", "pair.right")
 
 
 def identities(docs: DataFrame) -> DataFrame:
-    """One row per distinct (doc_id, text): its key, ``copies``, and the identity ``(level, name)``."""
+    """One row per distinct (doc_id, text): its key, ``sha``, ``copies``, and the identity ``(level, name)``."""
     blocks = _blocks(docs).withColumn("copies", F.lit(1).cast("long"))
     level, depth = materialize(_named(blocks, ["block"])), 0
     done = []
     while True:
         ready = F.size("names") == 1
         done.append(
-            level.where(ready).select(*KEY, "copies", F.lit(depth).alias("level"), F.element_at("names", 1).alias("name"))
+            level.where(ready).select(*KEY, "sha", "copies", F.lit(depth).alias("level"), F.element_at("names", 1).alias("name"))
         )
         rest = level.where(~ready)
         if rest.isEmpty():
