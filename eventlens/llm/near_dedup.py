@@ -36,6 +36,7 @@ from eventlens.llm.common import (
     in_order,
     mix,
     multipliers,
+    returning_memory,
     text_tag,
     unused_name,
     window_hashes,
@@ -140,7 +141,7 @@ def describe(docs: DataFrame) -> DataFrame:
         yield from frames(batches, build)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag(F.col("text")).alias("tag"), "text")
-    return rows.mapInPandas(run, DESCRIBED)
+    return rows.mapInPandas(returning_memory(run), DESCRIBED)
 
 
 def digest_of(found: np.ndarray) -> bytes:
@@ -167,7 +168,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
                 sets = [f.view(np.int64) for f, is_same in zip(found, same, strict=True) if is_same]
                 yield pd.DataFrame({"node": batch["node"].to_numpy()[same], "shingles": sets})
 
-    sets = rows.mapInPandas(run, "node long, shingles array<long>")
+    sets = rows.mapInPandas(returning_memory(run), "node long, shingles array<long>")
     return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlens.llm.common import returning_memory
 from eventlens.session import materialize
 
 CAPACITY = 2048
@@ -55,7 +56,7 @@ def _tokenizer(path: str):
 class UnitIds:
     """Ids of units of text, as little-endian 32-bit integers, remembered up to ``LIMIT`` units."""
 
-    LIMIT = 1_000_000
+    LIMIT = 400_000
     CHUNK_BYTES = 1 << 20
     TOGETHER = 1_000  # units of letters encoded in one call
 
@@ -150,7 +151,7 @@ def tokenise(
             yield result if with_ids else result.drop(columns="ids")
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInPandas(run, PIECES + (", ids binary" if with_ids else ""))
+    return source.mapInPandas(returning_memory(run), PIECES + (", ids binary" if with_ids else ""))
 
 
 class Plan:
