@@ -11,7 +11,7 @@ from eventlens.plans.change_queries import rule_sql
 from eventlens.plans.dataset import log_columns, rules, table, with_tables
 from eventlens.plans.redaction_queries import MAIL_SQL, mail, mark_sql
 from eventlens.plans.registry import naive, query, rounded
-from eventlens.session import scratch_dir
+from eventlens.session import scratch_dir, state_on_disk
 from eventlens.sources.tables import stream_events
 from eventlens.streaming.alerts import current_alerts, live_alerts, live_transitions
 from eventlens.streaming.live import (
@@ -176,5 +176,6 @@ def stream_transitions(spark, sf_dir):
     known = spark.createDataFrame(
         WATCHED, "rule_id string, predicate string, window string, threshold bigint, suppress_until string"
     ).withColumn("suppress_until", F.col("suppress_until").cast("timestamp_ntz"))
-    found = drained(spark, live_transitions(live_events(spark, sf_dir), known))
+    with state_on_disk(spark):
+        found = drained(spark, live_transitions(live_events(spark, sf_dir), known))
     return found.select("rule_id", naive("since"), "state", "observed", "threshold")

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 # Shuffled data per partition.  AQE merges small partitions but never splits those of an aggregate or of a stream's state.
 PARTITION_MB = 200
 
+# Streaming state on disk, outside the heap.
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings that hold on a laptop and on a cluster alike.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,10 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # Streaming state lives on disk, outside the heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_PROVIDER: STATE_ON_DISK,
 }
 
 
@@ -94,6 +95,21 @@ def temporary_scratch(spark: SparkSession) -> Iterator[None]:
         _scope.reset(token)
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, whatever the session is set to.
+
+    Spark's keyed state with timers has no other store.  A stream keeps the
+    settings it was started with, so the session gets its own back at the end.
+    """
+    before = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, STATE_ON_DISK)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 

@@ -239,7 +239,8 @@ def live_transitions(stream: DataFrame, rules: DataFrame, tick: str = "1s", wate
     is, and is followed from its first matching event.  Events are counted per
     tick before they are brought together by rule, so a rule that matches a third
     of the stream sends a few rows per task; its state is one count per tick of
-    its window that has events.
+    its window that has events.  Keyed state needs RocksDB: start the stream in a
+    session of ``build_session``, or inside ``state_on_disk``.
     """
     loaded, length = load_rules(rules), slice_length(tick)
     if length % MILLISECOND:

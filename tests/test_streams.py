@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from eventlens.operators.aggregates import by_slice
 from eventlens.operators.alerts import alert_state
 from eventlens.operators.redact import redact
-from eventlens.session import scratch_dir
+from eventlens.plans.stream_queries import stream_transitions
+from eventlens.session import STATE_PROVIDER, scratch_dir
 from eventlens.sources.tables import stream_events
 from eventlens.streaming import alerts
 from eventlens.streaming.alerts import current_alerts, live_alerts, live_transitions
@@ -234,6 +235,23 @@ def test_transitions_need_whole_ticks(spark, feed):
         live_transitions(feed.stream(), rules, tick="1m")
 
 
+def test_transitions_in_a_session_of_another_state_store(spark, tmp_path):
+    """The registered query in a session as Spark sets it up, which it leaves as it was."""
+    rows = [(i, START + timedelta(seconds=at), 1, "error", 1.0, '{"k": 95}') for i, at in enumerate([5, 5, 400, 90_000])]
+    raw = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    raw.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, plain)
+    try:
+        found = stream_transitions(spark, str(tmp_path)).filter("rule_id = 'fatal'").collect()
+        assert spark.conf.get(STATE_PROVIDER) == plain
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+    got = sorted(((r["since"] - START).total_seconds(), r["state"], r["observed"]) for r in found)
+    assert got == [(6, "firing", 2), (1301, "ok", 0)]
+
+
 def test_exact_percentiles_of_a_stream(spark, feed, tmp_path):
     rng = random.Random(2)
     rows = [event(i, rng.random() * 240, level=rng.choice("ab"), message=str(rng.randint(0, 40) / 4)) for i in range(600)]
