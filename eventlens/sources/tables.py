@@ -83,6 +83,8 @@ def map_events(raw: DataFrame, columns: dict[str, Column], schema: T.StructType
 # Aimed size of a stored file, and rows written to find out how wide a row is.
 FILE_BYTES = 256 << 20
 SAMPLE_ROWS = 20_000
+# Rows in memory that a task sorts for a file; stored, they may take a twentieth of that.
+SORT_BYTES = 256 << 20
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -97,26 +99,39 @@ def row_bytes(df: DataFrame, rows: int = SAMPLE_ROWS) -> float:
     return stored_bytes(df.sparkSession, sample.inputFiles()[0]) / n if n else 0.0
 
 
+def sorted_bytes(df: DataFrame) -> Column:
+    """What a row takes in a sort: eight bytes a column and some for the row, then its texts and nested values."""
+    width = F.lit(8 * (len(df.columns) + 4))
+    for field in df.schema.fields:
+        value = F.to_json(F.struct(field.name)) if _nested(field.dataType) else F.col(field.name)
+        if _nested(field.dataType) or isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+    return width.cast("long")
+
+
 def write_events(
     df: DataFrame, path: str, ts: str = "ts", mode: str = "append", files: int | None = None, file_bytes: int = FILE_BYTES
 ) -> None:
-    """Store events by day, in time order, in files of about ``file_bytes``.
+    """Store events by day, in time order, in files of about ``file_bytes``, or of what ``SORT_BYTES`` of rows take.
 
     Rows are range-partitioned by time, not hashed by day: a day that holds a
     third of all events is spread over as many files as its share, and the
     min/max statistics of each file cover a narrow stretch of time.  The number of
-    files follows from the rows and their width in a written sample, unless
-    ``files`` says it.  A bloom filter on the id lets a cursor lookup skip the row
-    groups without it.
+    files follows from the rows, their width in a written sample and their size
+    in memory, unless ``files`` says it: a task sorts a file's rows, so however
+    well they compress, it never holds more than ``SORT_BYTES`` or so.  A bloom
+    filter on the id lets a cursor lookup skip the row groups without it.
     """
     dated = df.withColumn("event_date", F.to_date(ts))
     if files is None:
-        files = max(1, math.ceil(df.count() * row_bytes(df) / file_bytes))
+        rows, size = dated.agg(F.count("*"), F.sum(sorted_bytes(dated))).first()
+        files = max(1, math.ceil(rows * row_bytes(df) / file_bytes), math.ceil((size or 0) / SORT_BYTES))
     _write_days(dated.repartitionByRange(files, ts), path, ts, mode)
 
 
-def _write_days(dated: DataFrame, path: str, ts: str, mode: str) -> None:
-    writer = dated.sortWithinPartitions(ts).write.mode(mode).partitionBy("event_date")
+def _write_days(dated: DataFrame, path: str, ts: str, mode: str, **options: str) -> None:
+    # In the order of the folders first, so that the writer has no need to sort the rows once more.
+    writer = dated.sortWithinPartitions("event_date", ts).write.mode(mode).partitionBy("event_date").options(**options)
     writer.option("parquet.bloom.filter.enabled#event_id", "true").parquet(path)
 
 
@@ -127,30 +142,37 @@ def compact_events(
 
     A stream or many small deliveries leave many small files.  A day is rewritten
     if it has ``least_files`` files or more and twice the number that files of
-    ``file_bytes`` would be.  The new files are written beside the table and swap
+    ``file_bytes``, or of ``SORT_BYTES`` of rows, would be.  The new files are written beside the table and swap
     in by day, so a run that is cut off leaves the old ones; readers that listed
     them before may have to start anew.
     """
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted: dict[str, int] = {}
+    found: dict[date, tuple[int, int]] = {}
     for day in store.listStatus(root):
         name = day.getPath().getName()
         if name.startswith("event_date="):
             sizes = [f.getLen() for f in store.listStatus(day.getPath()) if f.getPath().getName().endswith(".parquet")]
             needed = max(1, math.ceil(sum(sizes) / file_bytes))
             if len(sizes) >= least_files and len(sizes) >= 2 * needed:
-                wanted[name.removeprefix("event_date=")] = needed
+                found[date.fromisoformat(name.removeprefix("event_date="))] = len(sizes), needed
+    if not found:
+        return []
+    table = spark.read.parquet(path)
+    days = table.filter(F.col("event_date").isin(list(found)))
+    wanted: dict[date, int] = {}
+    for day, size in days.groupBy("event_date").agg(F.sum(sorted_bytes(days))).collect():
+        files, needed = found[day]
+        needed = max(needed, math.ceil(size / SORT_BYTES))
+        if files >= 2 * needed:
+            wanted[day] = needed
     if not wanted:
         return []
-    days = spark.read.parquet(path).filter(F.col("event_date").isin([date.fromisoformat(d) for d in wanted]))
-    aside = scratch_dir(spark)
-    _write_days(days.repartitionByRange(sum(wanted.values()), ts), aside, ts, "overwrite")
+    aside = materialize(table.filter(F.col("event_date").isin(list(wanted))))
     # The rewritten rows replace exactly the partitions they came from.
-    again = spark.read.parquet(aside)
-    writer = again.sortWithinPartitions(ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("parquet.bloom.filter.enabled#event_id", "true").partitionBy("event_date").parquet(path)
-    return sorted(wanted)
+    ranges = aside.repartitionByRange(sum(wanted.values()), ts)
+    _write_days(ranges, path, ts, "overwrite", partitionOverwriteMode="dynamic")
+    return sorted(map(str, wanted))
 
 
 def to_json_rows(df: DataFrame, column: str = "json") -> DataFrame:

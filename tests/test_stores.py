@@ -12,6 +12,7 @@ from eventlens.functions.timerange import TimeWindow, instant
 from eventlens.operators.aggregates import distinct_over, distinct_sketches
 from eventlens.operators.changes import new_exception_types, new_exception_types_kept, roll_up_exceptions
 from eventlens.operators.paging import budget
+from eventlens.sources import tables
 from eventlens.sources.tables import compact_events, row_bytes, write_events
 
 START = datetime(2024, 1, 1)
@@ -47,6 +48,28 @@ def test_a_skewed_day_has_files_in_proportion(spark, tmp_path):
     assert row_bytes(df.limit(0)) == 0
 
 
+def test_rows_that_compress_well_do_not_meet_in_one_task(spark, tmp_path, monkeypatch):
+    """Files follow the size of the rows in memory too; each is in the order of time."""
+    df = make_events(spark, 4000, 2, seed=6).withColumn("message", F.lit("the same " * 50)).withColumn("tokens", F.array("message"))
+    size = df.agg(F.sum(tables.sorted_bytes(df))).first()[0]
+    assert 4000 * 900 < size < 4000 * 1200
+    monkeypatch.setattr(tables, "SORT_BYTES", size // 10)
+    path = str(tmp_path / "t")
+    write_events(df, path)
+    assert 10 <= sum(files_by_day(path).values()) <= 13
+    back = spark.read.parquet(path)
+    assert back.count() == 4000
+    for name in back.inputFiles():
+        times = [r["ts"] for r in spark.read.parquet(name).select("ts").coalesce(1).collect()]
+        assert times == sorted(times) and len(times) <= 800
+    # These files are as they should be; smaller ones are brought together to that size.
+    assert compact_events(spark, path) == []
+    write_events(df.withColumn("event_id", F.col("event_id") + 4000), path, files=60)
+    days = compact_events(spark, path)
+    assert days == ["2024-01-01", "2024-01-02"] and 20 <= sum(files_by_day(path).values()) <= 26
+    assert spark.read.parquet(path).select("event_id").distinct().count() == 8000
+
+
 def test_an_empty_table_is_written(spark, tmp_path):
     path = str(tmp_path / "t")
     write_events(make_events(spark, 5, 1).limit(0), path)
