@@ -34,12 +34,15 @@ CHUNK_ROWS = 2_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # Marks at the end of a unit, after a letter or digit, are a token of their own:
-# the unit has the ids of what comes before and then those of the marks.
-_MARKS = re.compile(rb"([.,;:!?])(?<=[a-z0-9].)([.,;:!?]*)(?=\s|\Z)", re.DOTALL)
-
-
-# Lower-case Latin letters, as UTF-8: the tokeniser never cuts between them.
-_LETTERS = re.compile("(?:[a-z]|{})+".format("|".join(filter(str.isalpha, map(chr, range(0xDF, 0x100))))).encode("utf-8"))
+# the unit has the ids of what comes before and then those of the marks.  Not all
+# characters are marks here: an apostrophe may begin a token that goes on with
+# letters, and the others stand in the names of special tokens.
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"  # accented Latin letters, as UTF-8
+_MARK = rb"[!-&(-/:;=?@\[-`{}~]"
+_MARKS = re.compile(rb"(%b)(?:(?<=[a-z0-9].)|(?<=%b.))(%b*)(?=\s|\Z)" % (_MARK, _LATIN, _MARK), re.DOTALL)
+
+# Latin letters, as UTF-8: the tokeniser never cuts between them.
+_LETTERS = re.compile(rb"(?:[a-z]+|%b)+" % _LATIN)
 WORD_END = "</w>"
 
 
@@ -53,25 +56,50 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+# Letters only, each kind that ``_LETTERS`` knows.
+_PROBE = "the quick brown fox jumps over a lazy dog " + " ".join(chr(n) + "e" + chr(n) for n in range(0xDF, 0x100) if chr(n).isalpha())
+
+
+@lru_cache(maxsize=2)
+def _word_tokenizer(path: str):
+    """The tokeniser for lower-case words of letters between spaces, which need no patterns to be told apart."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.normalizer = normalizers.Sequence([])
+    byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
+    ids = [t.encode(_PROBE, add_special_tokens=False).ids for t in (tokenizer, _tokenizer(path))]
+    return tokenizer if ids[0] == ids[1] else _tokenizer(path)
+
+
 class UnitIds:
-    """Ids of units of text, as little-endian 32-bit integers, remembered up to ``LIMIT`` units."""
+    """Ids of units of text, as little-endian 32-bit integers, remembered up to ``LIMIT`` units.
+
+    Units are remembered in two halves: when one is full, the older half is
+    forgotten, but for units that came up again meanwhile.
+    """
 
     LIMIT = 400_000
     CHUNK_BYTES = 1 << 20
     TOGETHER = 1_000  # units of letters encoded in one call
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.words = _tokenizer(path), _word_tokenizer(path)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _learn(self, units: set[bytes]) -> None:
         missing = units.difference(self.known)  # looks up the units, not all that is known
-        if len(self.known) + len(missing) > self.LIMIT:
-            self.known.clear()
+        if len(self.known) + len(missing) > self.LIMIT // 2:
+            self.before, self.known = self.known, {}
             missing = set(units)
+        again = {unit: self.before[unit] for unit in missing if unit in self.before}
+        self.known.update(again)
+        missing.difference_update(again)
         plain = list(filter(_LETTERS.fullmatch, missing))
         for at in range(0, len(plain), self.TOGETHER):
             missing.difference_update(self._learn_together(plain[at : at + self.TOGETHER]))
@@ -85,7 +113,8 @@ class UnitIds:
 
         Each of them is one word, whose last id alone is that of a word's end.
         """
-        ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(units).decode("utf-8")], add_special_tokens=False)[0].ids)
+        text = b" ".join(units).decode("utf-8").lower()
+        ids = np.asarray(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(units) or ends[-1] != len(ids):
             return []

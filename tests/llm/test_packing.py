@@ -103,6 +103,26 @@ def test_ids_are_those_of_the_tokenizer(sample):
         assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+ODD = ["word### stachö, Öl!! ÀÞß÷×ÿ. a'. it's, x's... <|endoftext|>, b_c_ 1.5%% e-mail- (a) [b] c\\ é\u0301? é,\u0301 =\u0338 a=\u0338 a=", "Σς. İx! ſt# ﬁn; ǅ$$ ´` q`` q'`"]
+
+
+def test_marks_of_all_kinds_and_forgotten_units(sample, monkeypatch):
+    """Marks are parted from words where the tokenizer parts them, so they add no units; units are learned anew."""
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    tokenizer.encode_special_tokens = True
+    marks = [chr(n) for n in range(33, 127) if not chr(n).isalnum()]
+    pairs = [f"{w}{m}{k}" for w in ("ab", "é", "Ö", "7", "İ", "'s") for m in marks for k in ("", *marks)]
+    texts = [*ODD, " ".join(pairs), *(r.text for r in sample.limit(30).collect())]
+    monkeypatch.setattr(UnitIds, "LIMIT", 500)
+    monkeypatch.setattr(UnitIds, "CHUNK_BYTES", 2_000)
+    units = UnitIds(default_tokenizer())
+    for text, ids in zip(texts * 2, units.of(texts * 2), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    fresh = UnitIds(default_tokenizer())
+    list(fresh.of(["word word### word, öl öl! öl%%%"]))
+    assert set(fresh.known) == {b"word", b"###", b",", "öl".encode(), b"!", b"%%%"}
+
+
 def test_edges(docs_of):
     rows = pack_documents(docs_of([*enumerate(TEXTS), (5, "same"), (None, "no id")]), capacity=512).collect()
     check_packed(rows, 512)
